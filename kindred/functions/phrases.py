@@ -1,14 +1,18 @@
-"""Key phrase extraction (RAKE) as one expression per text: no shuffle, no Python worker.
+"""Key phrase extraction (RAKE) per text, without a shuffle.
 
 A text becomes phrases (word runs between stop words and punctuation). A word scores
-degree / frequency, a phrase the sum over its words. Word statistics and the way back from words to
-phrases are two sorts inside the row, so the cost grows with n log n for a text of n words.
+degree / frequency, a phrase the sum over its words. Cutting the phrases is a Spark expression. Scoring
+them needs a small group-by inside every text: higher-order functions take ten times the CPU for it and
+an explode would shuffle the whole corpus, so it is one Arrow function over batches of texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from kindred.functions.stopwords import ENGLISH
@@ -18,9 +22,7 @@ from kindred.functions.text import (
     WORD_OR_MARK,
     WORD_OR_MARKS,
     ascii_fold,
-    is_number,
     let,
-    round_half_up,
 )
 
 LIBRARY = "library"
@@ -54,127 +56,43 @@ def candidate_phrases(text: Column, variant: str = LIBRARY, stopwords: Sequence[
     return F.array_distinct(phrases) if variant == LIBRARY else phrases
 
 
-def _run_bounds(items: Column, same) -> Column:
-    """Start positions of runs of equal neighbours in a sorted array."""
-    marks = F.transform(
-        items,
-        lambda x, k: F.when((k == 0) | ~same(F.get(items, k - 1), x), k),
-    )
-    return F.filter(marks, lambda k: k.isNotNull())
-
-
-def _per_run(items: Column, same, body) -> Column:
-    """Apply ``body`` to every run of equal neighbours of a sorted array."""
-    return let(
-        _run_bounds(items, same),
-        lambda starts: F.transform(
-            starts,
-            lambda start, m: body(
-                F.slice(items, start + 1, F.coalesce(F.get(starts, m + 1), F.size(items)) - start)
-            ),
-        ),
-    )
+# A number for the degree of a word: integers and decimals with a point.
+NUMBER = r"^[+-]?([0-9]+|[0-9]+\.[0-9]*|\.[0-9]+)$"
 
 
-def _word_weight(words: Column, variant: str) -> Column:
-    """What one occurrence adds to the degree of a word."""
+def _score_batch(phrases: pa.Array, fraction: float, variant: str) -> pa.Array:
+    """Phrase lists of a batch of texts to ranked ``list<struct<score, phrase>>``."""
+    flat = phrases.flatten()
+    text_of = pc.list_parent_indices(phrases).to_numpy()
+    words = pc.split_pattern(flat, " ")
+    phrase_of = pc.list_parent_indices(words).to_numpy()
+    word = words.flatten().dictionary_encode()
     if variant == LIBRARY:
-        return F.size(words)
-    return F.size(F.filter(words, lambda w: ~is_number(w)))
-
-
-def word_runs(phrases: Column, variant: str, per_word) -> Column:
-    """Group all word occurrences of the phrases by word and map every group with ``per_word``.
-
-    An occurrence is ``struct(w, n, i, j)``: word, degree weight, phrase number, position.
-    """
-    occurrences = F.flatten(
-        F.transform(
-            phrases,
-            lambda p, i: let(
-                F.split(p, " "),
-                lambda words: let(
-                    _word_weight(words, variant),
-                    lambda n: F.transform(
-                        words,
-                        lambda w, j: F.struct(w.alias("w"), n.alias("n"), i.alias("i"), j.alias("j")),
-                    ),
-                ),
-            ),
-        )
-    )
-    return let(
-        F.sort_array(occurrences),
-        lambda sorted_words: _per_run(sorted_words, lambda a, b: a["w"] == b["w"], per_word),
-    )
-
-
-def _degree(run: Column) -> Column:
-    return F.aggregate(run, F.lit(0).cast("long"), lambda acc, o: acc + o["n"])
-
-
-def word_scores(phrases: Column, variant: str = LIBRARY) -> Column:
-    """``array<struct<word, freq, degree, score>>`` of the phrases of one text."""
-    return word_runs(
-        phrases,
-        variant,
-        lambda run: let(
-            _degree(run),
-            lambda degree: F.struct(
-                F.get(run, F.lit(0))["w"].alias("word"),
-                F.size(run).alias("freq"),
-                degree.alias("degree"),
-                (degree / F.size(run)).alias("score"),
-            ),
-        ),
-    )
-
-
-def phrase_scores(phrases: Column, variant: str = LIBRARY) -> Column:
-    """``array<struct<score, phrase>>``, best first; equal scores by phrase.
-
-    The score is rounded to nine decimals so that equal sums rank as equal.
-    """
-
-    def scored(p: Column) -> Column:
-        located = F.flatten(
-            word_runs(
-                p,
-                variant,
-                lambda run: let(
-                    _degree(run) / F.size(run),
-                    lambda score: F.transform(
-                        run, lambda o: F.struct(o["i"].alias("i"), o["j"].alias("j"), score.alias("s"))
-                    ),
-                ),
-            )
-        )
-        return let(
-            F.sort_array(located),
-            lambda words: _per_run(
-                words,
-                lambda a, b: a["i"] == b["i"],
-                lambda run: F.struct(
-                    round_half_up(
-                        F.aggregate(run, F.lit(0.0), lambda acc, o: acc + o["s"]), 9
-                    ).alias("score"),
-                    F.get(p, F.get(run, F.lit(0))["i"]).alias("phrase"),
-                ),
-            ),
+        weight = pc.list_value_length(words).to_numpy()[phrase_of]
+    else:
+        counted = ~pc.match_substring_regex(words.flatten(), NUMBER).to_numpy(zero_copy_only=False)
+        weight = np.bincount(phrase_of, counted, len(flat))[phrase_of]
+    key = text_of[phrase_of].astype(np.int64) * max(len(word.dictionary), 1) + word.indices.to_numpy()
+    _, group = np.unique(key, return_inverse=True)
+    word_score = np.bincount(group, weight) / np.bincount(group)
+    # rounded so that equal sums rank as equal
+    score = np.floor(np.bincount(phrase_of, word_score[group], len(flat)) * 1e9 + 0.5) / 1e9
+    table = pa.table({"text": text_of, "score": score, "phrase": flat})
+    if variant == CLASS:
+        table = table.group_by(["text", "phrase"]).aggregate([("score", "min")]).rename_columns(
+            {"score_min": "score"}
         )
-
-    ranked = let(phrases, scored)
-    if variant == LIBRARY:
-        return F.sort_array(ranked, asc=False)
-    # repeated phrases share one score; ties by phrase ascending
-    return F.transform(
-        F.sort_array(
-            F.array_distinct(
-                F.transform(ranked, lambda r: F.struct((-r["score"]).alias("neg"), r["phrase"].alias("phrase")))
-            )
-        ),
-        lambda r: F.struct((-r["neg"]).alias("score"), r["phrase"].alias("phrase")),
+    by_phrase = "descending" if variant == LIBRARY else "ascending"
+    table = table.sort_by([("text", "ascending"), ("score", "descending"), ("phrase", by_phrase)])
+    text_of = table["text"].to_numpy()
+    found = np.bincount(text_of, minlength=len(phrases))
+    kept = np.floor(found * fraction).astype(np.int64)
+    rank = np.arange(len(text_of)) - (np.cumsum(found) - found)[text_of]
+    table = table.filter(pa.array(rank < kept[text_of]))
+    ranked = pa.StructArray.from_arrays(
+        [table["score"].combine_chunks(), table["phrase"].combine_chunks()], ["score", "phrase"]
     )
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept)), pa.int32()), ranked)
 
 
 def ranked_phrases(
@@ -183,8 +101,13 @@ def ranked_phrases(
     variant: str = LIBRARY,
     stopwords: Sequence[str] = ENGLISH,
 ) -> Column:
-    """Best ``floor(n * fraction)`` phrases of a text as ``array<struct<score, phrase>>``."""
-    ranked = phrase_scores(candidate_phrases(text, variant, stopwords), variant)
-    if fraction >= 1.0:
-        return ranked
-    return let(ranked, lambda r: F.slice(r, F.lit(1), F.floor(F.size(r) * F.lit(fraction)).cast("int")))
+    """Best ``floor(n * fraction)`` phrases of a text as ``array<struct<score, phrase>>``.
+
+    Equal scores: ``library`` ranks phrases descending, ``class`` ascending.
+    """
+
+    @F.arrow_udf("array<struct<score:double,phrase:string>>")
+    def rank(phrases: pa.Array) -> pa.Array:
+        return _score_batch(phrases, fraction, variant)
+
+    return rank(candidate_phrases(text, variant, stopwords))

@@ -31,7 +31,7 @@ WORD_OR_MARK = (
 WORD_OR_MARKS = (
     _char_class(_ALNUM + "_") + "+|"
     + _char_class("".join(chr(c) for c in range(128) if chr(c) not in _ALNUM + "_" + _BLANKS + _SENTENCE_MARK))
-    + "+|\x02"
+    + r"+|\x02"
 )
 SENTENCE_END = f"([.!?]){BLANK}+"
 NOT_ALNUM_OR_SPACE = "[^ A-Za-z0-9]+"
@@ -93,7 +93,3 @@ def sentences(text: Column) -> Column:
     """Split after ``.``, ``!`` or ``?`` followed by blanks."""
     marked = F.regexp_replace(F.regexp_replace(text, "\x02", ""), SENTENCE_END, "$1\x02")
     return F.filter(F.split(marked, "\x02"), lambda s: F.trim(s) != "")
-
-
-def is_number(word: Column) -> Column:
-    return word.rlike(r"^[+-]?([0-9]+|[0-9]+\.[0-9]*|\.[0-9]+)$")
