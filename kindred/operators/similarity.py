@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kindred.functions.stemming import stemmed
 from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import ascii_fold, letter_words, plain_words
+from kindred.session import materialise
 
 # A two-text TF-IDF with smoothed idf weighs a shared word 1 and an unshared word 1 + ln(3/2).
 UNSHARED = 1.0 + log(1.5)
@@ -78,26 +79,79 @@ def rerank(
     return pair_tfidf_cosine(counts.where(~F.col("word").isin(list(stopwords))), keys)
 
 
-def corpus_weights(texts: DataFrame, key: str, words: Column) -> DataFrame:
-    """``(key, word, weight)``: unit-length TF-IDF vectors, idf = ln(n / df) over all texts."""
-    counts = texts.select(key, F.explode(words).alias("word")).groupBy(key, "word").agg(F.count("*").alias("tf"))
-    df = counts.groupBy("word").agg(F.count("*").alias("df"))
+def _unit_length(weighted: DataFrame, key: str) -> DataFrame:
+    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return weighted.join(norms, key).where("norm > 0").select(key, "word", (F.col("w") / F.col("norm")).alias("weight"))
+
+
+def _word_counts(texts: DataFrame, key: str, words: Column) -> DataFrame:
+    return texts.select(key, F.explode(words).alias("word")).groupBy(key, "word").agg(F.count("*").alias("tf"))
+
+
+def corpus_weights(texts: DataFrame, key: str, words: Column) -> tuple[DataFrame, DataFrame]:
+    """Unit-length TF-IDF vectors ``(key, word, weight)`` and ``(word, idf)`` with idf = ln(n / df)."""
+    counts = materialise(_word_counts(texts, key, words))
     total = texts.agg(F.count("*").alias("n"))
-    weighted = (
-        counts.join(df, "word")
+    idf = materialise(
+        counts.groupBy("word").agg(F.count("*").alias("df"))
         .crossJoin(F.broadcast(total))  # one row
-        .select(key, "word", (F.col("tf") * F.log(F.col("n") / F.col("df"))).alias("w"))
+        .select("word", F.log(F.col("n") / F.col("df")).alias("idf"))
     )
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, key).where("norm > 0").select(key, "word", (F.col("w") / F.col("norm")).alias("weight"))
+    weighted = counts.join(idf, "word").select(key, "word", (F.col("tf") * F.col("idf")).alias("w"))
+    return _unit_length(weighted, key), idf
+
+
+def query_weights(texts: DataFrame, key: str, words: Column, idf: DataFrame) -> DataFrame:
+    """Vectors of other texts under the idf of a corpus; words the corpus lacks are dropped."""
+    weighted = _word_counts(texts, key, words).join(idf, "word").select(
+        key, "word", (F.col("tf") * F.col("idf")).alias("w")
+    )
+    return _unit_length(weighted, key)
 
 
-def text_vectors(texts: DataFrame, key: str, text: str, vectors: DataFrame) -> DataFrame:
-    """``(key, vec)``: mean vector of the known distinct words of a text; ``vectors`` is ``(word, vec)``."""
+def text_vectors(texts: DataFrame, key: str, text: str, vectors: DataFrame, dim: int, unit: bool = False) -> DataFrame:
+    """``(key, vec)``: mean vector of the known distinct words of a text; ``vectors`` is ``(word, vec)``.
+
+    One average per dimension in a single aggregation, so a word stays one row. ``unit`` averages the
+    vectors after scaling them to length 1.
+    """
     words = texts.select(key, F.explode(letter_words(F.col(text))).alias("word"))
-    values = words.join(vectors, "word").select(key, F.posexplode("vec").alias("pos", "v"))
-    means = values.groupBy(key, "pos").agg(F.avg(F.col("v").cast("double")).alias("v"))
-    # one small fixed-size group per text: the dimension of the vectors
-    return means.groupBy(key).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "v"))), lambda p: p["v"]).alias("vec")
+    known = words.join(vectors, "word")
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v)) if unit else F.lit(1.0)
+    known = known.withColumn("norm", norm)
+    means = [F.avg(F.get("vec", F.lit(i)).cast("double") / F.col("norm")) for i in range(dim)]
+    return known.groupBy(key).agg(F.array(*means).alias("vec"))
+
+
+def similar_texts(queries: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``(query_id, id, similarity)`` with set cosine of the distinct words at or above ``threshold``.
+
+    ``queries`` is ``(query_id, words)``, ``texts`` is ``(id, words)``. A pair this close shares a word among
+    the first ``n - ceil(t * t * n) + 1`` words of both sides in any common order, and its sizes differ
+    by at most a factor ``t * t``; only such pairs are formed, then checked in full. Long words come
+    first in the order, because they are rare.
+    """
+    square = threshold * threshold
+
+    def prefixes(df: DataFrame, key: str, size: str) -> DataFrame:
+        ordered = F.sort_array(F.transform("words", lambda w: F.struct((-F.length(w)).alias("k"), w.alias("w"))))
+        keep = F.size("words") - F.ceil(F.size("words") * F.lit(square)) + 1
+        return df.where(F.size("words") > 0).select(
+            key,
+            F.size("words").alias(size),
+            F.explode(F.transform(F.slice(ordered, F.lit(1), keep.cast("int")), lambda o: o["w"])).alias("word"),
+        )
+
+    near = (F.col("x") >= F.col("y") * square) & (F.col("y") >= F.col("x") * square)
+    candidates = (
+        prefixes(queries, "query_id", "x").join(prefixes(texts, "id", "y"), "word").where(near)
+        .select("query_id", "id").distinct()
+    )
+    q, t = queries.withColumnRenamed("words", "qw"), texts.withColumnRenamed("words", "tw")
+    shared = F.size(F.array_intersect("qw", "tw"))
+    similarity = shared / F.sqrt((F.size("qw") * F.size("tw")).cast("double"))
+    return (
+        candidates.join(q, "query_id").join(t, "id")
+        .select("query_id", "id", similarity.alias("similarity"))
+        .where(F.col("similarity") >= threshold)
     )
