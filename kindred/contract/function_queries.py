@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,7 @@ def r(c, n: int = 6):
 
 @query(
     "SELECT doc_id, CASE WHEN n_chars > 2000 THEN 'long' WHEN n_chars > 500 THEN 'medium' ELSE 'short' END AS size, coalesce(l.quality, -1) AS q, l.quality IS NULL AS missing, "
-    "greatest(n_chars, 1000) AS g, least(n_chars, 1000) AS l, CASE WHEN n_chars > 5000 THEN -1.0 ELSE n_chars END AS v, n_chars > 5000 AS isnan FROM documents d LEFT JOIN labels l USING (doc_id)"
+    "greatest(n_chars, 1000) AS g, least(n_chars, 1000) AS l, CAST(CASE WHEN n_chars > 5000 THEN -1 ELSE n_chars END AS DOUBLE) AS v, n_chars > 5000 AS isnan FROM documents d LEFT JOIN labels l USING (doc_id)"
 )
 def fn_conditionals(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -286,25 +287,25 @@ def udf_pandas_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(net("l_extendedprice", "l_discount"), 4).alias("net"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, round(l_quantity - avg(l_quantity) OVER (PARTITION BY l_orderkey), 4) AS centred FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, floor((l_quantity - avg(l_quantity) OVER (PARTITION BY l_partkey)) * 1e4 + 0.50001) / 1e4 AS centred FROM lineitem")
 def udf_grouped_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order, which has a handful of lines."""
+    """Per part, which has some thirty lines at every scale."""
 
     def centre(lines: pa.Table) -> pa.Table:
         quantity = lines["l_quantity"].to_numpy()
-        return lines.drop(["l_quantity"]).append_column("centred", pa.array((quantity - quantity.mean()).round(4)))
+        return lines.drop(["l_quantity"]).append_column("centred", pa.array(np.floor((quantity - quantity.mean()) * 1e4 + 0.50001) / 1e4))
 
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return li.groupBy("l_orderkey").applyInArrow(centre, "l_orderkey long, l_linenumber int, l_partkey long, centred double")
+    return li.groupBy("l_partkey").applyInArrow(centre, "l_orderkey long, l_linenumber int, l_partkey long, centred double")
 
 
-@query("SELECT l_orderkey, round(avg(l_quantity), 4) AS mean FROM lineitem GROUP BY 1")
+@query("SELECT l_partkey, round(avg(l_quantity), 4) AS mean FROM lineitem GROUP BY 1")
 def udf_grouped_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     @F.pandas_udf("double")
     def mean(v: pd.Series) -> float:
         return float(v.mean())
 
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.round(mean("l_quantity"), 4).alias("mean"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.round(mean("l_quantity"), 4).alias("mean"))
 
 
 @query("SELECT n_name, r_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2")
