@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("index_queries", "search_queries", "similarity_queries", "relational_queries", "function_queries", "streaming_queries", "job_queries")
+MODULES = ("index_queries", "search_queries", "similarity_queries", "relational_queries", "function_queries", "streaming_queries", "job_queries", "ml_queries")
 
 
 def load() -> None:
