@@ -10,8 +10,8 @@ from kindred.functions.phrases import CLASS, candidate_phrases, ranked_phrases
 from kindred.functions.text import round_half_up
 from kindred.operators import keywords as kw
 from kindred.operators.phrase_tables import phrase_score_table, word_score_table
-from kindred.session import work_dir
-from kindred.sources.articles import articles, read_article_csv, read_article_xml, table, write_article_csv
+from kindred.session import materialise, work_dir
+from kindred.sources.articles import articles, read_article_csv, read_article_xml, table, texts, write_article_csv
 from kindred.sources.index_store import read_index_csv, write_index_csv
 from kindred.sources.splits import hash_split, random_split, read_parts, write_parts
 
@@ -110,7 +110,7 @@ chunked AS (
     + "min(score) AS low, max(score) AS high FROM chunked GROUP BY keyword, chunk"
 )
 def index_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = kw.group_postings(kw.postings(articles(spark, sf_dir)), per_row=100)
+    grouped = kw.group_postings(materialise(kw.postings(articles(spark, sf_dir))), per_row=100)
     return grouped.select(
         "keyword",
         "chunk",
@@ -125,7 +125,7 @@ def index_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_string_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grouped posting strings written as CSV, read back and decoded."""
     path = work_dir(spark)
-    write_index_csv(kw.encode_postings(kw.group_postings(kw.postings(articles(spark, sf_dir)))), path)
+    write_index_csv(kw.encode_postings(kw.group_postings(materialise(kw.postings(articles(spark, sf_dir))))), path)
     return kw.decode_postings(read_index_csv(spark, path))
 
 
@@ -145,7 +145,7 @@ def index_multi_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT id AS doc_id, phrase, count(*) AS n FROM r_cand GROUP BY id, phrase"
 )
 def rake_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     phrases = docs.select("doc_id", F.explode(candidate_phrases(F.col("text"), CLASS)).alias("phrase"))
     return phrases.groupBy("doc_id", "phrase").agg(F.count("*").alias("n"))
 
@@ -155,7 +155,7 @@ def rake_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT id AS doc_id, w AS word, freq, degree, " + q.half_up("degree / freq", 6) + " AS score FROM r_words"
 )
 def rake_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = word_score_table(table(spark, sf_dir, "documents"), "doc_id", "text", CLASS)
+    found = word_score_table(texts(spark, sf_dir), "doc_id", "text", CLASS)
     return found.withColumn("score", round_half_up(F.col("score"), 6))
 
 
@@ -164,7 +164,7 @@ def rake_word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT id AS doc_id, phrase, " + q.half_up("score", 6) + " AS score FROM r_all"
 )
 def rake_phrase_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = phrase_score_table(table(spark, sf_dir, "documents"), "doc_id", "text", CLASS)
+    found = phrase_score_table(texts(spark, sf_dir), "doc_id", "text", CLASS)
     return found.withColumn("score", round_half_up(F.col("score"), 6))
 
 
@@ -173,7 +173,7 @@ def rake_phrase_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT id AS doc_id, phrase, " + q.half_up("score", 6) + " AS score, rn AS rank FROM r"
 )
 def rake_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     ranked = ranked_phrases(F.col("text"), 1 / 3, CLASS)
     return docs.select("doc_id", F.posexplode(ranked).alias("pos", "p")).select(
         "doc_id",
@@ -190,7 +190,7 @@ def rake_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rake_with_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posting as base name of the location and score."""
-    pages = table(spark, sf_dir, "pages").select(F.substring_index("url", "/", -1).alias("name"), "html")
+    pages = texts(spark, sf_dir, "pages").select(F.substring_index("url", "/", -1).alias("name"), "html")
     found = kw.file_keywords(pages, "name", "html", digits=1)
     return found.select("keyword", F.concat_ws(",", "doc_id", F.col("score").cast("string")).alias("posting"))
 
@@ -201,7 +201,7 @@ def rake_with_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id AS id, text AS content, source AS tags FROM documents")
 def csv_roundtrip_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark)
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("content"), F.col("source").alias("tags")
     )
     write_article_csv(docs, path)
@@ -211,7 +211,7 @@ def csv_roundtrip_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_xml(spark: SparkSession, sf_dir: str) -> str:
     path = work_dir(spark)
-    docs = table(spark, sf_dir, "documents").select(F.col("text").alias("mainText"))
+    docs = texts(spark, sf_dir).select(F.col("text").alias("mainText"))
     docs.write.xml(path, rowTag="article", rootTag="articles")
     return path
 
@@ -235,7 +235,7 @@ def xml_extract_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_XML + "SELECT phrase AS keyword, count(*) AS n_postings, min(" + q.half_up("score", 2) + ") AS low FROM r GROUP BY phrase")
 def xml_keyword_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grouped = kw.group_postings(kw.file_keywords(read_article_xml(spark, _write_xml(spark, sf_dir))))
+    grouped = kw.group_postings(materialise(kw.file_keywords(read_article_xml(spark, _write_xml(spark, sf_dir)))))
     return grouped.groupBy("keyword").agg(
         F.sum(F.size("postings")).alias("n_postings"), F.min(F.array_min("postings.score")).alias("low")
     )
@@ -267,7 +267,7 @@ def query_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Disjoint random parts that together are the corpus: size of each."""
-    parts = random_split(table(spark, sf_dir, "documents"), 6, seed=42)
+    parts = random_split(texts(spark, sf_dir), 6, seed=42)
     return parts.groupBy("part").agg(F.count("*").alias("n"))
 
 
@@ -277,7 +277,7 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def split_hash_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark)
-    docs = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    docs = texts(spark, sf_dir).withColumnRenamed("doc_id", "id")
     write_parts(hash_split(docs, 6, "documents"), path)
     return read_parts(spark, path).select("id", "part", "n_chars")
 
@@ -288,5 +288,5 @@ def split_hash_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lookup_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    docs = table(spark, sf_dir, "documents").join(wanted, "doc_id", "left_semi")
+    docs = texts(spark, sf_dir).join(wanted, "doc_id", "left_semi")
     return docs.select(F.col("doc_id").alias("id"), "lang", F.length("text").cast("long").alias("n"))

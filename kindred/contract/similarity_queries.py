@@ -10,7 +10,7 @@ from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import letter_words, plain_words, round_half_up
 from kindred.operators import similarity as sim
 from kindred.session import materialise, work_dir
-from kindred.sources.articles import query_articles, read_word_vectors, table
+from kindred.sources.articles import query_articles, read_word_vectors, table, texts
 
 VECTOR_SIZE = 64
 COUNTED = r"[\p{L}\p{N}_]{2,}"
@@ -18,7 +18,7 @@ COUNTED = r"[\p{L}\p{N}_]{2,}"
 
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that follows it: ``(doc_id, a, b)``."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("b"))
     return docs.select("doc_id", F.col("text").alias("a")).join(following, "doc_id")
 
@@ -73,7 +73,7 @@ def sim_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     def words(c: str):
         return F.filter(plain_words(F.col(c)), lambda w: ~w.isin(ENGLISH))
 
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir)
     weights, idf = sim.corpus_weights(docs, "doc_id", words("text"))
     queries = materialise(sim.query_weights(query_articles(spark, sf_dir), "query_id", words("text"), idf))
     scores = (
@@ -112,7 +112,7 @@ LETTERS = (
 
 @query("SELECT doc_id, unnest(" + LETTERS.format("text") + ") AS word FROM documents")
 def text_letter_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(letter_words(F.col("text"))).alias("word"))
+    return texts(spark, sf_dir).select("doc_id", F.explode(letter_words(F.col("text"))).alias("word"))
 
 
 @query(
@@ -150,9 +150,9 @@ ex AS (SELECT id, unnest(embedding) / norm AS v, generate_subscripts(embedding,
 mv AS (SELECT id, list(v ORDER BY pos) AS vec FROM (SELECT id, pos, avg(CAST(v AS DOUBLE)) AS v FROM ex GROUP BY ALL) GROUP BY id)"""
 
 
-def _vectors(spark: SparkSession, sf_dir: str, texts: DataFrame, unit: bool) -> DataFrame:
-    words = texts.select(F.explode(letter_words(F.col("text"))).alias("word"))
-    return sim.text_vectors(texts, "id", "text", word_vectors(spark, sf_dir, words), VECTOR_SIZE, unit)
+def _vectors(spark: SparkSession, sf_dir: str, docs: DataFrame, unit: bool) -> DataFrame:
+    words = docs.select(F.explode(letter_words(F.col("text"))).alias("word"))
+    return sim.text_vectors(docs, "id", "text", word_vectors(spark, sf_dir, words), VECTOR_SIZE, unit)
 
 
 @query(
@@ -161,7 +161,7 @@ def _vectors(spark: SparkSession, sf_dir: str, texts: DataFrame, unit: bool) ->
 )
 def sim_embedding_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cosine of the mean word vectors of every document and the one that follows it."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
     vectors = materialise(_vectors(spark, sf_dir, docs, unit=False))
     following = vectors.select((F.col("id") - 1).alias("id"), F.col("vec").alias("b"))
     return vectors.join(following, "id").select(
@@ -180,10 +180,10 @@ def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     The mean cosine of a word with a set of words is its product with the mean unit vector of the set,
     so no word pairs are formed.
     """
-    texts = query_articles(spark, sf_dir).select(F.col("query_id").alias("id"), "text")
-    words = texts.select("id", F.explode(letter_words(F.col("text"))).alias("word"))
+    sides = query_articles(spark, sf_dir).select(F.col("query_id").alias("id"), "text")
+    words = sides.select("id", F.explode(letter_words(F.col("text"))).alias("word"))
     vectors = materialise(word_vectors(spark, sf_dir, words))
-    means = sim.text_vectors(texts, "id", "text", vectors, VECTOR_SIZE, unit=True)
+    means = sim.text_vectors(sides, "id", "text", vectors, VECTOR_SIZE, unit=True)
     following = means.select((F.col("id") - 1).alias("id"), F.col("vec").alias("mean"))
     dot = F.aggregate(F.zip_with("vec", "mean", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v))
@@ -200,6 +200,6 @@ def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sim_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a query article and a document whose word sets are close."""
     queries = query_articles(spark, sf_dir).select("query_id", letter_words(F.col("text")).alias("words"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), letter_words(F.col("text")).alias("words"))
+    docs = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), letter_words(F.col("text")).alias("words"))
     found = sim.similar_texts(queries, docs, 0.3)
     return found.withColumn("similarity", round_half_up(F.col("similarity"), 6))

@@ -11,7 +11,7 @@ def _shares(edges: DataFrame) -> DataFrame:
     """Distinct links with the share of the rank of ``src`` that each one passes on."""
     links = materialise(edges.select("src", "dst").distinct())
     degrees = links.groupBy("src").agg((1.0 / F.count("*")).alias("share"))
-    return materialise(links.join(degrees, "src"))
+    return materialise(links.join(degrees, "src"), bucket_by="src")
 
 
 def pagerank(edges: DataFrame, iterations: int) -> DataFrame:
@@ -65,7 +65,7 @@ def components(edges: DataFrame) -> DataFrame:
     A round takes the lowest label among the neighbours and then the label of that label, so the
     number of rounds grows with the logarithm of the longest path.
     """
-    both = materialise(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
+    both = materialise(edges.select("src", "dst").union(edges.select("dst", "src")).distinct(), bucket_by="dst")
     labels = materialise(both.select(F.col("src").alias("id")).distinct().withColumn("component", F.col("id")))
     while True:
         near = both.join(labels, both.dst == labels.id).groupBy("src").agg(F.min("component").alias("low"))
@@ -117,7 +117,7 @@ def triangles(edges: DataFrame) -> DataFrame:
 
 def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
     """``(id, distance)`` from one vertex over ``(src, dst, weight)``; a round relaxes from improved vertices."""
-    links = materialise(edges.select("src", "dst", "weight"))
+    links = materialise(edges.select("src", "dst", "weight"), bucket_by="src")
     known = materialise(
         links.select(F.col("src").alias("id")).where(F.col("id") == source).distinct().withColumn("distance", F.lit(0.0))
     )

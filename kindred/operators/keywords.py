@@ -101,7 +101,7 @@ def group_postings(index: DataFrame, per_row: int = POSTINGS_PER_ROW, extra: Seq
     """``(keyword, chunk, postings)`` with sorted ``postings``.
 
     A keyword with more than ``per_row`` postings is spread over several rows by document, so that no
-    row or task has to hold all of a very common keyword.
+    row or task has to hold all of a very common keyword. ``index`` is read twice: pass a written table.
     """
     counts = index.groupBy("keyword").agg(F.count("*").alias("n"))
     common = counts.where(F.col("n") > per_row).select(

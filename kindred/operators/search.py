@@ -108,14 +108,25 @@ def fuzzy_matches(
 
 
 def overlapping_keywords(keywords: DataFrame, queries: DataFrame, strict: bool = False) -> DataFrame:
-    """``(query_id, keyword)`` for all keywords that pass :func:`overlaps`, as a join on words."""
+    """``(query_id, keyword)`` for all keywords that pass :func:`overlaps`, as a join on words.
+
+    A keyword of ``d`` distinct among ``n`` words must share more than ``n / 2``, so one of any
+    ``d - floor(n / 2)`` of its words is in the query. Only its longest words, which are rare, are
+    joined; the pairs found are then checked in full.
+    """
     words = F.split(F.regexp_replace("keyword", NOT_ALNUM_OR_SPACE, ""), " ")
+    longest = F.transform(
+        F.sort_array(F.transform(F.array_distinct(words), lambda w: F.struct((-F.length(w)).alias("k"), w.alias("w")))),
+        lambda o: o["w"],
+    )
+    probes = F.size(longest) - F.floor(F.size(words) / F.lit(2))
     left = keywords.select(
-        "keyword", F.floor(F.size(words) / F.lit(2)).alias("half"), F.explode(F.array_distinct(words)).alias("word")
+        "keyword", F.explode(F.slice(longest, F.lit(1), F.greatest(probes, F.lit(0)).cast("int"))).alias("word")
     )
-    right = query_words(queries, strict).select("query_id", F.explode("words").alias("word"))
-    found = left.join(right, "word").groupBy("query_id", "keyword", "half").agg(F.count("*").alias("shared"))
-    return found.where("shared > half").select("query_id", "keyword")
+    own = query_words(queries, strict)
+    right = own.select("query_id", F.explode("words").alias("word"))
+    found = left.join(right, "word").select("query_id", "keyword").distinct()
+    return found.join(own, "query_id").where(overlaps(F.col("keyword"), F.col("words"))).select("query_id", "keyword")
 
 
 def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6) -> DataFrame:

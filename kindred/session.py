@@ -43,14 +43,27 @@ def work_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, bucket_by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table cuts the lineage, survives lost executors, and its file size is a measured
     statistic: Spark broadcasts the result in later joins only while it is below
-    ``spark.sql.autoBroadcastJoinThreshold``.
+    ``spark.sql.autoBroadcastJoinThreshold``. With ``bucket_by`` later joins and groupings on that
+    column do not shuffle the table again.
     """
     spark = df.sparkSession
     path = work_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if bucket_by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"kindred_{path.rsplit('/', 1)[1]}"
+    placed = df.repartition(buckets, bucket_by)
+    placed.write.bucketBy(buckets, bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy work on a small input; an input with enough partitions is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

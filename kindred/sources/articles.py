@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from kindred.session import spread
+
 # The column order of the article CSV files.
 ARTICLE_COLUMNS = (
     "_index", "id", "domain", "type", "url", "content", "scraped_at", "inserted_at", "updated_at",
@@ -61,6 +63,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of texts, spread over all cores when its files are fewer than these."""
+    return spread(table(spark, sf_dir, name))
+
+
 def label_type() -> Column:
     return (
         F.when(F.col("toxic") == 1, "hate").when(F.col("quality") == 1, "reliable").otherwise("unreliable")
@@ -70,7 +77,7 @@ def label_type() -> Column:
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document table in the shape of the article corpus; short fields come from the text."""
     text = F.col("text")
-    docs = table(spark, sf_dir, "documents").select(
+    docs = texts(spark, sf_dir).select(
         F.col("doc_id").alias("id"),
         text.alias("content"),
         F.substring_index(text, "\n", 1).alias("title"),
