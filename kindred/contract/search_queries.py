@@ -13,11 +13,15 @@ from kindred.operators.keywords import postings
 from kindred.operators.similarity import UNSHARED, rerank
 from kindred.plans import recommend as plan
 from kindred.session import materialise, work_dir
-from kindred.sources.articles import articles, query_articles
+from kindred.sources.articles import article_types, articles, query_articles
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(postings(articles(spark, sf_dir)))
+def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return plan.build_index(articles(spark, sf_dir))
+
+
+def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.dictionary(materialise(postings(articles(spark, sf_dir))))
 
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +105,7 @@ def query_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " AS kw_score FROM fx JOIN qp ON qp.phrase = fx.keyword"
 )
 def match_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = search.score_pairs(_index(spark, sf_dir), search.exact_matches(_phrases(spark, sf_dir)))
+    pairs = search.score_pairs(postings(articles(spark, sf_dir)), search.exact_matches(_phrases(spark, sf_dir)))
     return pairs.select("query_id", "keyword", "doc_id", "posting_score", round_half_up(F.col("kw_score"), 6).alias("kw_score"))
 
 
@@ -110,7 +114,7 @@ def match_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f"SELECT query_id, count(*) AS n, min(keyword) AS low, max(keyword) AS high FROM dict, tw WHERE {OVERLAP} GROUP BY query_id"
 )
 def match_overlap_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = search.overlapping_keywords(search.dictionary(_index(spark, sf_dir)), query_articles(spark, sf_dir))
+    found = search.overlapping_keywords(_keywords(spark, sf_dir), query_articles(spark, sf_dir))
     return found.groupBy("query_id").agg(
         F.count("*").alias("n"), F.min("keyword").alias("low"), F.max("keyword").alias("high")
     )
@@ -125,7 +129,7 @@ HALF = "\ntop AS (SELECT * FROM qp WHERE rank <= n // 2)"
     + "SELECT query_id, keyword, phrase, " + q.half_up("ratio", 6) + " AS ratio, " + q.half_up("kw_score", 6) + " AS kw_score FROM fz"
 )
 def match_fuzzy_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keywords = search.dictionary(_index(spark, sf_dir))
+    keywords = _keywords(spark, sf_dir)
     found = search.fuzzy_matches(keywords, _phrases(spark, sf_dir), query_articles(spark, sf_dir), share=2)
     return _rounded(found)
 
@@ -159,7 +163,7 @@ def match_cosine_nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.fuzzy_matches(
-        search.dictionary(_index(spark, sf_dir)),
+        _keywords(spark, sf_dir),
         _phrases(spark, sf_dir),
         query_articles(spark, sf_dir),
         threshold=0.0,
@@ -175,7 +179,7 @@ def _nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT *, 1 - levenshtein(keyword, phrase) / greatest(length(keyword), length(phrase)) AS r FROM pn) WHERE r >= 0.6"
 )
 def match_edit_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(search.edit_matches(search.dictionary(_index(spark, sf_dir)), _phrases(spark, sf_dir)))
+    return _rounded(search.edit_matches(_keywords(spark, sf_dir), _phrases(spark, sf_dir)))
 
 
 @query(
@@ -183,20 +187,20 @@ def match_edit_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT query_id, doc_id, keyword, posting_score, " + q.half_up("score", 6) + " AS score FROM sp"
 )
 def score_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _index(spark, sf_dir)
-    pairs = search.score_pairs(index, plan.matches(index, query_articles(spark, sf_dir)))
+    index, keywords = _index(spark, sf_dir)
+    pairs = search.score_pairs(index, plan.matches(keywords, query_articles(spark, sf_dir)))
     return pairs.select("query_id", "doc_id", "keyword", "posting_score", round_half_up(F.col("score"), 6).alias("score"))
 
 
 @query(q.with_(*search_ctes()) + "SELECT query_id, doc_id, score FROM sd")
 def score_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _index(spark, sf_dir)
-    return search.score_documents(search.score_pairs(index, plan.matches(index, query_articles(spark, sf_dir))))
+    index, keywords = _index(spark, sf_dir)
+    return search.score_documents(search.score_pairs(index, plan.matches(keywords, query_articles(spark, sf_dir))))
 
 
 @query(q.with_(*search_ctes()) + "SELECT query_id, doc_id, score, rank FROM td")
 def score_docs_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.candidates(_index(spark, sf_dir), query_articles(spark, sf_dir))
+    return plan.candidates(*_index(spark, sf_dir), query_articles(spark, sf_dir))
 
 
 @query(
@@ -204,8 +208,8 @@ def score_docs_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     + "SELECT td.query_id, td.rank, a.id AS doc_id, a.type, a.title, length(a.content) AS n FROM td JOIN articles a ON a.id = td.doc_id"
 )
 def fetch_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = materialise(plan.candidates(_index(spark, sf_dir), query_articles(spark, sf_dir)))
-    found = articles(spark, sf_dir).withColumnRenamed("id", "doc_id")
+    best = materialise(plan.candidates(*_index(spark, sf_dir), query_articles(spark, sf_dir)))
+    found = plan.fetch(articles(spark, sf_dir), article_types(spark, sf_dir), best)
     return found.join(best, "doc_id").select(
         "query_id", "rank", "doc_id", "type", "title", F.length("content").cast("long").alias("n")
     )
@@ -227,10 +231,11 @@ def rerank_tfidf_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rerank(spark: SparkSession, sf_dir: str, stemming: bool) -> DataFrame:
     queries = query_articles(spark, sf_dir)
     corpus = articles(spark, sf_dir)
-    best = materialise(plan.candidates(materialise(postings(corpus, fields=["content"])), queries))
-    pairs = corpus.select(F.col("id").alias("doc_id"), "content").join(best, "doc_id").join(queries, "query_id")
-    found = rerank(pairs, ["query_id", "doc_id"], "text", "content", stemming=stemming)
-    return found.withColumn("similarity", round_half_up(F.col("similarity"), 6))
+    best = materialise(plan.candidates(*plan.build_index(corpus, ["content"]), queries))
+    found = materialise(plan.fetch(corpus, article_types(spark, sf_dir), best))
+    pairs = found.join(best, "doc_id").join(queries, "query_id")
+    similar = rerank(pairs, ["query_id", "doc_id"], "text", "content", stemming=stemming)
+    return similar.withColumn("similarity", round_half_up(F.col("similarity"), 6))
 
 
 _RECOMMEND = (
@@ -242,14 +247,14 @@ _RECOMMEND = (
 @query(q.with_(*search_ctes(), PAIRS, similarity_sql("prs")) + _RECOMMEND)
 def recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the best documents for every query article, with their similarity."""
-    found = plan.recommend(articles(spark, sf_dir), _index(spark, sf_dir), query_articles(spark, sf_dir))
+    found = plan.recommend(articles(spark, sf_dir), article_types(spark, sf_dir), *_index(spark, sf_dir), query_articles(spark, sf_dir))
     return found.drop("content")
 
 
 @query(q.with_(*search_ctes(["title", "tags", "content"]), PAIRS, similarity_sql("prs")) + _RECOMMEND)
 def recommend_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index build and search in one run, on three of the fields."""
-    found = plan.build_and_recommend(articles(spark, sf_dir), query_articles(spark, sf_dir), ["title", "tags", "content"])
+    found = plan.build_and_recommend(articles(spark, sf_dir), article_types(spark, sf_dir), query_articles(spark, sf_dir), ["title", "tags", "content"])
     return found.drop("content")
 
 
@@ -264,7 +269,7 @@ def recommend_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Report files written and read back as whole texts."""
     path = work_dir(spark)
     plan.write_reports(
-        plan.recommend(articles(spark, sf_dir), _index(spark, sf_dir), query_articles(spark, sf_dir)), path
+        plan.recommend(articles(spark, sf_dir), article_types(spark, sf_dir), *_index(spark, sf_dir), query_articles(spark, sf_dir)), path
     )
     back = spark.read.option("basePath", path).text(path, wholetext=True)
     return back.select(

@@ -75,9 +75,13 @@ def label_type() -> Column:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The document table in the shape of the article corpus; short fields come from the text."""
+    """The document table in the shape of the article corpus; short fields come from the text.
+
+    The ``type`` of an article is a table of its own, see :func:`article_types`: only the few articles of
+    a result need it, and joining it here would shuffle the texts of the whole corpus.
+    """
     text = F.col("text")
-    docs = texts(spark, sf_dir).select(
+    return texts(spark, sf_dir).select(
         F.col("doc_id").alias("id"),
         text.alias("content"),
         F.substring_index(text, "\n", 1).alias("title"),
@@ -89,8 +93,11 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(", ", "source", "lang").alias("tags"),
         F.substring_index(text, ". ", 2).alias("summary"),
     )
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), label_type().alias("type"))
-    return docs.join(labels, "id", "left")
+
+
+def article_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, type)``."""
+    return table(spark, sf_dir, "labels").select("doc_id", label_type().alias("type"))
 
 
 def query_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
