@@ -121,7 +121,7 @@ def fn_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.weekofyear(d).alias("w"), F.hour(d).alias("h"), F.minute(d).alias("mi"), F.second(d).cast("long").alias("s"), iso(F.date_add(d, 10)).alias("da"), iso(F.date_sub(d, 10)).alias("ds"),
         F.datediff(d, F.to_date(F.lit("1995-01-01"))).alias("dd"), iso(F.add_months(d, 2)).alias("am"), iso(F.trunc(d, "month")).alias("tr"), iso(F.date_trunc("quarter", d)).alias("dt"),
         iso(F.last_day(d)).alias("ld"), F.date_format(d, "dd/MM/yyyy").alias("fm"),
-        ((F.unix_timestamp(F.date_format(d, "yyyy-MM-dd HH:mm:ss") , "yyyy-MM-dd HH:mm:ss") - F.unix_timestamp(F.lit("1970-01-01 00:00:00"), "yyyy-MM-dd HH:mm:ss"))).alias("ut"),
+        F.unix_timestamp(F.convert_timezone(F.lit("UTC"), F.current_timezone(), d).cast("timestamp")).alias("ut"),
     )
 
 

@@ -24,7 +24,8 @@ def words_sql(name: str) -> str:
 
 
 def stamp(c: str):
-    return F.date_format(c, "yyyy-MM-dd HH:mm")
+    """A time as UTC text, whatever the session time zone is."""
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz")), "yyyy-MM-dd HH:mm")
 
 
 @query(f"SELECT word, count(*) AS n FROM {words_sql('conversations')} GROUP BY 1")

@@ -7,44 +7,53 @@ from pyspark.sql import DataFrame, functions as F
 from kindred.session import materialise
 
 
+CHAINED = 5
+
+
 def _shares(edges: DataFrame) -> DataFrame:
     """Distinct links with the share of the rank of ``src`` that each one passes on."""
     links = materialise(edges.select("src", "dst").distinct())
     degrees = links.groupBy("src").agg((1.0 / F.count("*")).alias("share"))
-    return materialise(links.join(degrees, "src"), bucket_by="src")
+    return links.join(degrees, "src")
 
 
 def pagerank(edges: DataFrame, iterations: int) -> DataFrame:
-    """``(id, rank)`` after a fixed number of iterations; vertices without in-links drop out."""
-    links = _shares(edges)
+    """``(id, rank)`` after a fixed number of iterations; vertices without in-links drop out.
+
+    The links lie bucketed by ``src`` and new ranks come out of the grouping where the next join needs
+    them, so an iteration shuffles once: the sums of passed ranks. Every few iterations are written.
+    """
+    links = materialise(_shares(edges), bucket_by="src")
     ranks = links.select("src").distinct().withColumn("rank", F.lit(1.0))
-    for _ in range(iterations):
+    for i in range(iterations):
         passed = links.join(ranks, "src").groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("c"))
-        ranks = materialise(passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank")))
+        ranks = passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank"))
+        if i % CHAINED == CHAINED - 1 and i + 1 < iterations:
+            ranks = materialise(ranks)
     return ranks.withColumnRenamed("src", "id")
 
 
-def pagerank_until(edges: DataFrame, tolerance: float, chained: int = 5, limit: int = 40) -> DataFrame:
+def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 40) -> DataFrame:
     """``(id, rank)`` of all vertices, iterated until no rank moves by ``tolerance`` or more.
 
-    ``chained`` iterations are one job; its last step is written and tested.
+    Every vertex has a link to itself that passes nothing on but keeps it, with its last rank, in the
+    grouping. ``CHAINED`` iterations are one job; its last step is written and tested.
     """
-    links = _shares(edges)
-    vertices = materialise(links.select(F.col("src").alias("id")).union(links.select("dst")).distinct())
-    moved = vertices.select("id", F.lit(0.15).alias("rank"), F.lit(0.15).alias("old"))
+    shares = _shares(edges).withColumn("own", F.lit(0.0))
+    vertices = shares.select("src").union(shares.select("dst")).distinct()
+    kept = vertices.select("src", F.col("src").alias("dst"), F.lit(0.0).alias("share"), F.lit(1.0).alias("own"))
+    links = materialise(shares.unionByName(kept), bucket_by="src")
+    moved = links.where("own = 1").select("src", F.lit(0.15).alias("rank"), F.lit(0.15).alias("old"))
     for _ in range(limit):
-        for _step in range(chained):
-            passed = (
-                links.join(moved.select(F.col("id").alias("src"), "rank"), "src").groupBy("dst")
-                .agg(F.sum(F.col("rank") * F.col("share")).alias("c")).withColumnRenamed("dst", "id")
-            )
-            moved = moved.select("id", F.col("rank").alias("old")).join(passed, "id", "left").select(
-                "id", (0.15 + 0.85 * F.coalesce("c", F.lit(0.0))).alias("rank"), "old"
+        for _step in range(CHAINED):
+            passed = links.join(moved.select("src", "rank"), "src").groupBy("dst").agg(
+                F.sum(F.col("rank") * F.col("share")).alias("c"), F.sum(F.col("rank") * F.col("own")).alias("old")
             )
+            moved = passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank"), "old")
         moved = materialise(moved)
         if moved.select(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] < tolerance:
             break
-    return moved.select("id", "rank")
+    return moved.select(F.col("src").alias("id"), "rank")
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kindred.functions.phrases import LIBRARY, ranked_phrases
 from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import ascii_fold, field_words, round_half_up
+from kindred.session import materialise
 
 # Weight of a keyword by the field it comes from, one row per profile.
 FIELD_WEIGHTS = {
@@ -104,13 +105,18 @@ def group_postings(index: DataFrame, per_row: int = POSTINGS_PER_ROW, extra: Seq
     row or task has to hold all of a very common keyword. ``index`` is read twice: pass a written table.
     """
     counts = index.groupBy("keyword").agg(F.count("*").alias("n"))
-    common = counts.where(F.col("n") > per_row).select(
-        "keyword", F.ceil(F.col("n") / F.lit(per_row)).cast("long").alias("chunks")
+    common = materialise(
+        counts.where(F.col("n") > per_row).select(
+            "keyword", F.ceil(F.col("n") / F.lit(per_row)).cast("long").alias("chunks")
+        )
     )
     chunks = F.coalesce(F.col("chunks"), F.lit(1).cast("long"))
+    # placed by chunk explicitly: a placement by keyword alone would satisfy the grouping as well,
+    # but put all chunks of a common keyword into one task
     return (
         index.join(common, "keyword", "left")
         .withColumn("chunk", chunk_of(F.col("doc_id"), chunks))
+        .repartition("keyword", "chunk")
         .groupBy("keyword", "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "score", *extra))).alias("postings"))
     )

@@ -14,8 +14,9 @@ def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
 
 
 def timed(events: DataFrame, delay: str) -> DataFrame:
-    """Events with a proper timestamp and a watermark."""
-    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+    """Events with a proper timestamp and a watermark; times without a zone are UTC."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
+    return events.withColumn("ts", local.cast("timestamp")).withWatermark("ts", delay)
 
 
 def window_counts(events: DataFrame, size: str, slide: str | None, *keys: str) -> DataFrame:
