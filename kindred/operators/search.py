@@ -37,10 +37,10 @@ def _token_set(text: Column, without: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(without))) if without else tokens
 
 
-def phrase_pairs(keywords: DataFrame, phrases: DataFrame, without: Sequence[str] = ()) -> DataFrame:
-    """``(query_id, phrase, score, keyword, shared, x, y)`` for all pairs with a common token.
+def token_pairs(keywords: DataFrame, phrases: DataFrame, near: Column, without: Sequence[str] = ()) -> DataFrame:
+    """``(query_id, phrase, score, keyword, x, y)``, one row per common token of a keyword and a phrase.
 
-    A similarity above zero needs a common token, so the equality join on tokens loses nothing.
+    ``x`` and ``y`` are the token counts; ``near`` drops hopeless pairs before anything is shuffled.
     """
     left = keywords.select("keyword", _token_set(F.col("keyword"), without).alias("tokens")).select(
         "keyword", F.size("tokens").alias("x"), F.explode("tokens").alias("token")
@@ -48,10 +48,26 @@ def phrase_pairs(keywords: DataFrame, phrases: DataFrame, without: Sequence[str]
     right = phrases.select("query_id", "phrase", "score", _token_set(F.col("phrase"), without).alias("tokens")).select(
         "query_id", "phrase", "score", F.size("tokens").alias("y"), F.explode("tokens").alias("token")
     )
+    return left.join(right, "token").where(near).select("query_id", "phrase", "score", "keyword", "x", "y")
+
+
+def phrase_pairs(
+    keywords: DataFrame, phrases: DataFrame, threshold: float, without: Sequence[str] = ()
+) -> DataFrame:
+    """``(query_id, phrase, score, keyword, ratio)`` for all pairs with a set cosine above ``threshold``.
+
+    A cosine above zero needs a common token, so the equality join on tokens loses nothing. It is at most
+    the root of the ratio of the two sizes, which prunes pairs early.
+    """
+    square = threshold * threshold
+    near = (F.col("x") > F.col("y") * square) & (F.col("y") > F.col("x") * square)
     return (
-        left.join(right, "token")
+        token_pairs(keywords, phrases, near, without)
         .groupBy("query_id", "phrase", "score", "keyword", "x", "y")
         .agg(F.count("*").alias("shared"))
+        .withColumn("ratio", set_cosine(F.col("shared"), F.col("x"), F.col("y")))
+        .where(F.col("ratio") > threshold)
+        .select("query_id", "phrase", "score", "keyword", "ratio")
     )
 
 
@@ -93,9 +109,7 @@ def fuzzy_matches(
     (overlap with the case-sensitive words of the text) or ``substring`` (keyword occurs in the text).
     """
     top = phrases.where(F.col("rank") <= F.floor(F.col("n") / F.lit(share)))
-    ratio = set_cosine(F.col("shared"), F.col("x"), F.col("y"))
-    close = phrase_pairs(keywords, top, without).withColumn("ratio", ratio).where(F.col("ratio") > threshold)
-    close = not_exact(close, phrases)
+    close = not_exact(phrase_pairs(keywords, top, threshold, without), phrases)
     if prefilter == "substring":
         kept = close.join(queries, "query_id").where(F.contains(F.col("text"), F.col("keyword")))
     else:
@@ -134,14 +148,13 @@ def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6
 
     Pairs share a token; ``ratio`` is 1 - distance / longer length.
     """
-    pairs = not_exact(phrase_pairs(keywords, phrases), phrases)
     longest = F.greatest(F.length("keyword"), F.length("phrase"))
-    ratio = 1 - F.levenshtein("keyword", "phrase") / longest
     # the difference in length is a lower bound of the distance: cheap test before the exact one
     bound = 1 - F.abs(F.length("keyword") - F.length("phrase")) / longest
+    pairs = token_pairs(keywords, phrases, bound >= threshold).select("query_id", "phrase", "score", "keyword").distinct()
     return (
-        pairs.where(bound >= threshold)
-        .withColumn("ratio", ratio)
+        not_exact(pairs, phrases)
+        .withColumn("ratio", 1 - F.levenshtein("keyword", "phrase") / longest)
         .where(F.col("ratio") >= threshold)
         .select("query_id", "keyword", "phrase", "ratio", (F.col("score") / 2).alias("kw_score"))
     )
