@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import best_fit, cotraining, exact_dedup, secret_automata, simhash
-from kindred.llm.common import LOWER, UPPER, table
+from kindred.llm import (
+    backoff_lm,
+    best_fit,
+    cotraining,
+    exact_dedup,
+    language_id,
+    license_scan,
+    permutation_index,
+    piece_codec,
+    secret_automata,
+    simhash,
+)
+from kindred.llm.common import LOWER, UPPER, held_out, table
 from kindred.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +51,18 @@ def op1_block_naming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query()
+def op2_family_then_svm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all ``documents``, learned outside one fold of five."""
+    return language_id.cross_fold(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest ``embeddings`` by cosine of every fiftieth one."""
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op4_format_automata_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in ``documents`` by fixed patterns and learned formats."""
@@ -48,10 +71,39 @@ def op4_format_automata_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = secret_automata.scan(docs, model).drop("text")
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_automata.KINDS))
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in secret_automata.KINDS]
+    of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    counts = [of_kind(kind).alias(f"n_{kind}") for kind in secret_automata.KINDS]
     return spans.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+@query(license_scan.scan_sql())
+def op5_rare_word_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    found = license_scan.scan(docs, license_scan.weights(docs))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places").cast("long").alias("first_word"), F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), F.round("score", 6).alias("score"),
+    )
+
+
+@query()
+def op6_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the pieces of all ``documents`` and of the texts decoded from them."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_codec.digests(table(spark, sf_dir, "documents"), path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op7_backoff_automaton_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all ``documents`` by a model of those outside one fold of seven."""
+    docs = table(spark, sf_dir, "documents")
+    out = held_out("doc_id", 7, 2)
+    automaton, counts = backoff_lm.learn(docs.where(~out))
+    scored = backoff_lm.score(docs, automaton, counts)
+    return scored.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op8_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all ``documents``, learned from ``labels``."""
