@@ -158,7 +158,7 @@ def _packer(capacity: int, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def _deal(items: DataFrame, count: int, capacity: int, per_part: int, turn: int) -> DataFrame:
-    parts = max(1, ceil_div(count, per_part))
+    parts = max(1, ceil_div(count, per_part << turn))
     dealt = items.withColumn("part", F.pmod(F.xxhash64(F.lit(turn), "row", "piece"), F.lit(parts)).cast("int"))
     out = T.StructType([*items.schema.fields]).add("sequence_id", "long").add("offset", "long").add("filled", "long").add("gap", "long")
     return materialise(dealt.groupBy("part").applyInPandas(_packer(capacity, turn), out))
@@ -172,7 +172,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_part: int = PIECES_PER_
     """``items`` (``row``, ``piece``, ``length`` up to ``capacity``, and others) with ``sequence_id`` and ``offset``.
 
     Every item gets one place; places in a sequence follow each other without gaps from 0. An empty table stays empty.
-    ``items`` should be a written table. A partition's bins are certified where they equal its bound; the
+    ``items`` should be a written table. Each round's partitions hold twice the pieces of the last round's. A partition's bins are certified where they equal its bound; the
     others' unfilled bins are pooled. Once all are certified, unfilled bins of all partitions are pooled as long as the
     bound of the whole corpus, from the counts of its at most ``capacity`` lengths, is not met.
     """
@@ -191,11 +191,12 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_part: int = PIECES_PER_
         pooled = uncertified if turn == 1 and not packed.where(uncertified).isEmpty() else unfilled
         pool = packed.where(pooled).select(*items.columns)
         old = packed.where(pooled & (F.col("offset") == 0)).count()
-        new = _deal(pool, pool.count(), capacity, per_part, turn)
+        pieces_left = pool.count()
+        new = _deal(pool, pieces_left, capacity, per_part, turn)
         now = _bins(new)
         if now < old:
             packed = materialise(packed.where(~pooled).unionByName(new))
             total += now - old
-        elif pooled is unfilled:
-            break
+        elif pieces_left <= per_part << turn:
+            break  # all of them in one task, and nothing saved
     return packed.select(*items.columns, "sequence_id", "offset")

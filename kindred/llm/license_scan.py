@@ -1,6 +1,6 @@
 """License notices by a positional index of rare words, in Spark functions only.
 
-The words of the templates are weighed by their rarity in the corpus. A template is looked up by its two rarest words: the
+The words of the templates are weighed by their rarity in the corpus. A template is looked up by the two rarest words of its key phrase: the
 places of each in a file give the places where the template may start, and only places that both name remain. There the
 template's key phrase must stand, word by word, and the weighed share of all its words that stand where they should is the score.
 """
@@ -74,8 +74,8 @@ def weights(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> dict[
 
 
 def rarest(template: Template, idf: dict[str, float]) -> list[int]:
-    """Positions of the two words with the largest weight, the earlier one of equals."""
-    return sorted(range(len(template.words)), key=lambda i: (-idf[template.words[i]], i))[:2]
+    """Positions of the key phrase's two words with the largest weight, the earlier one of equals."""
+    return sorted(range(*template.key), key=lambda i: (-idf[template.words[i]], i))[:2]
 
 
 def _places(words: Column, word: str) -> Column:
@@ -147,7 +147,7 @@ WITH docs AS (SELECT row_number() OVER () AS row, doc_id, list_filter(string_spl
   used AS (SELECT tokens.* FROM tokens WHERE word IN (SELECT word FROM templates)),
   idf AS (SELECT v.word, ln(((SELECT count(*) FROM docs) + 1) / (count(DISTINCT u.row) + 1)) + 1 AS w
     FROM (SELECT DISTINCT word FROM templates) v LEFT JOIN used u USING (word) GROUP BY v.word),
-  weighed AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY w DESC, place) <= 2 AS rare, sum(w) OVER (PARTITION BY t) AS whole,
+  weighed AS (SELECT *, in_key AND row_number() OVER (PARTITION BY t, in_key ORDER BY w DESC, place) <= 2 AS rare, sum(w) OVER (PARTITION BY t) AS whole,
     count(*) FILTER (in_key) OVER (PARTITION BY t) AS in_phrase FROM templates JOIN idf USING (word)),
   aligned AS (SELECT row, t, any_value(label) AS label, any_value(base) AS base, i - place AS start, sum(w) / any_value(whole) AS share
     FROM used JOIN weighed USING (word) GROUP BY row, t, i - place

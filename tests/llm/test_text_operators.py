@@ -66,12 +66,12 @@ def test_automata_learn_a_format(spark):
 
 
 def test_automaton_merges_states_and_sums_to_one():
-    arcs = secret_automata.infer(["00f" * n for n in range(1, 9) for _ in range(50)])
+    arcs = secret_automata.infer(["00f" * n for n in range(1, 9) for _ in range(512 >> n)])
     totals = Counter()
     for state, _, _, score in arcs:
         totals[state] += math.exp(score)
     assert all(abs(t - 1) < 1e-9 for t in totals.values())
-    assert len(totals) < 24
+    assert len(totals) <= 6
 
 
 def test_redact_and_mask(spark):
@@ -90,7 +90,7 @@ def words_by_force(text):
 
 
 def test_licenses_of_odd_rows(spark, odd, none):
-    extra = [(50, "Licensed under CC BY-NC 4.0.", "en"), (51, "cc by cc by", None), (52, "All rights  reserved ALL RIGHTS\nRESERVED", None), (53, "worK ccK by by", None), (54, "Permission is hereby granted, free of charge, to any person", "en")]
+    extra = [(50, "Licensed under CC BY-NC 4.0.", "en"), (51, "cc by cc by", None), (52, "All rights  reserved ALL RIGHTS\nRESERVED", None), (53, "worK ccK by by", None), (54, "Permission is hereby granted, free of charge, to any person obtaining", "en")]
     docs = odd.unionByName(spark.createDataFrame(extra, "doc_id long, text string, lang string"), allowMissingColumns=True)
     idf = license_scan.weights(docs)
     rows = license_scan.scan(docs.withColumn("places", docs["doc_id"]), idf).collect()
@@ -137,7 +137,7 @@ def test_svm_separates():
     random = np.random.default_rng(0)
     x = random.normal(size=(300, 5))
     signs = np.where(x @ [1, -2, 0.5, 0, 0] + 0.3 > 0, 1.0, -1.0)
-    w = language_id.svm(x, signs, cost=100)
+    w = language_id.svm(x, signs, cost=100, passes=500)
     assert (np.sign(x @ w[:-1] + w[-1]) == signs).mean() > 0.98
 
 
