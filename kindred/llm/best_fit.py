@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -22,7 +23,7 @@ from kindred.llm.common import bodies, ceil_div
 from kindred.session import materialise
 
 #: Tokens in a sequence, pieces packed by one task, rounds of exchange, words whose ids a worker keeps.
-CAPACITY, PIECES_PER_PART, ROUNDS, CACHE = 1024, 50_000, 4, 200_000
+CAPACITY, PIECES_PER_PART, ROUNDS, CACHE = 1024, 50_000, 4, 800_000
 
 
 class WordTokenizer:
@@ -40,28 +41,47 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._cache, self._known = cache, {}
+        # the id of a line break, which no word without one has among its ids
+        self._break = self._tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self._tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text."""
-        words = []
-        for text in texts:
-            found = text.replace("\n", " \n").split(" ")
-            # the first word has no space before it; a text that starts with white space is left whole
-            odd = not text or any(not w or w[-1].isspace() or w[:2].lstrip("\n")[:1].isspace() for w in found)
-            words.append(None if odd else found)
-        for at in range(0, len(words), 256):
-            part = words[at : at + 256]
-            if len(self._known) > self._cache:
-                self._known.clear()
+        return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, texts: list[list[str]]) -> None:
+        """Ids of the words that are not kept yet; none for a word in which white space touches the space or break around it."""
+        known = self._known
+        if len(known) > self._cache:
+            known.clear()
+        new = set().union(*[found[1:] for found in texts]).difference(known)
+        odd = {w for w in new if not w or w[-1].isspace() or w[:2].lstrip("\n")[:1].isspace()}
+        known.update(dict.fromkeys(odd))
+        # words with white space inside or before them on their own; the others in long texts, one to a line
+        broken = [w for w in new - odd if w.split() != [w]]
+        known.update(zip(broken, self._plain([w if w[0] == "\n" else " " + w for w in broken]), strict=True))
+        plain = list((new - odd).difference(broken))
+        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
+        for group, ids in zip(groups, self._plain(["\n ".join(["", *group])[1:] for group in groups]), strict=True):
+            known.update(zip(group, _split(ids, self._break), strict=True))
+
+    def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
+        """32-bit ids of every text, as bytes."""
+        for at in range(0, len(texts), 256):
+            part = texts[at : at + 256]
+            words = [text.replace("\n", " \n").split(" ") for text in part]
+            self._learn(words)
             known = self._known
-            new = list({w for found in part if found for w in found[1:] if w not in known})
-            known.update(zip(new, self._plain([w if w[0] == "\n" else " " + w for w in new]), strict=True))
-            whole = [text if found is None else found[0] for text, found in zip(texts[at : at + 256], part, strict=True)]
-            for head, found in zip(self._plain(whole), part, strict=True):
-                yield head if found is None else head + b"".join([known[w] for w in found[1:]])
+            kept = [[known[w] for w in found[1:]] for found in words]
+            # the first word has no space before it; a text that starts with white space is left whole
+            whole = [None in ids or not found[0] or found[0][0].isspace() or found[0][-1].isspace() for found, ids in zip(words, kept, strict=True)]
+            heads = self._plain([text if all_of_it else found[0] for text, found, all_of_it in zip(part, words, whole, strict=True)])
+            for head, ids, all_of_it in zip(heads, kept, whole, strict=True):
+                yield head if all_of_it else head + b"".join(ids)
+
+
+def _split(data: bytes, separator: int) -> list[bytes]:
+    ids = np.frombuffer(data, "<u4")
+    at = 4 * np.flatnonzero(ids == separator)
+    return [data[a:b] for a, b in zip([0, *(at + 4).tolist()], [*at.tolist(), len(data)], strict=True)]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int | None = 2, carry: Sequence[str] = (), keep_ids: bool = True) -> DataFrame:
