@@ -227,12 +227,12 @@ def io_orc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roundtrip(spark, _part(spark, sf_dir), "orc")
 
 
-@query("SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) WHERE NOT contains(line, chr(13)) GROUP BY 1")
+@query("SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1")
 def io_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark)
     lines = table(spark, sf_dir, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
-    lines.where(~F.contains("value", F.lit("\r"))).write.text(path)
-    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+    lines.write.text(path, lineSep="\n")
+    return spark.read.text(path, lineSep="\n").groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderstatus = 'F' GROUP BY 1")

@@ -124,18 +124,24 @@ def graph_transitive_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.transitive_closure(trade.crossJoin(F.broadcast(mean)).where("v > bound"))
 
 
-# sparse graph: parts (even ids) and suppliers (odd ids) linked by bulk deals at the best discount
+# a second graph: parts (even ids) and suppliers (odd ids) linked by the lines that sell one of the other
 
 
 def _deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where("l_quantity >= 49 AND l_discount >= 0.1")
-    return li.select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"), F.col("l_linenumber").cast("double").alias("weight"))
+    return table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"), F.col("l_linenumber").cast("double").alias("weight"))
 
 
-_DEALS = "deals AS (SELECT l_partkey * 2 AS src, l_suppkey * 2 + 1 AS dst, CAST(l_linenumber AS DOUBLE) AS weight FROM lineitem WHERE l_quantity >= 49 AND l_discount >= 0.1), both_ways AS (SELECT src, dst, weight FROM deals UNION SELECT dst, src, weight FROM deals)"
+_DEALS = "deals AS (SELECT l_partkey * 2 AS src, l_suppkey * 2 + 1 AS dst, CAST(l_linenumber AS DOUBLE) AS weight FROM lineitem), both_ways AS (SELECT src, dst, weight FROM deals UNION SELECT dst, src, weight FROM deals)"
 
 
-@query(f"WITH RECURSIVE {_DEALS}, reach AS (SELECT src AS id, src AS other FROM both_ways UNION SELECT reach.id, dst FROM reach JOIN both_ways ON src = other) SELECT id, min(other) AS component FROM reach GROUP BY id")
+def _components_sql(rounds: int = 16) -> str:
+    ctes = [_DEALS, "c0 AS (SELECT DISTINCT src AS id, src AS c FROM both_ways)"]
+    for i in range(rounds):
+        ctes.append(f"c{i + 1} AS MATERIALIZED (SELECT id, min(c) AS c FROM (SELECT id, c FROM c{i} UNION ALL SELECT dst, c FROM c{i} JOIN both_ways ON src = id) GROUP BY id)")
+    return "WITH " + ", ".join(ctes) + f" SELECT id, c AS component FROM c{rounds}"
+
+
+@query(_components_sql())
 def graph_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.components(_deals(spark, sf_dir))
 

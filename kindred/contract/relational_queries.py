@@ -39,13 +39,12 @@ def rel_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _balances(spark: SparkSession, sf_dir: str):
-    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_totalprice > 400000").select("o_orderkey", "o_custkey", "o_totalprice")
-    rich = table(spark, sf_dir, "customer").where("c_acctbal > 5000").select("c_custkey", "c_acctbal")
-    return orders, rich
+    """Orders, and the accounts that sell: customers and suppliers share one id space."""
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
 
 
-_O = "(SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000) o"
-_C = "(SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 5000) c"
+_O = "(SELECT o_orderkey, o_custkey, o_totalprice FROM orders) o"
+_C = "(SELECT s_suppkey, s_acctbal FROM supplier) c"
 
 
 def _register_joins() -> None:
@@ -54,18 +53,18 @@ def _register_joins() -> None:
         ("join_right", "right", "RIGHT JOIN"), ("join_full", "full", "FULL JOIN"),
     ):
         def joined(spark: SparkSession, sf_dir: str, how: str = how) -> DataFrame:
-            orders, rich = _balances(spark, sf_dir)
-            return orders.join(rich, orders.o_custkey == rich.c_custkey, how)
+            orders, sellers = _balances(spark, sf_dir)
+            return orders.join(sellers, orders.o_custkey == sellers.s_suppkey, how)
 
         joined.__name__ = name
-        query(f"SELECT * FROM {_O} {sql} {_C} ON o_custkey = c_custkey")(joined)
+        query(f"SELECT * FROM {_O} {sql} {_C} ON o_custkey = s_suppkey")(joined)
     for name, how, sql in (("join_semi", "left_semi", "IN"), ("join_anti", "left_anti", "NOT IN")):
         def joined(spark: SparkSession, sf_dir: str, how: str = how) -> DataFrame:
-            orders, rich = _balances(spark, sf_dir)
-            return orders.join(rich, orders.o_custkey == rich.c_custkey, how)
+            orders, sellers = _balances(spark, sf_dir)
+            return orders.join(sellers, orders.o_custkey == sellers.s_suppkey, how)
 
         joined.__name__ = name
-        query(f"SELECT * FROM {_O} WHERE o_custkey {sql} (SELECT c_custkey FROM {_C})")(joined)
+        query(f"SELECT * FROM {_O} WHERE o_custkey {sql} (SELECT s_suppkey FROM {_C})")(joined)
 
 
 _register_joins()

@@ -9,7 +9,7 @@ from kindred.contract.registry import query
 from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import round_half_up
 from kindred.operators import search
-from kindred.operators.keywords import postings
+from kindred.operators.keywords import FIELDS, postings
 from kindred.operators.similarity import UNSHARED, rerank
 from kindred.plans import recommend as plan
 from kindred.session import materialise, work_dir
@@ -20,22 +20,27 @@ def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return plan.build_index(articles(spark, sf_dir))
 
 
-def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.dictionary(materialise(postings(articles(spark, sf_dir))))
+def _keywords(spark: SparkSession, sf_dir: str, fields=FIELDS) -> DataFrame:
+    return search.dictionary(materialise(postings(articles(spark, sf_dir), fields)))
+
+
+# the fields that give single words: misspelled words are looked for among these
+WORD_FIELDS = ("title", "keywords", "meta_description", "tags")
 
 
 def _phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(search.query_phrases(query_articles(spark, sf_dir)))
 
 
+QUERIES = "\nqa AS (SELECT item_id // 10 AS item_id, string_agg(text, chr(10) ORDER BY item_id) AS text FROM benchmark GROUP BY 1)"
 PHRASES = (
-    q.rake("qr", "benchmark", "item_id", "text", 0.5)
+    QUERIES + "," + q.rake("qr", "qa", "item_id", "text", 0.5)
     + ",\nqp AS (SELECT id AS query_id, phrase, score, rn AS rank, count(*) OVER (PARTITION BY id) AS n FROM qr)"
 )
 FOLDED = "\nfx AS (SELECT " + q.fold("keyword") + " AS keyword, doc_id, score FROM idx),\ndict AS (SELECT DISTINCT keyword FROM fx)"
 TEXT_WORDS = (
     "\ntw AS (SELECT item_id AS query_id, list_distinct(list_filter(string_split("
-    r"regexp_replace(regexp_replace(lower(text), '[ \t\n\r\f\x0b]+', ' ', 'g'), '[^A-Za-z0-9 ]+', '', 'g'), ' '), lambda w: w <> '')) AS words, text FROM benchmark)"
+    r"regexp_replace(regexp_replace(lower(text), '[ \t\n\r\f\x0b]+', ' ', 'g'), '[^A-Za-z0-9 ]+', '', 'g'), ' '), lambda w: w <> '')) AS words, text FROM qa)"
 )
 
 
@@ -90,7 +95,7 @@ rr AS (SELECT query_id, doc_id, CASE WHEN sum(a) > 0 AND sum(b) > 0
        FROM pw GROUP BY query_id, doc_id)"""
 
 
-PAIRS = "\nprs AS (SELECT td.*, b.text AS query_text, d.text FROM td JOIN benchmark b ON b.item_id = td.query_id JOIN documents d USING (doc_id))"
+PAIRS = "\nprs AS (SELECT td.*, b.text AS query_text, d.text FROM td JOIN qa b ON b.item_id = td.query_id JOIN documents d USING (doc_id))"
 
 
 @query(q.with_(PHRASES) + "SELECT query_id, phrase, " + q.half_up("score", 6) + " AS score, rank, n FROM qp")
@@ -110,27 +115,20 @@ def match_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    q.with_(q.ARTICLES, q.index(), FOLDED, TEXT_WORDS)
-    + f"SELECT query_id, count(*) AS n, min(keyword) AS low, max(keyword) AS high FROM dict, tw WHERE {OVERLAP} GROUP BY query_id"
+    q.with_(q.ARTICLES, q.index(), FOLDED, QUERIES, TEXT_WORDS)
+    + f"SELECT query_id, keyword FROM dict, tw WHERE {OVERLAP}"
 )
 def match_overlap_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = search.overlapping_keywords(_keywords(spark, sf_dir), query_articles(spark, sf_dir))
-    return found.groupBy("query_id").agg(
-        F.count("*").alias("n"), F.min("keyword").alias("low"), F.max("keyword").alias("high")
-    )
-
-
-# the test passages have fewer than twenty phrases: half of their phrases take part here
-HALF = "\ntop AS (SELECT * FROM qp WHERE rank <= n // 2)"
+    return search.overlapping_keywords(_keywords(spark, sf_dir), query_articles(spark, sf_dir))
 
 
 @query(
-    q.with_(q.ARTICLES, q.index(), PHRASES, FOLDED, TEXT_WORDS, HALF, pair_sql("top"), FUZZY)
+    q.with_(q.ARTICLES, q.index(), PHRASES, FOLDED, TEXT_WORDS, TOP, pair_sql("top"), FUZZY)
     + "SELECT query_id, keyword, phrase, " + q.half_up("ratio", 6) + " AS ratio, " + q.half_up("kw_score", 6) + " AS kw_score FROM fz"
 )
 def match_fuzzy_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     keywords = _keywords(spark, sf_dir)
-    found = search.fuzzy_matches(keywords, _phrases(spark, sf_dir), query_articles(spark, sf_dir), share=2)
+    found = search.fuzzy_matches(keywords, _phrases(spark, sf_dir), query_articles(spark, sf_dir))
     return _rounded(found)
 
 
@@ -174,12 +172,14 @@ def _nostop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    q.with_(q.ARTICLES, q.index(), PHRASES, FOLDED, pair_sql("qp"))
+    q.with_(q.ARTICLES, q.index(fields=WORD_FIELDS), PHRASES, FOLDED)
     + "SELECT query_id, keyword, phrase, " + q.half_up("r", 6) + " AS ratio, " + q.half_up("score / 2", 6) + " AS kw_score FROM ("
-    "SELECT *, 1 - levenshtein(keyword, phrase) / greatest(length(keyword), length(phrase)) AS r FROM pn) WHERE r >= 0.6"
+    "SELECT *, 1 - levenshtein(keyword, phrase) / greatest(length(keyword), length(phrase)) AS r FROM dict, qp "
+    "WHERE abs(length(keyword) - length(phrase)) <= 0.41 * greatest(length(keyword), length(phrase)) "
+    "AND NOT EXISTS (SELECT 1 FROM qp own WHERE own.query_id = qp.query_id AND own.phrase = dict.keyword)) WHERE r >= 0.6"
 )
 def match_edit_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(search.edit_matches(_keywords(spark, sf_dir), _phrases(spark, sf_dir)))
+    return _rounded(search.edit_matches(_keywords(spark, sf_dir, WORD_FIELDS), _phrases(spark, sf_dir)))
 
 
 @query(

@@ -10,7 +10,7 @@ from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import letter_words, plain_words, round_half_up
 from kindred.operators import similarity as sim
 from kindred.session import materialise, work_dir
-from kindred.sources.articles import query_articles, read_word_vectors, table, texts
+from kindred.sources.articles import passages, read_word_vectors, table, texts
 
 VECTOR_SIZE = 64
 COUNTED = r"[\p{L}\p{N}_]{2,}"
@@ -75,7 +75,7 @@ def sim_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = texts(spark, sf_dir)
     weights, idf = sim.corpus_weights(docs, "doc_id", words("text"))
-    queries = materialise(sim.query_weights(query_articles(spark, sf_dir), "query_id", words("text"), idf))
+    queries = materialise(sim.query_weights(passages(spark, sf_dir), "query_id", words("text"), idf))
     scores = (
         weights.join(queries.withColumnRenamed("weight", "qw"), "word")
         .groupBy("query_id", "doc_id")
@@ -180,7 +180,7 @@ def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     The mean cosine of a word with a set of words is its product with the mean unit vector of the set,
     so no word pairs are formed.
     """
-    sides = query_articles(spark, sf_dir).select(F.col("query_id").alias("id"), "text")
+    sides = passages(spark, sf_dir).select(F.col("query_id").alias("id"), "text")
     words = sides.select("id", F.explode(letter_words(F.col("text"))).alias("word"))
     vectors = materialise(word_vectors(spark, sf_dir, words))
     means = sim.text_vectors(sides, "id", "text", vectors, VECTOR_SIZE, unit=True)
@@ -199,7 +199,7 @@ def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sim_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a query article and a document whose word sets are close."""
-    queries = query_articles(spark, sf_dir).select("query_id", letter_words(F.col("text")).alias("words"))
+    queries = passages(spark, sf_dir).select("query_id", letter_words(F.col("text")).alias("words"))
     docs = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), letter_words(F.col("text")).alias("words"))
     found = sim.similar_texts(queries, docs, 0.3)
     return found.withColumn("similarity", round_half_up(F.col("similarity"), 6))

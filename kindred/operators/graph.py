@@ -33,11 +33,12 @@ def pagerank(edges: DataFrame, iterations: int) -> DataFrame:
     return ranks.withColumnRenamed("src", "id")
 
 
-def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 40) -> DataFrame:
+def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 400) -> DataFrame:
     """``(id, rank)`` of all vertices, iterated until no rank moves by ``tolerance`` or more.
 
     Every vertex has a link to itself that passes nothing on but keeps it, with its last rank, in the
-    grouping. ``CHAINED`` iterations are one job; its last step is written and tested.
+    grouping. ``CHAINED`` iterations are one job; its last step is written and tested. Ranks that still move
+    after ``limit`` jobs raise an error.
     """
     shares = _shares(edges).withColumn("own", F.lit(0.0))
     vertices = shares.select("src").union(shares.select("dst")).distinct()
@@ -52,8 +53,8 @@ def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 40) -> DataF
             moved = passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank"), "old")
         moved = materialise(moved)
         if moved.select(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] < tolerance:
-            break
-    return moved.select(F.col("src").alias("id"), "rank")
+            return moved.select(F.col("src").alias("id"), "rank")
+    raise RuntimeError(f"ranks still move by {tolerance} or more after {limit * CHAINED} iterations")
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:

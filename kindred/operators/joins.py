@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def asof_last(events: DataFrame, key: str, time: str, bucket: Column, is_source: Column, value: str) -> DataFrame:
-    """Every row with ``last_value`` and ``last_time`` of the nearest earlier source row of its key.
+    """Every row with ``last_value`` and ``last_time`` of the nearest source row of its key at a strictly earlier time.
+
+    Of several source rows at that time the one with the largest value counts. ``time`` is a timestamp or a whole number.
 
     A key is cut into time buckets. Inside a bucket a window looks back; what earlier buckets hand over is
     one row per bucket, so a very frequent key is spread over as many tasks as it has buckets.
@@ -16,8 +18,10 @@ def asof_last(events: DataFrame, key: str, time: str, bucket: Column, is_source:
     per_bucket = rows.groupBy(key, "bucket").agg(F.max("seen").alias("newest"))
     earlier = Window.partitionBy(key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_bucket.select(key, "bucket", F.last("newest", ignorenulls=True).over(earlier).alias("carried"))
-    before = Window.partitionBy(key, "bucket").orderBy(time).rowsBetween(Window.unboundedPreceding, -1)
-    found = F.coalesce(F.last("seen", ignorenulls=True).over(before), F.col("carried"))
+    whole = F.unix_micros(F.col(time).cast("timestamp")) if dict(events.dtypes)[time].startswith("timestamp") else F.col(time).cast("long")
+    # a frame by time, not by rows: rows of the same time do not see each other
+    before = Window.partitionBy(key, "bucket").orderBy(whole).rangeBetween(Window.unboundedPreceding, -1)
+    found = F.coalesce(F.max("seen").over(before), F.col("carried"))
     return (
         rows.join(carried, [key, "bucket"])
         .withColumn("found", found)
@@ -29,13 +33,13 @@ def asof_last(events: DataFrame, key: str, time: str, bucket: Column, is_source:
 
 def salted_sum(df: DataFrame, key: str, value: str, salts: int = 32) -> DataFrame:
     """``(key, n, total)`` in two steps: per key and salt first, so one hot key is many groups."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))  # equal rows are spread as well
     partial = df.groupBy(key, salt.alias("salt")).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
     return partial.groupBy(key).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16) -> DataFrame:
     """Inner join with the big side spread by salt and the other side repeated once per salt."""
-    left = big.withColumn("salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    left = big.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     right = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "salt"]).drop("salt")

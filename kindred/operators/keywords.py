@@ -42,9 +42,13 @@ def _phrases(field: str, fraction: float, variant: str, stopwords: Sequence[str]
 
 
 def parse_word_list(cell: Column) -> Column:
-    """A Python list literal of strings; a cell that does not parse gives null."""
-    plain = F.regexp_replace(cell, r"([\[, ])u'", "$1'")
-    return F.from_json(plain, "array<string>", {"allowSingleQuotes": "true"})
+    """A Python list literal of strings; a cell that does not parse gives null.
+
+    The prefix ``u`` goes before a quote that opens a string; strings are passed over whole.
+    """
+    string = r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")"""
+    plain = F.regexp_replace(cell, string + r"""|u(?=['"])""", "$1")
+    return F.from_json(plain, "array<string>", {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
 
 
 def field_keywords(
@@ -122,11 +126,17 @@ def group_postings(index: DataFrame, per_row: int = POSTINGS_PER_ROW, extra: Seq
     )
 
 
+# characters of an id that the posting format uses itself, and what stands for them; the percent sign comes first
+ESCAPES = (("%", "%25"), ("(", "%28"), (")", "%29"), (",", "%2C"))
+
+
 def posting_text(doc_id: Column, score: Column) -> Column:
-    """``(id,score)`` with the score as a plain decimal."""
-    return F.concat(
-        F.lit("("), doc_id.cast("string"), F.lit(","), score.cast("decimal(20,1)").cast("string"), F.lit(")")
-    )
+    """``(id,score)`` with the score as a plain decimal of at least one digit; brackets and commas of the id are escaped."""
+    name = doc_id.cast("string")
+    for sign, code in ESCAPES:
+        name = F.replace(name, F.lit(sign), F.lit(code))
+    number = F.regexp_replace(score.cast("decimal(20,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.concat(F.lit("("), name, F.lit(","), number, F.lit(")"))
 
 
 def encode_postings(grouped: DataFrame) -> DataFrame:
@@ -143,10 +153,13 @@ def decode_postings(encoded: DataFrame) -> DataFrame:
         F.regexp_extract_all(cell, pattern, F.lit(1)).alias("doc_id"),
         F.regexp_extract_all(cell, pattern, F.lit(2)).alias("score"),
     )
+    doc_id = F.col("p.doc_id")
+    for sign, code in reversed(ESCAPES):
+        doc_id = F.replace(doc_id, F.lit(code), F.lit(sign))
     return (
         encoded.where(cell.isNotNull())
         .select(F.col("Keyword").alias("keyword"), F.explode(pairs).alias("p"))
-        .select("keyword", F.col("p.doc_id").alias("doc_id"), F.col("p.score").cast("double").alias("score"))
+        .select("keyword", doc_id.alias("doc_id"), F.col("p.score").try_cast("double").alias("score"))
     )
 
 

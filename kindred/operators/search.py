@@ -59,7 +59,7 @@ def phrase_pairs(
     A cosine above zero needs a common token, so the equality join on tokens loses nothing. It is at most
     the root of the ratio of the two sizes, which prunes pairs early.
     """
-    square = threshold * threshold
+    square = threshold * threshold * (1 - 1e-9)  # so that rounding loses no pair
     near = (F.col("x") > F.col("y") * square) & (F.col("y") > F.col("x") * square)
     return (
         token_pairs(keywords, phrases, near, without)
@@ -146,12 +146,26 @@ def overlapping_keywords(keywords: DataFrame, queries: DataFrame, strict: bool =
 def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6) -> DataFrame:
     """``(query_id, keyword, phrase, ratio, kw_score)`` by edit distance, with half of the phrase score.
 
-    Pairs share a token; ``ratio`` is 1 - distance / longer length.
+    ``ratio`` is 1 - distance / longer length. Every pair that can reach the threshold is compared: the distinct phrases
+    of the queries are joined by their length with the keywords of all lengths that fit, and pairs with more unshared
+    letters than edits allowed are dropped before the exact test.
     """
     longest = F.greatest(F.length("keyword"), F.length("phrase"))
-    # the difference in length is a lower bound of the distance: cheap test before the exact one
-    bound = 1 - F.abs(F.length("keyword") - F.length("phrase")) / longest
-    pairs = token_pairs(keywords, phrases, bound >= threshold).select("query_id", "phrase", "score", "keyword").distinct()
+    allowed = longest * (1 - threshold) + 1e-9
+    letters = "aggregate(filter(split({0}, ''), c -> c <> ''), 0L, (m, c) -> m | shiftleft(1L, ascii(c) % 64))"
+    size = F.length("keyword")
+    # many comparisons for little data: a stated number of partitions, which is not coalesced
+    tasks = max(keywords.sparkSession.sparkContext.defaultParallelism, int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    left = keywords.repartition(tasks, "keyword").where(size > 0).select(
+        "keyword",
+        F.expr(letters.format("keyword")).alias("a"),
+        F.explode(F.sequence(F.ceil(size * (threshold - 1e-9)).cast("int"), F.floor(size / (threshold - 1e-9)).cast("int"))).alias("size"),
+    )
+    wanted = phrases.select("phrase").distinct()
+    right = wanted.select("phrase", F.expr(letters.format("phrase")).alias("b"), F.length("phrase").alias("size"))
+    missing = F.greatest(F.bit_count(F.col("a").bitwiseAND(F.bitwise_not("b"))), F.bit_count(F.col("b").bitwiseAND(F.bitwise_not("a"))))
+    close = left.join(right, "size").where(missing <= allowed).where(F.levenshtein("keyword", "phrase") <= allowed)
+    pairs = close.select("keyword", "phrase").join(phrases.select("query_id", "phrase", "score"), "phrase")
     return (
         not_exact(pairs, phrases)
         .withColumn("ratio", 1 - F.levenshtein("keyword", "phrase") / longest)

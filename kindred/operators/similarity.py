@@ -131,7 +131,8 @@ def similar_texts(queries: DataFrame, texts: DataFrame, threshold: float) -> Dat
     by at most a factor ``t * t``; only such pairs are formed, then checked in full. Long words come
     first in the order, because they are rare.
     """
-    square = threshold * threshold
+    # both filters are a little wider than they need be, so that rounding loses no pair at the threshold
+    square = threshold * threshold * (1 - 1e-9)
 
     def prefixes(df: DataFrame, key: str, size: str) -> DataFrame:
         ordered = F.sort_array(F.transform("words", lambda w: F.struct((-F.length(w)).alias("k"), w.alias("w"))))

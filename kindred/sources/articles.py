@@ -100,6 +100,20 @@ def article_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select("doc_id", label_type().alias("type"))
 
 
-def query_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(query_id, text)``: the benchmark passages stand for query articles."""
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, text)``: every benchmark passage by itself."""
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+#: Passages in a query article.
+PARAGRAPHS = 10
+
+
+def query_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, text)``: ten benchmark passages in a row are the paragraphs of one query article.
+
+    A single passage has too few phrases for the fuzzy stage, which takes a twentieth of an article's phrases.
+    """
+    number = F.floor(F.col("item_id") / PARAGRAPHS).alias("query_id")
+    grouped = table(spark, sf_dir, "benchmark").groupBy(number).agg(F.array_sort(F.collect_list(F.struct("item_id", "text"))).alias("parts"))
+    return grouped.select("query_id", F.array_join("parts.text", "\n").alias("text"))

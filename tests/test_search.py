@@ -72,7 +72,7 @@ def test_substring_and_edit(spark):
     sub = search.fuzzy_matches(keywords, phrases, queries, threshold=0.0, share=1, prefilter="substring")
     assert {r.keyword for r in sub.collect()} == {"dog"}
     edit = search.edit_matches(keywords, phrases, 0.6).collect()
-    assert {(r.keyword, r.phrase, r.kw_score) for r in edit} == {("big red dog", "big red dog house", 8.0), ("blue cat", "blue cat nose", 4.5), ("big red dog", "red dog", 2.0)}
+    assert {(r.keyword, r.phrase, r.kw_score) for r in edit} == {("big red dog", "big red dog house", 8.0), ("blue cat", "blue cat nose", 4.5), ("big red dog", "red dog", 2.0), ("a1 red-dog", "red dog", 2.0)}
 
 
 def test_duplicate_postings_count_every_time_and_ties_go_by_id(spark):
