@@ -131,7 +131,8 @@ def exact_groups(docs: DataFrame, carry: Sequence[str] = (), block: int = BLOCK)
     id exactly one stays. Groups are counted before they are joined, so a group of any size is never one task's.
     """
     rows = materialise(identities(docs, carry, block))
-    groups = rows.groupBy("identity").agg(F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size"))
+    # written, so that both sides of the join are plain shuffles and Spark can split those of a large group
+    groups = materialise(rows.groupBy("identity").agg(F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size")))
     return rows.join(groups, "identity").select(
         "row", "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size", (F.col("top.row") == F.col("row")).alias("kept"), "text_sha256", *carry
     )
