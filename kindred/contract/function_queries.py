@@ -191,6 +191,70 @@ def fn_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT doc_id, len(list_distinct(list_concat(w, ['the', 'zzz']))) AS un, len(list_filter(list_distinct(w), lambda x: x NOT IN ('the', 'of'))) AS ex, "
+    "repeat(w[1], 2) AS re, instr(text, 'the') AS lo FROM (SELECT doc_id, text, string_split(text, ' ') AS w FROM documents)"
+)
+def fn_array_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = F.col("w")
+    return table(spark, sf_dir, "documents").select("doc_id", "text", F.split("text", " ").alias("w")).select(
+        "doc_id", F.size(F.array_union(w, F.array(F.lit("the"), F.lit("zzz")))).alias("un"), F.size(F.array_except(w, F.array(F.lit("the"), F.lit("of")))).alias("ex"),
+        F.array_join(F.array_repeat(w[0], 2), "").alias("re"), F.locate("the", "text").alias("lo"),
+    )
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, unnest(CASE WHEN l_linenumber > 3 THEN range(4, l_linenumber + 1) ELSE [NULL::BIGINT] END) AS step FROM lineitem")
+def fn_explode_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Empty arrays give one row with null."""
+    late = F.transform(F.filter(F.sequence(F.lit(1), "l_linenumber"), lambda i: i > 3), lambda i: i.cast("long"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.explode_outer(late).alias("step"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, 'STRUCT<k: BIGINT>' AS shape, value AS own, event_type = 'click' AS click FROM events")
+def fn_json_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entry = F.map_from_entries(F.array(F.struct("event_type", "value")))
+    return table(spark, sf_dir, "events").select("event_id", "event_type", entry.alias("m"), F.json_tuple("props", "k").alias("k")).select(
+        "event_id", "k", F.schema_of_json(F.lit('{"k": 1}')).alias("shape"), F.element_at("m", F.col("event_type")).alias("own"), F.map_contains_key("m", "click").alias("click")
+    )
+
+
+@query("SELECT n_regionkey, min(n_name) AS name, count(*) AS n FROM nation GROUP BY 1")
+def fn_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First value of a group that is constant in it."""
+    lowest = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.min("n_name").alias("low"))
+    return table(spark, sf_dir, "nation").join(lowest, "n_regionkey").groupBy("n_regionkey").agg(F.first("low").alias("name"), F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, quality, toxic FROM documents LEFT JOIN labels USING (doc_id) ORDER BY quality ASC NULLS LAST, toxic DESC NULLS FIRST, doc_id")
+def fn_sort_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return d.select("doc_id", "quality", "toxic").orderBy(F.asc_nulls_last("quality"), F.desc_nulls_first("toxic"), "doc_id")
+
+
+@query("SELECT p_partkey, round_even(p_retailprice / 100, 0) AS br, upper(to_base(p_partkey, 36)) AS cv, p_brand AS un, p_partkey >> 1 AS su FROM part")
+def fn_base_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", F.bround(F.col("p_retailprice") / 100, 0).alias("br"), F.conv(F.col("p_partkey").cast("string"), 10, 36).alias("cv"),
+        F.unhex(F.hex("p_brand")).cast("string").alias("un"), F.shiftrightunsigned("p_partkey", 1).alias("su"),
+    )
+
+
+@query(
+    "SELECT o_orderkey, strftime(d + INTERVAL 1 DAY * (8 - isodow(d)), '%Y-%m-%d') AS nd, strftime(d + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M') AS fz, "
+    "strftime(d - INTERVAL 9 HOUR, '%Y-%m-%d %H:%M') AS tz, strftime(date_trunc('day', d), '%Y-%m-%d %H:%M') AS ts FROM (SELECT o_orderkey, o_orderdate AS d FROM orders)"
+)
+def fn_dates_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("o_orderdate").cast("timestamp")
+
+    def minute(c):
+        return F.date_format(c, "yyyy-MM-dd HH:mm")
+
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.date_format(F.next_day(d, "Mon"), "yyyy-MM-dd").alias("nd"), minute(F.from_utc_timestamp(d, "Asia/Tokyo")).alias("fz"),
+        minute(F.to_utc_timestamp(d, "Asia/Tokyo")).alias("tz"), minute(F.to_timestamp(F.date_format(d, "yyyyMMdd"), "yyyyMMdd")).alias("ts"),
+    )
+
+
 # sources and sinks: written to the shared folder and read back
 
 
@@ -263,6 +327,15 @@ def io_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path).select("id", "name", "balance", "segment")
 
 
+@query("SELECT s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer")
+def io_insert_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended to a catalogue table."""
+    stored = f"accounts_{work_dir(spark).rsplit('/', 1)[1]}"
+    table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS id", "s_name AS name").write.option("path", work_dir(spark)).saveAsTable(stored)
+    table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.insertInto(stored)
+    return spark.table(stored)
+
+
 # user functions
 
 

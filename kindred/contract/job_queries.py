@@ -221,7 +221,7 @@ def metric_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality predicted from the length of a text."""
     p = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select(F.col("quality").alias("label"), "n_chars")
     per_value = p.groupBy("n_chars").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    curve = st.cumulative(per_value, "n_chars", F.floor(F.col("n_chars") / 100), "pos", "neg")
+    curve = st.cumulative(per_value, "n_chars", "pos", "neg")
     good, yes = F.col("label") == 1, F.col("n_chars") > 1000
 
     def count(c):
@@ -259,7 +259,7 @@ def metric_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stat_summary_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
-    rx, ry = st.ranks(li, "x", F.floor("x"), "rx"), st.ranks(li, "y", F.floor(F.col("y") / 100), "ry")
+    rx, ry = st.ranks(li, "x", "rx"), st.ranks(li, "y", "ry")
     x = F.col("x")
     return li.join(rx, "x").join(ry, "y").agg(
         F.count("*").alias("n"), F.round(F.avg(x), 6).alias("mean"), F.round(F.var_samp(x), 6).alias("variance"), F.min(x).alias("low"), F.max(x).alias("high"),
@@ -287,7 +287,7 @@ def stat_chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stat_ks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distance of the event values from an exponential distribution with their mean."""
     events = table(spark, sf_dir, "events").select("value", F.lit(1).alias("n"))
-    steps = st.cumulative(events, "value", F.floor("value"), "n")
+    steps = st.cumulative(events, "value", "n")
     moments = events.agg(F.avg("value").alias("mean"), F.count("*").alias("total"))
     cdf = 1 - F.exp(-F.col("value") / F.col("mean"))
     gap = F.greatest(F.abs(cdf - F.col("before_n") / F.col("total")), F.abs((F.col("before_n") + F.col("n")) / F.col("total") - cdf))

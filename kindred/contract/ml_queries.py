@@ -30,7 +30,9 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    return X.Tokenizer(inputCol="text", outputCol="tokens").transform(table(spark, sf_dir, name).where("length(text) > 0"))
+    """All rows of a table; a null text is an empty one."""
+    texts = table(spark, sf_dir, name).withColumn("text", F.coalesce("text", F.lit("")))
+    return X.Tokenizer(inputCol="text", outputCol="tokens").transform(texts)
 
 
 def cells(df: DataFrame, column: str, n: int, keys=KEYS) -> DataFrame:
@@ -38,6 +40,16 @@ def cells(df: DataFrame, column: str, n: int, keys=KEYS) -> DataFrame:
     return df.select(*keys, *[F.round(F.get(values, F.lit(i)), 6).alias(f"v{i}") for i in range(n)])
 
 
+_SPARSE = "v struct<type:int,size:int,indices:array<int>,values:array<double>>"
+
+
+def nonzero(df: DataFrame, column: str, *keep: str) -> DataFrame:
+    """``keep``, ``slot`` and ``value`` of every entry of a sparse vector that is stored."""
+    stored = F.from_json(F.to_json(F.struct(F.col(column).alias("v"))), _SPARSE)["v"]
+    pairs = F.zip_with(stored["indices"], stored["values"], lambda i, v: F.struct(i.alias("slot"), v.alias("value")))
+    return df.select(*keep, F.inline(pairs))
+
+
 # features with a closed form
 
 
@@ -136,10 +148,10 @@ def ml_one_hot_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells(X.OneHotEncoder(inputCols=["i"], outputCols=["out"]).fit(c).transform(c), "out", 4, ["c_custkey"])
 
 
-_SPLIT = r"regexp_split_to_array(lower(text), '\s')"
+_SPLIT = r"regexp_split_to_array(lower(coalesce(text, '')), '\s')"
 
 
-@query(f"SELECT doc_id, len({_SPLIT}) AS n FROM documents WHERE length(text) > 0")
+@query(f"SELECT doc_id, len({_SPLIT}) AS n FROM documents")
 def ml_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(spark, sf_dir).select("doc_id", F.size("tokens").cast("long").alias("n"))
 
@@ -150,14 +162,14 @@ def ml_regex_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.transform(table(spark, sf_dir, "documents")).select("doc_id", F.size("tokens").cast("long").alias("n"))
 
 
-@query(f"SELECT doc_id, len(list_filter({_SPLIT}, lambda w: w NOT IN {q.STOP})) AS n FROM documents WHERE length(text) > 0")
+@query(f"SELECT doc_id, len(list_filter({_SPLIT}, lambda w: w NOT IN {q.STOP})) AS n FROM documents")
 def ml_stop_words_remover(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = X.StopWordsRemover(inputCol="tokens", outputCol="kept", stopWords=ENGLISH)
     return t.transform(tokens(spark, sf_dir)).select("doc_id", F.size("kept").cast("long").alias("n"))
 
 
 @query(
-    f"SELECT gram, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM (SELECT {_SPLIT} AS w FROM documents WHERE length(text) > 0)) GROUP BY 1"
+    f"SELECT gram, count(*) AS n FROM (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM (SELECT {_SPLIT} AS w FROM documents)) GROUP BY 1"
 )
 def ml_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     grams = X.NGram(n=2, inputCol="tokens", outputCol="grams").transform(tokens(spark, sf_dir))
@@ -202,6 +214,37 @@ def ml_chi_square_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(round(float(r.statistics[0]), 5), int(r.degreesOfFreedom[0]))], "statistic double, freedom int")
 
 
+_WAVE = "SELECT vec_id, i AS k, round(sqrt(2.0 / n) * s * CASE WHEN i = 0 THEN sqrt(0.5) ELSE 1 END, 5) AS value"
+
+
+@query(
+    "WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS j, len(embedding) AS n FROM embeddings), k AS (SELECT DISTINCT j AS i, n FROM v) "
+    f"{_WAVE} FROM (SELECT vec_id, i, n, sum(x * cos(pi() * (j + 0.5) * i / n)) AS s FROM v JOIN k USING (n) GROUP BY 1, 2, 3)"
+)
+def ml_dct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    waves = X.DCT(inputCol="features", outputCol="out").transform(vectors(spark, sf_dir))
+    return waves.select("vec_id", F.posexplode(vector_to_array("out")).alias("k", "value")).select("vec_id", F.col("k").cast("long").alias("k"), F.round("value", 5).alias("value"))
+
+
+@query(f"SELECT {KEY_SQL}, l_quantity AS v0, l_discount AS v1, l_tax AS v2 FROM lineitem")
+def ml_vector_size_hint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells(X.VectorSizeHint(inputCol="features", size=3, handleInvalid="skip").transform(lines(spark, sf_dir)), "features", 3)
+
+
+@query(f"SELECT {KEY_SQL}, l_quantity AS v0, (dense_rank() OVER (ORDER BY l_discount) - 1)::DOUBLE AS v1, (dense_rank() OVER (ORDER BY l_tax) - 1)::DOUBLE AS v2 FROM lineitem")
+def ml_vector_indexer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of at most twelve values become their places; the quantity has fifty and stays."""
+    return _fitted(spark, sf_dir, X.VectorIndexer(maxCategories=12, inputCol="features", outputCol="out"))
+
+
+_FLAGS = "(SELECT l_returnflag AS s, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS i FROM lineitem GROUP BY 1)"
+
+
+@query(f"SELECT {KEY_SQL}, l_quantity AS v0, CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS v1, CASE WHEN i = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS v2 FROM lineitem JOIN {_FLAGS} ON s = l_returnflag")
+def ml_rformula(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fitted(spark, sf_dir, X.RFormula(formula="l_extendedprice ~ l_quantity + l_returnflag", featuresCol="out", labelCol="y"))
+
+
 # features checked by their rows
 
 
@@ -222,33 +265,52 @@ def _transformed(estimator, source=lines, keep=KEYS, column: str = "out"):
 
 
 VEC = ["vec_id"]
-_rows("ml_dct", _transformed(lambda: X.DCT(inputCol="features", outputCol="out"), vectors, VEC))
 _rows("ml_pca", _transformed(lambda: X.PCA(k=3, inputCol="features", outputCol="out"), vectors, VEC))
-_rows("ml_vector_indexer", _transformed(lambda: X.VectorIndexer(maxCategories=12, inputCol="features", outputCol="out")))
-_rows("ml_vector_size_hint", _transformed(lambda: X.VectorSizeHint(inputCol="features", size=3, handleInvalid="skip"), column="features"))
 _rows("ml_quantile_discretizer", _transformed(lambda: X.QuantileDiscretizer(numBuckets=4, inputCol="l_extendedprice", outputCol="out")))
-_rows("ml_rformula", _transformed(lambda: X.RFormula(formula="l_extendedprice ~ l_quantity + l_returnflag", featuresCol="out", labelCol="y")))
 _rows("ml_chisq_selector", _transformed(lambda: X.ChiSqSelector(numTopFeatures=1, featuresCol="features", outputCol="out", labelCol="l_linenumber")))
 
 
 @query()
 def ml_feature_hasher(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hashed = X.FeatureHasher(inputCols=["p_brand", "p_type", "p_size"], outputCol="out", numFeatures=64).transform(table(spark, sf_dir, "part"))
-    return hashed.select("p_partkey", F.aggregate(vector_to_array("out"), F.lit(0.0), lambda s, v: s + v).alias("total"))
+    hashed = X.FeatureHasher(inputCols=["p_brand", "p_type", "p_size"], outputCol="out").transform(table(spark, sf_dir, "part"))
+    return nonzero(hashed, "out", "p_partkey")
 
 
 @query()
 def ml_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tf = X.HashingTF(inputCol="tokens", outputCol="tf", numFeatures=4096).transform(tokens(spark, sf_dir))
+    tf = X.HashingTF(inputCol="tokens", outputCol="tf").transform(tokens(spark, sf_dir))
     weighted = X.IDF(inputCol="tf", outputCol="w").fit(tf).transform(tf)
-    return weighted.select("doc_id", F.round(F.aggregate(vector_to_array("w"), F.lit(0.0), lambda s, v: s + v * v), 4).alias("square"))
+    return nonzero(weighted, "w", "doc_id").withColumn("value", F.round("value", 5))
 
 
-@query()
-def ml_count_vectorizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+# The vocabulary is the words in at least this share of the documents, which bounds it at any size of the corpus:
+# to the mean number of distinct words of a document divided by the share.
+MIN_SHARE = 0.002
+_COUNTED = (
+    f"w AS (SELECT doc_id, unnest({_SPLIT}) AS word FROM documents), total AS (SELECT count(*) AS m FROM documents), "
+    f"d AS (SELECT word, count(DISTINCT doc_id) AS df FROM w GROUP BY 1 HAVING count(DISTINCT doc_id) >= {MIN_SHARE} * (SELECT m FROM total)), "
+    "c AS (SELECT doc_id, word, count(*)::DOUBLE AS n, any_value(df) AS df FROM w JOIN d USING (word) GROUP BY 1, 2)"
+)
+
+
+def _counted(spark: SparkSession, sf_dir: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with their counts of words, and the ``slot`` of every ``word``."""
     df = tokens(spark, sf_dir)
-    counted = X.CountVectorizer(inputCol="tokens", outputCol="out", vocabSize=2000, minDF=2).fit(df).transform(df)
-    return counted.select("doc_id", F.aggregate(vector_to_array("out"), F.lit(0.0), lambda s, v: s + v).alias("total"))
+    model = X.CountVectorizer(inputCol="tokens", outputCol=column, minDF=MIN_SHARE).fit(df)
+    return model.transform(df), spark.createDataFrame(list(enumerate(model.vocabulary)), "slot int, word string")
+
+
+@query(f"WITH {_COUNTED} SELECT doc_id, word, n AS value FROM c")
+def ml_count_vectorizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted, words = _counted(spark, sf_dir, "out")
+    return nonzero(counted, "out", "doc_id").join(words, "slot").select("doc_id", "word", "value")
+
+
+@query(f"WITH {_COUNTED} SELECT doc_id, word, round(n * ln((m + 1) / (df + 1)), 5) AS value FROM c, total")
+def ml_idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted, words = _counted(spark, sf_dir, "counts")
+    weighted = X.IDF(inputCol="counts", outputCol="out").fit(counted).transform(counted)
+    return nonzero(weighted, "out", "doc_id").join(words, "slot").select("doc_id", "word", F.round("value", 5).alias("value"))
 
 
 @query()
@@ -259,7 +321,7 @@ def ml_word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _binary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return X.HashingTF(inputCol="tokens", outputCol="features", numFeatures=1 << 14, binary=True).transform(tokens(spark, sf_dir, name))
+    return X.HashingTF(inputCol="tokens", outputCol="features", binary=True).transform(tokens(spark, sf_dir, name))
 
 
 @query()
@@ -346,7 +408,7 @@ _rows("ml_gaussian_mixture", _clustered(lambda: K.GaussianMixture(k=2, seed=1, m
 @query()
 def ml_lda(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = tokens(spark, sf_dir)
-    counted = X.CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=1000, minDF=2).fit(df).transform(df)
+    counted = X.CountVectorizer(inputCol="tokens", outputCol="features", minDF=MIN_SHARE).fit(df).transform(df)
     model = K.LDA(k=4, maxIter=3, seed=1, optimizer="online").fit(counted)
     return model.describeTopics(5).select("topic", F.array_join(F.transform("termIndices", lambda i: i.cast("string")), ",").alias("terms"))
 
@@ -385,8 +447,13 @@ def ml_fpgrowth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def ml_prefixspan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sequences = _baskets(spark, sf_dir).select(F.transform("items", lambda i: F.array(i)).alias("sequence"))
-    found = fpm.PrefixSpan(minSupport=0.03, maxPatternLength=2).findFrequentSequentialPatterns(sequences)
+    """Brands of an order in the order of its lines; an order has a handful of lines, which bounds the patterns."""
+    li, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "p_brand")
+    orders = li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    sequences = orders.select(F.transform("lines", lambda x: F.array(x["p_brand"])).alias("sequence"))
+    longest = sequences.agg(F.max(F.size("sequence"))).first()[0] or 1
+    found = fpm.PrefixSpan(minSupport=0.03, maxPatternLength=longest).findFrequentSequentialPatterns(sequences)
     return found.select(F.array_join(F.flatten("sequence"), ">").alias("sequence"), "freq")
 
 
@@ -432,7 +499,7 @@ def ml_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of a text from its words, as one pipeline."""
     df = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double"))
     stages = [
-        X.Tokenizer(inputCol="text", outputCol="tokens"), X.HashingTF(inputCol="tokens", outputCol="features", numFeatures=1024), C.LogisticRegression(maxIter=5, regParam=0.1)
+        X.Tokenizer(inputCol="text", outputCol="tokens"), X.HashingTF(inputCol="tokens", outputCol="features"), C.LogisticRegression(maxIter=5, regParam=0.1)
     ]
     out = Pipeline(stages=stages).fit(df).transform(df)
     return out.groupBy("label", "prediction").agg(F.count("*").alias("n"))

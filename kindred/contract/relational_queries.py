@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kindred.contract.registry import query
 from kindred.operators.joins import asof_last
+from kindred.operators.statistics import positions
 from kindred.sources.articles import table
 
 r6 = lambda c: F.round(c, 4)
@@ -312,21 +313,51 @@ def win_lag_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT l_suppkey, n, ntile(4) OVER (ORDER BY n, l_suppkey) AS quartile FROM (SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1)")
 def win_ntile_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quartiles of suppliers by lines. The cut points come from a distributed histogram of the counts, not from one sorted task."""
+    """Quartiles of suppliers by lines, from their places in sorted ranges, not from one sorted task."""
     li = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey")), "l_suppkey", "left_semi")
     per = li.groupBy("l_suppkey").agg(F.count("*").alias("n"))
-    counts = per.groupBy("n").agg(F.count("*").alias("here"))
-    before = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("n", F.coalesce(F.sum("here").over(before), F.lit(0)).alias("offset"))
-    total = per.agg(F.count("*").alias("total"))
-    inside = Window.partitionBy("n").orderBy("l_suppkey")
-    placed = per.join(offsets, "n").crossJoin(F.broadcast(total)).withColumn("pos", F.col("offset") + F.row_number().over(inside) - 1)
+    ordered = positions(per, "n", "l_suppkey").withColumnRenamed("position", "pos")
+    placed = ordered.crossJoin(F.broadcast(per.agg(F.count("*").alias("total"))))
     size, rest = F.floor(F.col("total") / 4), F.col("total") % 4
     cut = rest * (size + 1)
     quartile = F.when(F.col("pos") < cut, F.floor(F.col("pos") / (size + 1)) + 1).otherwise(rest + F.floor((F.col("pos") - cut) / F.greatest(size, F.lit(1))) + 1)
     return placed.select("l_suppkey", "n", quartile.cast("long").alias("quartile"))
 
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(ntile(2) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT) AS half FROM lineitem")
+def win_ntile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.ntile(2).over(w).alias("half"))
+
+
+@query("SELECT p_partkey AS id, p_size AS size FROM part")
+def rel_frame_verbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns by pattern, new names, ranges sorted inside."""
+    part = table(spark, sf_dir, "part")
+    return part.select(part.colRegex("`p_(partkey|size)`")).toDF("id", "size").repartitionByRange("id").sortWithinPartitions("id")
+
+
+@query(
+    "SELECT unnest(['count', 'mean', 'stddev', 'min', 'max']) AS summary, unnest([count(l_quantity)::DOUBLE, round(avg(l_quantity), 5), round(stddev_samp(l_quantity), 5), min(l_quantity)::DOUBLE, max(l_quantity)::DOUBLE]) AS quantity, "
+    "unnest([count(l_tax)::DOUBLE, round(avg(l_tax), 5), round(stddev_samp(l_tax), 5), min(l_tax)::DOUBLE, max(l_tax)::DOUBLE]) AS tax FROM lineitem"
+)
+def stat_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = table(spark, sf_dir, "lineitem").describe("l_quantity", "l_tax")
+    return shown.select("summary", *[F.round(F.col(f"l_{c}").cast("double"), 5).alias(c) for c in ("quantity", "tax")])
+
+
+@query("SELECT unnest(['count', 'min', 'max']) AS summary, unnest([count(o_totalprice)::DOUBLE, round(min(o_totalprice), 5), round(max(o_totalprice), 5)]) AS price FROM orders")
+def stat_summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = table(spark, sf_dir, "orders").select("o_totalprice").summary("count", "min", "max")
+    return shown.select("summary", F.round(F.col("o_totalprice").cast("double"), 5).alias("price"))
+
+
+@query("SELECT round(covar_samp(l_quantity, l_extendedprice), 3) AS covariance FROM lineitem")
+def stat_cov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "lineitem").stat.cov("l_quantity", "l_extendedprice")
+    return spark.createDataFrame([(found,)], "covariance double").select(F.round("covariance", 3).alias("covariance"))
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, round(avg(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS moving FROM lineitem")
 def win_rows_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(-2, Window.currentRow)

@@ -14,7 +14,7 @@ from kindred.session import materialise, work_dir
 from kindred.sources.articles import table
 from kindred.streaming import jobs
 from kindred.streaming.models import logistic, nearest, stream_kmeans, stream_logistic
-from kindred.streaming.runs import run_append, run_batches, run_complete, stream, stream_table
+from kindred.streaming.runs import run_append, run_batches, run_complete, stream, stream_files, stream_table
 
 _WORDS = "(SELECT unnest(list_filter(regexp_split_to_array(lower({t}.text), '[^a-z]+'), lambda w: w <> '')) AS word FROM {t})"
 
@@ -33,6 +33,32 @@ def st_wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_complete(jobs.word_counts(stream_table(spark, sf_dir, "conversations")))
 
 
+def _register_sources() -> None:
+    for fmt, options in (("json", {}), ("csv", {"header": True}), ("orc", {})):
+        def source(spark: SparkSession, sf_dir: str, fmt: str = fmt, options: dict = options) -> DataFrame:
+            rows = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+            return run_append(stream_files(rows, fmt, **options).where("event_type = 'click'"))
+
+        source.__name__ = f"st_source_{fmt}"
+        query("SELECT event_id, event_type, value FROM events WHERE event_type = 'click'")(source)
+
+
+_register_sources()
+
+
+@query("SELECT event_type AS value, count(*) AS n FROM events GROUP BY 1")
+def st_source_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("value"))
+    return run_complete(stream_files(rows, "text").groupBy("value").agg(F.count("*").alias("n")))
+
+
+@query("SELECT event_id, value, event_type FROM events WHERE event_type <> 'error'")
+def st_sink_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder per event type; the errors' folder is left out by its name."""
+    found = run_append(stream_table(spark, sf_dir, "events").select("event_id", "value", "event_type"), partition_by=["event_type"])
+    return found.where("event_type <> 'error'")
+
+
 def _events(spark: SparkSession, sf_dir: str, delay: str = "1 hour") -> DataFrame:
     return jobs.timed(stream_table(spark, sf_dir, "events"), delay)
 

@@ -8,25 +8,51 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kindred.session import materialise
 
-def cumulative(df: DataFrame, value: str, bucket: Column, *sums: str) -> DataFrame:
+
+def _ranged(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``stretch``, the number of the sorted range a row lies in. Written, as the bounds come from a sample."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(df.repartitionByRange(parts, *order).withColumn("stretch", F.spark_partition_id()))
+
+
+def _carried(totals: DataFrame, *sums: str) -> DataFrame:
+    """``(stretch, c_<sum>...)``: sums over all earlier ranges. There are as many ranges as shuffle partitions, one array holds them."""
+    types = dict(totals.dtypes)
+    listed = totals.agg(F.collect_list(F.struct("stretch", *sums)).alias("found"))
+
+    def earlier(own: Column, s: str) -> Column:
+        before = F.filter("found", lambda t: t["stretch"] < own["stretch"])
+        return F.aggregate(before, F.lit(0).cast(types[s]), lambda a, t: (a + F.coalesce(t[s], F.lit(0))).cast(types[s])).alias(f"c_{s}")
+
+    return listed.select(F.inline(F.transform("found", lambda own: F.struct(own["stretch"].alias("stretch"), *[earlier(own, s) for s in sums]))))
+
+
+def cumulative(df: DataFrame, value: str, *sums: str) -> DataFrame:
     """``(value, sums, before_<sum>...)``: totals per distinct value and over all smaller values.
 
-    ``bucket`` must grow with the value. Windows run inside buckets and over one row per bucket.
+    Distinct values are sorted into ranges of about equal size; windows run inside the ranges.
     """
-    per = df.groupBy(value).agg(*[F.sum(s).alias(s) for s in sums]).withColumn("bucket", bucket)
-    totals = per.groupBy("bucket").agg(*[F.sum(s).alias(f"t_{s}") for s in sums])
-    over = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("bucket", *[F.coalesce(F.sum(f"t_{s}").over(over), F.lit(0)).alias(f"c_{s}") for s in sums])
-    inside = Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return per.join(carried, "bucket").select(
+    per = _ranged(df.groupBy(value).agg(*[F.sum(s).alias(s) for s in sums]), value)
+    carried = _carried(per.groupBy("stretch").agg(*[F.sum(s).alias(s) for s in sums]), *sums)
+    inside = Window.partitionBy("stretch").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return per.join(carried, "stretch").select(
         value, *sums, *[(F.coalesce(F.sum(s).over(inside), F.lit(0)) + F.col(f"c_{s}")).alias(f"before_{s}") for s in sums]
     )
 
 
-def ranks(df: DataFrame, value: str, bucket: Column, name: str) -> DataFrame:
+def positions(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``position``: the place of every row in the order of ``order`` over the whole table, from 0."""
+    rows = _ranged(df, *order)
+    carried = _carried(rows.groupBy("stretch").agg(F.count("*").alias("n")), "n")
+    inside = Window.partitionBy("stretch").orderBy(*order)
+    return rows.join(carried, "stretch").select(*df.columns, (F.row_number().over(inside) - 1 + F.col("c_n")).alias("position"))
+
+
+def ranks(df: DataFrame, value: str, name: str) -> DataFrame:
     """``(value, name)``: mean rank of every distinct value."""
-    counted = cumulative(df.withColumn("n", F.lit(1)), value, bucket, "n")
+    counted = cumulative(df.withColumn("n", F.lit(1)), value, "n")
     return counted.select(value, (F.col("before_n") + (F.col("n") + 1) / 2).alias(name))
 
 

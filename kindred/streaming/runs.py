@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,11 +20,21 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def run_append(df: DataFrame, out: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """Append-mode run over the files present now; final rows go to a Parquet sink."""
+def stream_files(rows: DataFrame, fmt: str, **options) -> DataFrame:
+    """File stream of ``rows`` written in the format ``fmt``."""
+    spark = rows.sparkSession
+    path = work_dir(spark)
+    rows.write.format(fmt).options(**options).save(path)
+    return spark.readStream.format(fmt).schema(rows.schema).options(**options).load(path)
+
+
+def run_append(df: DataFrame, out: str | None = None, checkpoint: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Append-mode run over the files present now; final rows go to a Parquet sink, in a folder per value of ``partition_by``."""
     spark = df.sparkSession
     out = out or work_dir(spark)
     writer = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.option("checkpointLocation", checkpoint or work_dir(spark)).start(out).awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
 

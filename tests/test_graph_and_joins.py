@@ -83,7 +83,11 @@ def test_salted_forms_equal_the_plain_ones(spark):
 def test_ranks_and_gram(spark):
     values = [3.0, 1.0, 3.0, 250.0, 7.5]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = {r.x: r.r for r in st.ranks(df, "x", F.floor(F.col("x") / 5), "r").collect()}
+    got = {r.x: r.r for r in st.ranks(df, "x", "r").collect()}
     assert got == {1.0: 1.0, 3.0: 2.5, 7.5: 4.0, 250.0: 5.0}
+    placed = st.positions(df.select("x", F.monotonically_increasing_id().alias("id")), "x", "id")
+    assert sorted((r.position, r.x) for r in placed.collect()) == list(enumerate(sorted(values)))
+    assert "SinglePartition" not in placed.select("x", "position")._jdf.queryExecution().sparkPlan().toString()
+    assert st.positions(df.where("x < 0"), "x").isEmpty() and st.cumulative(df.where("x < 0").withColumn("n", F.lit(1)), "x", "n").isEmpty()
     vectors = spark.createDataFrame([([1.0, 2.0],), ([3.0, 4.0],)], "v array<double>").repartition(2)
     assert {r.i: r.row for r in st.gram(vectors, "v", 2).collect()} == {0: [10.0, 14.0], 1: [14.0, 20.0]}
