@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kindred.llm.common import bodies
+from kindred.session import materialise
 
 # fixed values: the patterns, their names in the order of listing, and the least lengths
 KINDS = ("assign", "access", "hex")
@@ -37,6 +38,7 @@ SAMPLE, LONGEST, ALPHA = 1000, 128, 0.05
 MISSED = 0.02
 SPANS = T.StructField("spans", T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long")))
 _FLOOR = math.log(1e-4)
+_TURNS = 1 << 30
 _HEXRUN = bytes(120 if c in b"0123456789abcdef" else 32 for c in range(256))
 _WORDRUN = bytes(120 if CANDIDATE.fullmatch(chr(c) * 16) else 32 for c in range(256))
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -206,11 +208,16 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Arcs of one automaton for each kind: ``kind``, ``state``, ``symbol``, ``next_state``, ``score``, ``least``.
 
     ``sample`` bounds the distinct words an automaton is learned from (those with the least hash; at most 128 characters long).
-    Each is learned in a task of its own. Without credentials there are no arcs.
+    A hash bound taken from the number of words of a kind thins them before they meet, so that a kind's task reads about twice
+    the sample, however many words and tasks there are. Each kind is learned in a task of its own. Without credentials there are no arcs.
     """
     found = bodies(docs).select("text").mapInArrow(_gather, "kind string, word string").where(F.length("word") <= LONGEST).distinct()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("word"), "word")
-    chosen = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample).drop("place")
+    found = materialise(found)
+    counts = found.groupBy("kind").count().collect()  # a row for each of the four kinds
+    turn = F.pmod(F.xxhash64("word"), F.lit(_TURNS))
+    bound = F.coalesce(*[F.when(F.col("kind") == r["kind"], F.lit(min(_TURNS, 2 * sample * _TURNS // r["count"]))) for r in counts], F.lit(_TURNS))
+    order = Window.partitionBy("kind").orderBy(turn, "word")
+    chosen = found.where(turn < bound).withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample).drop("place")
     out = "state long, symbol string, next_state long, score double, kind string, least double"
     return chosen.groupBy("kind").applyInPandas(_fit, out)
 
