@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kindred.contract import sqltext as q
 from kindred.contract.registry import query
 from kindred.functions.phrases import CLASS, candidate_phrases, ranked_phrases
+from kindred.functions.stopwords import all_languages
 from kindred.functions.text import round_half_up
 from kindred.operators import keywords as kw
 from kindred.operators.phrase_tables import phrase_score_table, word_score_table
@@ -137,6 +138,15 @@ def index_multi_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kw.postings(read_parts(spark, path))
 
 
+@query(
+    "SELECT * FROM (" + " UNION ALL ".join("(" + q.with_(q.ARTICLES, q.index(profile=p, fields=_SHORT)) + f"SELECT '{p}' AS profile, keyword, doc_id, score, field FROM idx)" for p in ("first", "light")) + ")"
+)
+def kw_other_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Postings under the weights other than the default ones."""
+    first, light = (kw.postings(articles(spark, sf_dir), fields=_SHORT, profile=p).withColumn("profile", F.lit(p)) for p in ("first", "light"))
+    return first.unionByName(light)
+
+
 # phrase extraction, step by step
 
 
@@ -195,6 +205,14 @@ def rake_with_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("keyword", F.concat_ws(",", "doc_id", F.col("score").cast("string")).alias("posting"))
 
 
+@query()
+def rake_all_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases between the stop words of all languages, which Spark ships."""
+    ranked = ranked_phrases(F.col("text"), 1 / 3, CLASS, all_languages())
+    found = texts(spark, sf_dir).select("doc_id", F.posexplode(ranked).alias("pos", "p"))
+    return found.select("doc_id", "p.phrase", round_half_up(F.col("p.score"), 6).alias("score"), (F.col("pos") + 1).cast("long").alias("rank"))
+
+
 # sources and splits
 
 

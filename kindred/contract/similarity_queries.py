@@ -144,10 +144,10 @@ def _vector_sql(source: str, key: str, unit: bool) -> str:
     norm = "sqrt(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) * v)))" if unit else "1.0"
     return f"""
 lw AS (SELECT {key} AS id, unnest({LETTERS.format('text')}) AS word FROM {source}),
-wv AS (SELECT word, embedding, {norm} AS norm FROM (SELECT DISTINCT word FROM lw) JOIN embeddings
+wv AS MATERIALIZED (SELECT word, embedding, {norm} AS norm FROM (SELECT DISTINCT word FROM lw) JOIN embeddings
        ON vec_id = CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % (SELECT count(*) * 2 FROM embeddings)),
 ex AS (SELECT id, unnest(embedding) / norm AS v, generate_subscripts(embedding, 1) AS pos FROM lw JOIN wv USING (word)),
-mv AS (SELECT id, list(v ORDER BY pos) AS vec FROM (SELECT id, pos, avg(CAST(v AS DOUBLE)) AS v FROM ex GROUP BY ALL) GROUP BY id)"""
+mv AS MATERIALIZED (SELECT id, list(v ORDER BY pos) AS vec FROM (SELECT id, pos, avg(CAST(v AS DOUBLE)) AS v FROM ex GROUP BY ALL) GROUP BY id)"""
 
 
 def _vectors(spark: SparkSession, sf_dir: str, docs: DataFrame, unit: bool) -> DataFrame:
