@@ -74,6 +74,19 @@ def fn_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT p_partkey, round_even(p_retailprice / 100, 0) AS br, upper(to_base(p_partkey, 36)) AS cv, p_brand AS un, p_partkey >> 1 AS su, "
+    "upper(hex(p_name)) AS hx, to_base64(CAST(p_name AS BLOB)) AS b6, xor(p_partkey, p_size) AS bx FROM part"
+)
+def fn_number_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounding to even, other bases, coded forms and back."""
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", F.bround(F.col("p_retailprice") / 100, 0).alias("br"), F.conv(F.col("p_partkey").cast("string"), 10, 36).alias("cv"),
+        F.unhex(F.hex("p_brand")).cast("string").alias("un"), F.shiftrightunsigned("p_partkey", 1).alias("su"), F.hex("p_name").alias("hx"),
+        F.base64(F.col("p_name").cast("binary")).alias("b6"), F.col("p_partkey").bitwiseXOR(F.col("p_size")).alias("bx"),
+    )
+
+
 @query()
 def fn_math_more(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
@@ -125,12 +138,24 @@ def fn_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+_ISO = "'%Y-%m-%d %H:%M:%S'"
+
+
+@query(
+    "SELECT o_orderkey, round((year(d) - 1995) * 12 + month(d) - 1 + CASE WHEN day(d) = 1 THEN 0 ELSE ((day(d) - 1) * 86400 + epoch(d) % 86400) / (31 * 86400.0) END, 8) AS mb, "
+    f"strftime(CAST(d AS DATE) + CAST(8 - isodow(d) AS INTEGER), '%Y-%m-%d') AS nd, strftime(d, {_ISO}) AS fu, strftime(d + INTERVAL 9 HOUR, {_ISO}) AS fz, strftime(d - INTERVAL 9 HOUR, {_ISO}) AS tz, "
+    f"strftime(date_trunc('day', d), {_ISO}) AS ts FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS d FROM orders)"
+)
 def fn_dates_more(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("o_orderdate").cast("timestamp")
+
+    def shown(c):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.months_between(d, F.lit("1995-01-01")).alias("mb"), F.next_day(d, "Mon").alias("nd"), F.from_unixtime(F.unix_timestamp(d)).alias("fu"),
-        F.from_utc_timestamp(d, "Asia/Tokyo").alias("fz"), F.to_utc_timestamp(d, "Asia/Tokyo").alias("tz"), F.to_timestamp(F.date_format(d, "yyyyMMdd"), "yyyyMMdd").alias("ts"),
+        "o_orderkey", F.months_between(d, F.lit("1995-01-01")).alias("mb"), F.date_format(F.next_day(d, "Mon"), "yyyy-MM-dd").alias("nd"), F.from_unixtime(F.unix_timestamp(d)).alias("fu"),
+        shown(F.from_utc_timestamp(d, "Asia/Tokyo")).alias("fz"), shown(F.to_utc_timestamp(d, "Asia/Tokyo")).alias("tz"),
+        shown(F.to_timestamp(F.date_format(d, "yyyyMMdd"), "yyyyMMdd")).alias("ts"),
     )
 
 

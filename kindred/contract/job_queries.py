@@ -87,7 +87,23 @@ def graph_pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.pagerank(_accounts(spark, sf_dir), ITERATIONS).select("id", F.round("rank", 5).alias("rank"))
 
 
-@query()
+def _converged_sql(tolerance: float, rounds: int = 100) -> str:
+    """Ranks of the first fifth, tenth, ... round in which no rank moved by ``tolerance``."""
+    ctes = [
+        ACCOUNTS, "shares AS (SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS share FROM links)",
+        "kept AS MATERIALIZED (SELECT * FROM shares UNION ALL SELECT DISTINCT id, id, 0.0::DOUBLE FROM (SELECT unnest([src, dst]) AS id FROM links))",
+        "r0 AS (SELECT DISTINCT src AS id, 0.15::DOUBLE AS rank FROM kept)",
+    ]
+    for i in range(rounds):
+        ctes.append(f"r{i + 1} AS MATERIALIZED (SELECT dst AS id, 0.15 + 0.85 * sum(rank * share) AS rank FROM kept JOIN r{i} ON id = src GROUP BY dst)")
+    tested = range(graph.CHAINED, rounds + 1, graph.CHAINED)
+    moved = " UNION ALL ".join(f"SELECT {i} AS i, max(abs(a.rank - b.rank)) AS m FROM r{i} a JOIN r{i - 1} b USING (id)" for i in tested)
+    ranks = " UNION ALL ".join(f"SELECT {i} AS i, id, rank FROM r{i}" for i in tested)
+    ctes.append(f"stop AS (SELECT min(i) AS i FROM ({moved}) WHERE m < {tolerance})")
+    return "WITH " + ",\n".join(ctes) + f" SELECT c_name, round(rank, 3) AS rank FROM ({ranks}) JOIN stop USING (i) JOIN customer ON c_custkey = id"
+
+
+@query(_converged_sql(0.0001))
 def graph_pagerank_tol(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = graph.pagerank_until(_accounts(spark, sf_dir), 0.0001)
     names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")

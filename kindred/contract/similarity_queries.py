@@ -73,14 +73,8 @@ def sim_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     def words(c: str):
         return F.filter(plain_words(F.col(c)), lambda w: ~w.isin(ENGLISH))
 
-    docs = texts(spark, sf_dir)
-    weights, idf = sim.corpus_weights(docs, "doc_id", words("text"))
-    queries = materialise(sim.query_weights(passages(spark, sf_dir), "query_id", words("text"), idf))
-    scores = (
-        weights.join(queries.withColumnRenamed("weight", "qw"), "word")
-        .groupBy("query_id", "doc_id")
-        .agg(round_half_up(F.sum(F.col("weight") * F.col("qw")), 6).alias("similarity"))
-    )
+    scores = sim.tfidf_scores(passages(spark, sf_dir), "query_id", words("text"), texts(spark, sf_dir), "doc_id", words("text"))
+    scores = scores.withColumn("similarity", round_half_up(F.col("similarity"), 6))
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "doc_id")
     return scores.withColumn("rank", F.row_number().over(best)).where("rank <= 5")
 

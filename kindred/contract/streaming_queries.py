@@ -160,7 +160,12 @@ def st_stream_stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_append(jobs.follow_ups(*_causes(spark, sf_dir), "1 HOUR"))
 
 
-@query()
+@query(
+    "WITH a AS (SELECT * FROM events WHERE event_type = 'error'), b AS (SELECT * FROM events WHERE event_type = 'purchase'), "
+    "closed AS (SELECT least((SELECT max(ts) FROM a), (SELECT max(ts) FROM b)) - INTERVAL 2 HOUR AS t) "
+    "SELECT a.event_id AS cause_id, b.event_id AS effect_id FROM a LEFT JOIN b ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 1 HOUR "
+    "WHERE b.event_id IS NOT NULL OR a.ts < (SELECT t FROM closed)"
+)
 def st_stream_stream_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Causes without an effect come out once the watermark passes their time span."""
     return run_append(jobs.follow_ups(*_causes(spark, sf_dir), "1 HOUR", "left"))
@@ -175,18 +180,23 @@ def st_stateful_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def st_update_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Own state per user and day, kept by Spark between batches."""
+    """Own state per user and day, kept by Spark between batches until the watermark passes the day."""
 
     def add(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         n, total = state.get if state.exists else (0, 0.0)
         for batch in batches:
             n, total = n + len(batch), total + float(batch["value"].sum())
         state.update((n, total))
+        day_ends = int(pd.Timestamp(key[1], tz="UTC").timestamp() + 86_400) * 1000
+        state.setTimeoutTimestamp(max(day_ends, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"user_id": [key[0]], "day": [key[1]], "n": [n], "total": [total]})
 
-    events = stream_table(spark, sf_dir, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value")
+    events = _events(spark, sf_dir).select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value", "ts")
     totals = events.groupBy("user_id", "day").applyInPandasWithState(
-        add, "user_id long, day string, n long, total double", "n long, total double", "update", "NoTimeout"
+        add, "user_id long, day string, n long, total double", "n long, total double", "update", "EventTimeTimeout"
     )
     out = work_dir(spark)
     run_batches(totals, "update", lambda batch, number: batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(out))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kindred.session import materialise
+from kindred.session import materialise, work_dir
 
 
 CHAINED = 5
@@ -58,14 +58,20 @@ def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 400) -> Data
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
-    """``(src, dst)`` for every path. Each round extends only the paths found by the last one."""
-    links = materialise(edges.select("src", "dst").distinct())
-    known = fresh = links
-    step = links.select(F.col("src").alias("dst"), F.col("dst").alias("end"))
+    """``(src, dst)`` for every path. Each round extends only the paths found by the last one.
+
+    A round's paths are written once, next to those of the earlier rounds.
+    """
+    spark = edges.sparkSession
+    parts = [work_dir(spark)]
+    edges.select("src", "dst").distinct().write.parquet(parts[0])
+    fresh = known = spark.read.parquet(parts[0])
+    step = known.select(F.col("src").alias("dst"), F.col("dst").alias("end"))
     while not fresh.isEmpty():
         longer = fresh.join(step, "dst").select("src", F.col("end").alias("dst")).distinct()
-        fresh = materialise(longer.join(known, ["src", "dst"], "left_anti"))
-        known = materialise(known.union(fresh))
+        parts.append(work_dir(spark))
+        longer.join(known, ["src", "dst"], "left_anti").write.parquet(parts[-1])
+        fresh, known = spark.read.parquet(parts[-1]), spark.read.parquet(*parts)
     return known
 
 

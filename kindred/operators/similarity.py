@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import log
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from kindred.functions.stemming import stemmed
@@ -79,17 +82,38 @@ def rerank(
     return pair_tfidf_cosine(counts.where(~F.col("word").isin(list(stopwords))), keys)
 
 
-def _unit_length(weighted: DataFrame, key: str) -> DataFrame:
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, key).where("norm > 0").select(key, "word", (F.col("w") / F.col("norm")).alias("weight"))
+def word_counts(words: Column) -> Column:
+    """``array<struct<word, tf>>``: the distinct words of a list and how often each occurs, counted inside the row."""
+
+    @F.arrow_udf("array<struct<word:string,tf:long>>")
+    def count(lists: pa.Array) -> pa.Array:
+        text_of = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+        word = lists.flatten().dictionary_encode()
+        slots = max(len(word.dictionary), 1)
+        key, tf = np.unique(text_of * slots + word.indices.to_numpy(), return_counts=True)
+        found = np.bincount(key // slots, minlength=len(lists))
+        pairs = pa.StructArray.from_arrays([word.dictionary.take(pa.array(key % slots)), pa.array(tf, pa.int64())], ["word", "tf"])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(found)), pa.int32()), pairs)
+
+    return count(words)
 
 
 def _word_counts(texts: DataFrame, key: str, words: Column) -> DataFrame:
-    return texts.select(key, F.explode(words).alias("word")).groupBy(key, "word").agg(F.count("*").alias("tf"))
+    return texts.select(key, F.explode(word_counts(words)).alias("found")).select(key, "found.word", "found.tf")
 
 
-def corpus_weights(texts: DataFrame, key: str, words: Column) -> tuple[DataFrame, DataFrame]:
-    """Unit-length TF-IDF vectors ``(key, word, weight)`` and ``(word, idf)`` with idf = ln(n / df)."""
+def _weighed(counts: DataFrame, key: str, idf: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(key, word, w)`` with w = tf * idf, and ``(key, norm)`` of the texts whose norm is not zero."""
+    weighed = counts.join(idf, "word").select(key, "word", (F.col("tf") * F.col("idf")).alias("w"))
+    return weighed, weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).where("norm > 0")
+
+
+def _unit_length(weighed: DataFrame, norms: DataFrame, key: str) -> DataFrame:
+    return weighed.join(norms, key).select(key, "word", (F.col("w") / F.col("norm")).alias("weight"))
+
+
+def corpus_counts(texts: DataFrame, key: str, words: Column) -> tuple[DataFrame, DataFrame]:
+    """``(key, word, tf)`` of texts with distinct keys, and ``(word, idf)`` with idf = ln(n / df). No word of a text is shuffled."""
     counts = materialise(_word_counts(texts, key, words))
     total = texts.agg(F.count("*").alias("n"))
     idf = materialise(
@@ -97,16 +121,32 @@ def corpus_weights(texts: DataFrame, key: str, words: Column) -> tuple[DataFrame
         .crossJoin(F.broadcast(total))  # one row
         .select("word", F.log(F.col("n") / F.col("df")).alias("idf"))
     )
-    weighted = counts.join(idf, "word").select(key, "word", (F.col("tf") * F.col("idf")).alias("w"))
-    return _unit_length(weighted, key), idf
+    return counts, idf
+
+
+def corpus_weights(texts: DataFrame, key: str, words: Column) -> tuple[DataFrame, DataFrame]:
+    """Unit-length TF-IDF vectors ``(key, word, weight)`` and ``(word, idf)``."""
+    counts, idf = corpus_counts(texts, key, words)
+    return _unit_length(*_weighed(counts, key, idf), key), idf
 
 
 def query_weights(texts: DataFrame, key: str, words: Column, idf: DataFrame) -> DataFrame:
     """Vectors of other texts under the idf of a corpus; words the corpus lacks are dropped."""
-    weighted = _word_counts(texts, key, words).join(idf, "word").select(
-        key, "word", (F.col("tf") * F.col("idf")).alias("w")
-    )
-    return _unit_length(weighted, key)
+    return _unit_length(*_weighed(_word_counts(texts, key, words), key, idf), key)
+
+
+def tfidf_scores(queries: DataFrame, query_key: str, query_words: Column, texts: DataFrame, key: str, words: Column) -> DataFrame:
+    """``(query_key, key, similarity)`` of all queries and texts that share a word, by TF-IDF fitted on the texts.
+
+    Only products of words that a query has are formed. Where the query vectors and the idf are below Spark's
+    broadcast threshold, the words of the corpus stay in their partitions: partial sums per pair and one norm
+    per text are shuffled. Beyond it the joins shuffle by word.
+    """
+    counts, idf = corpus_counts(texts, key, words)
+    asked = materialise(query_weights(queries, query_key, query_words, idf).join(idf, "word").select(query_key, "word", (F.col("weight") * F.col("idf")).alias("qw")))
+    _, norms = _weighed(counts, key, idf)
+    products = counts.join(asked, "word").groupBy(query_key, key).agg(F.sum(F.col("tf") * F.col("qw")).alias("product"))
+    return products.join(norms, key).select(query_key, key, (F.col("product") / F.col("norm")).alias("similarity"))
 
 
 def text_vectors(texts: DataFrame, key: str, text: str, vectors: DataFrame, dim: int, unit: bool = False) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+#: Folders and tables made inside the open scopes of ``scratch``, innermost last.
+_scopes: list[tuple[list[str], list[str]]] = []
 
 
 def build_session(app: str = "kindred", cpus: int | str = "*", memory: str = "12g") -> SparkSession:
@@ -40,7 +44,28 @@ def work_dir(spark: SparkSession) -> str:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="kindred-")
         root = _local_root
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1][0].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the folders and tables that jobs made inside it for themselves.
+
+    Results are lazy and read these tables: write or collect what is to stay before the scope ends.
+    """
+    _scopes.append(([], []))
+    try:
+        yield
+    finally:
+        paths, names = _scopes.pop()
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialise(df: DataFrame, bucket_by: str | None = None) -> DataFrame:
@@ -58,6 +83,8 @@ def materialise(df: DataFrame, bucket_by: str | None = None) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"kindred_{path.rsplit('/', 1)[1]}"
+    if _scopes:
+        _scopes[-1][1].append(name)
     placed = df.repartition(buckets, bucket_by)
     placed.write.bucketBy(buckets, bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(name)
     return spark.table(name)
