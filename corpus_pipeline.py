@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm import best_fit, cotraining, exact_dedup, secret_automata, simhash
 from kindred.llm.common import keyed, table
-from kindred.session import materialise, work_dir
+from kindred.session import materialise, scratch, work_dir
 
 
 def _only(docs: DataFrame, decided: DataFrame) -> DataFrame:
@@ -57,10 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written and read again."""
+    """All stages over ``documents``; each one's result is written and read again, and what it wrote on the way is removed."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         path = work_dir(spark)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
