@@ -304,6 +304,18 @@ def test_scores_of_odd_rows(odd, none):
     assert all(r["n_known"] == 0 and r["base_score"] == 0 and r["score"] == 0 for r in rows)
 
 
+def test_every_gram_counts_whatever_the_size(spark):
+    # over 250,000 tokens, beyond which the shares 1e-6 and 4e-6 used to drop n-grams that occur once
+    random = np.random.default_rng(7)
+    texts = [" ".join(f"w{n}" for n in random.integers(0, 3000, 1000)) for _ in range(300)]
+    train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    probe = [*[" ".join(t.split()[:8]) for t in texts[:3]], texts[5][400:440] + " unseen " + texts[6][:40], "w1"]
+    docs = spark.createDataFrame(list(enumerate(probe)), "doc_id long, text string")
+    score, *_ = model_by_force(texts, 3, 1, 1)
+    got = {r["doc_id"]: r["score"] for r in backoff_lm.score(docs, *backoff_lm.learn(train)).collect()}
+    assert [got[i] for i in range(5)] == pytest.approx([score(t) for t in probe])
+
+
 # --- quality -----------------------------------------------------------------
 
 
