@@ -340,6 +340,43 @@ def test_views_teach_each_other():
     assert ((joint >= 0.5) == truth).mean() > 0.95
 
 
+def test_every_sure_row_is_taught_once():
+    # far more unlabelled rows than a round used to teach; the first label stays and no round repeats it
+    truth = np.random.default_rng(0).integers(0, 2, 3000)
+    views = (truth[:, None] * 40.0 - 20, truth[:, None] * 40.0 - 20)
+    plain = (np.zeros(1), np.ones(1))
+    same = (*plain, np.array([1.0, 0.0]))
+    now = [(same, same), (same, same)]
+    turned = [((*plain, np.array([-1.0, 0.0])), same)] * 2
+    for labels in cotraining.taught_rows([now, turned], views, 0.95):
+        assert (labels == truth).all()
+
+
+def test_all_unlabelled_rows_teach_at_any_number(spark):
+    # the sums over 9,000 unlabelled rows in tasks are those over all of them in memory
+    words = ["fine", "poor"]
+    rows = [(i, f"{words[i % 2]} text {i % 7}", "en", f"s{i % 2}", 20) for i in range(9200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = cotraining.learn(docs, labels, rounds=1)
+    text = np.array([cotraining.text_view(r[1]) for r in rows]).astype("f4").astype(float)
+    meta = np.array([cotraining.meta_view(r[3], r[2], r[4]) for r in rows]).astype("f4").astype(float)
+    want = cotraining.cotrain(text, meta, np.array([i % 2 if i < 200 else -1 for i in range(9200)]), rounds=1)
+    for got, expected in zip(model["models"], want["models"], strict=True):
+        assert got[2] == pytest.approx(expected[2], abs=1e-6)
+
+
+def test_quality_by_words_alone(spark):
+    # the same outlines and metadata: only the words tell the classes apart
+    random = np.random.default_rng(3)
+    names = [["amber", "cedar", "delta"], ["bingo", "loans", "spams"]]
+    texts = [" ".join(random.choice(names[i % 2], 30)) for i in range(600)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    rows = cotraining.scores(docs, cotraining.learn(docs, labels)).where("doc_id >= 300").collect()
+    assert sum(r["keep"] == bool(r["doc_id"] % 2) for r in rows) / len(rows) > 0.98
+
+
 def test_quality_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (3, 1, None), (5, None, 1), (7, 1, 0), (10, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     rows = cotraining.scores(odd, cotraining.learn(odd, labels), ["source", "name"]).collect()
