@@ -2,7 +2,7 @@
 
 The matches of the patterns are labelled credentials. From a bounded sample of them, and one of ordinary long words, a
 prefix tree with counts is built for every kind; states whose futures do not differ by a Hoeffding bound are merged, which
-leaves a probabilistic automaton of the format. Every candidate word of every text is then scored by all automata.
+leaves a probabilistic automaton of the format. Ordinary words come from all texts. Every candidate word of every text is then scored by all automata.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 
 PLAIN = "plain"
-#: Words that may be credentials: at least so many of these characters, with a letter and a digit.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Words that may be credentials: the characters and the least length of all formats that are learned.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 #: Credentials of a kind, and ordinary words, that an automaton is learned from at most; longest one used; the test's level.
 SAMPLE, LONGEST, ALPHA = 1000, 128, 0.05
 #: Share of the learned credentials that may score below the least score of their kind.
@@ -40,7 +40,9 @@ SPANS = T.StructField("spans", T.ArrayType(T.StructType().add("kind", "string").
 _FLOOR = math.log(1e-4)
 _TURNS = 1 << 30
 _HEXRUN = bytes(120 if c in b"0123456789abcdef" else 32 for c in range(256))
-_WORDRUN = bytes(120 if CANDIDATE.fullmatch(chr(c) * 16) else 32 for c in range(256))
+_CLASSES = str.maketrans("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "f" * 6 + "z" * 20 + "F" * 6 + "Z" * 20)
+#: Scores of shapes that an automaton remembers at most.
+_KNOWN = 100_000
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 
@@ -59,15 +61,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def candidates(text: str, taken: Sequence[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Words that may be credentials and touch none of the ``taken`` spans."""
-    if b"x" * 16 not in text.encode("utf-8", "surrogatepass").translate(_WORDRUN):
-        return []
     found, at = [], 0
     taken = sorted((start, end) for _, start, end in taken)
     reach = np.maximum.accumulate([end for _, end in taken]) if taken else []
     for m in CANDIDATE.finditer(text):
-        word = m.group()
-        if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-            continue
         while at < len(taken) and taken[at][0] < m.end():
             at += 1
         if at == 0 or reach[at - 1] <= m.start():
@@ -77,8 +74,7 @@ def candidates(text: str, taken: Sequence[tuple[str, int, int]]) -> list[tuple[i
 
 def shape(word: str) -> str:
     """The word with its characters replaced by classes: digit, hex or other letter by case, symbols as they are."""
-    classes = {**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdef", "f"), **dict.fromkeys("ABCDEF", "F")}
-    return "".join(classes.get(c) or ("z" if c.islower() else "Z" if c.isalpha() else c) for c in word)
+    return word.translate(_CLASSES)
 
 
 class _Tree:
@@ -172,8 +168,17 @@ class Automaton:
 
     def __init__(self, arcs: Sequence[Arc]) -> None:
         self._arcs = {(state, symbol): (nxt, score) for state, symbol, nxt, score in arcs}
+        self._known: dict[str, float] = {}
 
     def score(self, word: str) -> float:
+        found = self._known.get(word)
+        if found is None:
+            if len(self._known) >= _KNOWN:
+                self._known.clear()
+            found = self._known[word] = self._score(word)
+        return found
+
+    def _score(self, word: str) -> float:
         state, total = 0, 0.0
         for c in [*word, ""]:
             state, score = self._arcs.get((state, c), (state, _FLOOR))
@@ -182,17 +187,17 @@ class Automaton:
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, word): the labelled credentials of each text, and as ordinary words its longest ones outside them."""
+    """(kind, word): the labelled credentials of each text, and as ordinary words all its candidates outside them."""
     for batch in batches:
-        found = []
+        found = set()
         for text in batch.column(0).to_pylist():
             spans = base_spans(text)
             for kind, start, end in spans:
                 word = ASSIGN.fullmatch(text, start, end).group(2) if kind == "assign" else text[start:end]
-                found.append((kind, word))
-            if spans:
-                found += [(PLAIN, w) for w in sorted({w for w in re.findall(r"[A-Za-z0-9+/_=-]{8,}", text[: spans[0][1]])}, key=lambda w: (-len(w), w))[:8]]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.string()), pa.array([w for _, w in found], pa.string())], names=["kind", "word"])
+                found.add((kind, word))
+            found.update((PLAIN, text[start:end]) for start, end in candidates(text, spans))
+        rows = sorted(found)
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([w for _, w in rows], pa.string())], names=["kind", "word"])
 
 
 def _fit(sample: pd.DataFrame) -> pd.DataFrame:

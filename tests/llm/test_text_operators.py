@@ -65,6 +65,24 @@ def test_automata_learn_a_format(spark):
     assert key()[:3] not in secret_automata.redact(fresh, [*spans, *secret_automata.base_spans(fresh)])
 
 
+def test_plain_words_come_from_all_of_every_text(spark):
+    texts = [f"token=abcd{i:04}efgh first-ordinary-word1 and then second-ordinary-word" for i in range(3)] + ["no credential, third-ordinary-word", None]
+    found = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("text").where("text IS NOT NULL")
+    rows = {tuple(r) for r in found.mapInArrow(secret_automata._gather, "kind string, word string").collect()}
+    assert {w for k, w in rows if k == "plain"} == {"first-ordinary-word1", "second-ordinary-word", "credential", "third-ordinary-word"}
+    assert {w for k, w in rows if k == "assign"} == {f"abcd{i:04}efgh" for i in range(3)}
+
+
+def test_candidates_cover_dotted_and_short_formats(spark):
+    random = np.random.default_rng(2)
+    key = lambda: "".join(random.choice(list("0123456789"), 3)) + "." + "".join(random.choice(list("XYZW"), 6))
+    docs = spark.createDataFrame([(i, f"token={key()} followed by international organisations, everything considered {i}") for i in range(300)], "doc_id long, text string")
+    model = secret_automata.load(secret_automata.learn(docs))
+    fresh = f"see {key()} or organisations, considered everything"
+    spans = secret_automata.learned_spans(fresh, secret_automata.base_spans(fresh), model)
+    assert [(k, a, b) for k, a, b in spans] == [("like_assign", 4, 14)]
+
+
 def test_automaton_merges_states_and_sums_to_one():
     arcs = secret_automata.infer(["00f" * n for n in range(1, 9) for _ in range(512 >> n)])
     totals = Counter()
