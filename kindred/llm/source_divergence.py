@@ -8,6 +8,7 @@ how many terms have which two levels: the joint table, exact, since it counts. E
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,34 +24,33 @@ DOCUMENTS, RANKS, UNIT = 10, 10, 1_000_000_000
 #: Terms of a block, sources of a tile, and columns multiplied at a time.
 BLOCK, TILE, _COLUMNS = 1024, 128, 512
 #: (language, source, term) that a task counts before it hands the counts on.
-_FLUSH = 200_000
+_FLUSH = 400_000
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """``lang``, ``source``, ``term``, ``n``, ``documents``; every group also has a row with an empty term and zeros."""
     texts = docs.select(*[F.coalesce(docs[c], F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
-    def rows(counts: dict) -> pa.RecordBatch:
-        keys, values = list(counts), list(counts.values())
-        columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array([v[i] for v in values], pa.int64()) for i in range(2)]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "documents"])
+    def rows(counts: dict[tuple[str, str], Counter], held: dict[tuple[str, str], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), terms in counts.items():
+            found = held[lang, source]
+            columns = [pa.array([name] * (len(terms) + 1), pa.string()) for name in (lang, source)]
+            columns += [pa.array(["", *terms], pa.string()), pa.array([0, *terms.values()], pa.int64()), pa.array([0, *[found[t] for t in terms]], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "documents"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict = {}
+        counts, held = defaultdict(Counter), defaultdict(Counter)
         for batch in batches:
             for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
-                found: dict = {}
-                for term in TERM.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")):
-                    found[term] = found.get(term, 0) + 1
-                counts.setdefault((lang, source, ""), [0, 0])
-                for term, n in found.items():
-                    sums = counts.setdefault((lang, source, term), [0, 0])
-                    sums[0] += n
-                    sums[1] += 1
-                if len(counts) > _FLUSH:
-                    yield rows(counts)
-                    counts.clear()
-        yield rows(counts)
+                # bytes are lower-cased in A-Z only
+                terms = TERM.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
+                counts[lang, source].update(terms)
+                held[lang, source].update(set(terms))
+            if sum(map(len, counts.values())) > _FLUSH:
+                yield from rows(counts, held)
+                counts.clear()
+                held.clear()
+        yield from rows(counts, held)
 
     found = texts.mapInArrow(each, "lang string, source string, term string, n long, documents long")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("documents"))
