@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from kindred.session import spread
+from kindred.sources.csv_ranges import read_csv_ranges
 
 # The column order of the article CSV files.
 ARTICLE_COLUMNS = (
@@ -25,8 +26,8 @@ CSV_OPTIONS = {
 
 
 def read_article_csv(spark: SparkSession, path: str, schema: StructType = ARTICLE_SCHEMA) -> DataFrame:
-    """Articles with embedded line breaks and doubled quotes; the text ``null`` is a null."""
-    return spark.read.schema(schema).csv(path, multiLine=True, nullValue="null", **CSV_OPTIONS)
+    """Articles with embedded line breaks and doubled quotes; the text ``null`` is a null. Every byte range of a file is a task."""
+    return read_csv_ranges(spark, path, schema, nullValue="null", **CSV_OPTIONS)
 
 
 def write_article_csv(df: DataFrame, path: str) -> None:
