@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kindred.functions.phrases import ranked_phrases
 from kindred.functions.text import NOT_ALNUM_OR_SPACE, alnum_words, ascii_fold, glued_words, round_half_up, word_tokens
+from kindred.session import materialise
 
 TOP_DOCUMENTS = 15
 FUZZY_SHARE = 20
@@ -143,31 +144,63 @@ def overlapping_keywords(keywords: DataFrame, queries: DataFrame, strict: bool =
     return found.join(own, "query_id").where(overlaps(F.col("keyword"), F.col("words"))).select("query_id", "keyword")
 
 
+def _edits(longer: str, threshold: float) -> str:
+    """SQL: edits that two texts may differ by, from the length of the longer one."""
+    return f"CAST(floor({longer} * (1 - {threshold}D) + 1e-9) AS INT)"
+
+
+def _letters(text: str) -> Column:
+    """The letters of a text as bits of a number."""
+    return F.expr(f"aggregate(filter(split({text}, ''), c -> c <> ''), 0L, (m, c) -> m | shiftleft(1L, ascii(c) % 64))")
+
+
+def edit_segments(phrases: DataFrame, threshold: float) -> DataFrame:
+    """``(phrase, b, size, edits, segment, part)``, ``b`` its letters: the parts of phrases that keywords of ``size`` letters are looked up by.
+
+    A keyword that may differ by ``edits`` is cut into one more segment than that, so one segment stands in the phrase
+    unchanged. Edits before it can shift segment i by i places at most, edits after it by the other edits at most, which
+    leaves few places to look at.
+    """
+    own = phrases.select("phrase").distinct().withColumns({"m": F.length("phrase"), "b": _letters("phrase")}).where("m > 0")
+    sizes = own.select("phrase", "b", "m", F.explode(F.expr(f"sequence(greatest(1, CAST(ceil(m * {threshold}D - 1e-9) AS INT)), CAST(floor(m / {threshold}D + 1e-9) AS INT))")).alias("size"))
+    sizes = sizes.withColumn("edits", F.expr(_edits("greatest(m, size)", threshold)))
+    cut = sizes.select("*", F.explode(F.expr("sequence(0, edits)")).alias("segment"))
+    cut = cut.select("*", F.expr("size div (edits + 1)").cast("int").alias("short"), F.expr("edits + 1 - size % (edits + 1)").alias("shorts"))
+    cut = cut.select("*", F.expr("segment * short + greatest(segment - shorts, 0)").alias("at"), F.expr("short + IF(segment >= shorts, 1, 0)").alias("letters"))
+    first = "greatest(0, at - segment, at + m - size - (edits - segment))"
+    last = "least(m - letters, at + segment, at + m - size + (edits - segment))"
+    places = cut.withColumns({"first": F.expr(first), "last": F.expr(last)}).where("first <= last")
+    return places.select("phrase", "b", "size", "edits", "segment", F.explode(F.expr("array_distinct(transform(sequence(first, last), p -> substring(phrase, p + 1, letters)))")).alias("part"))
+
+
+def keyword_segments(keywords: DataFrame, edits: DataFrame) -> DataFrame:
+    """``(keyword, a, size, edits, segment, part)``, ``a`` its letters, of keywords for all their ``(size, edits)``."""
+    sized = keywords.select("keyword", F.length("keyword").alias("size"), _letters("keyword").alias("a")).join(edits, "size")
+    cut = sized.select("*", F.expr("size div (edits + 1)").cast("int").alias("short"), F.expr("edits + 1 - size % (edits + 1)").alias("shorts"), F.explode(F.expr("sequence(0, edits)")).alias("segment"))
+    part = "substring(keyword, segment * short + greatest(segment - shorts, 0) + 1, short + IF(segment >= shorts, 1, 0))"
+    return cut.select("keyword", "a", "size", "edits", "segment", F.expr(part).alias("part"))
+
+
 def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6) -> DataFrame:
     """``(query_id, keyword, phrase, ratio, kw_score)`` by edit distance, with half of the phrase score.
 
-    ``ratio`` is 1 - distance / longer length. Every pair that can reach the threshold is compared: the distinct phrases
-    of the queries are joined by their length with the keywords of all lengths that fit, and pairs with more unshared
-    letters than edits allowed are dropped before the exact test.
+    ``ratio`` is 1 - distance / longer length. Exact: a keyword meets a phrase on a segment of its own that the phrase
+    holds where the allowed edits can have moved it, and pairs that meet are compared. ``phrases`` should be a written
+    table: their parts are broadcast when their size allows, and the keywords are then not shuffled.
     """
-    longest = F.greatest(F.length("keyword"), F.length("phrase"))
-    allowed = longest * (1 - threshold) + 1e-9
-    letters = "aggregate(filter(split({0}, ''), c -> c <> ''), 0L, (m, c) -> m | shiftleft(1L, ascii(c) % 64))"
-    size = F.length("keyword")
+    spark = keywords.sparkSession
+    parts = materialise(edit_segments(phrases, threshold))
+    segments = keyword_segments(keywords, parts.select("size", "edits").distinct())
+    key = ["size", "edits", "segment", "part"]
     # many comparisons for little data: a stated number of partitions, which is not coalesced
-    tasks = max(keywords.sparkSession.sparkContext.defaultParallelism, int(keywords.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    left = keywords.repartition(tasks, "keyword").where(size > 0).select(
-        "keyword",
-        F.expr(letters.format("keyword")).alias("a"),
-        F.explode(F.sequence(F.ceil(size * (threshold - 1e-9)).cast("int"), F.floor(size / (threshold - 1e-9)).cast("int"))).alias("size"),
-    )
-    wanted = phrases.select("phrase").distinct()
-    right = wanted.select("phrase", F.expr(letters.format("phrase")).alias("b"), F.length("phrase").alias("size"))
-    missing = F.greatest(F.bit_count(F.col("a").bitwiseAND(F.bitwise_not("b"))), F.bit_count(F.col("b").bitwiseAND(F.bitwise_not("a"))))
-    close = left.join(right, "size").where(missing <= allowed).where(F.levenshtein("keyword", "phrase") <= allowed)
-    pairs = close.select("keyword", "phrase").join(phrases.select("query_id", "phrase", "score"), "phrase")
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    left, right = segments.repartition(tasks, *key), parts.repartition(tasks, *key)
+    unshared = F.greatest(*[F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(y))) for x, y in (("a", "b"), ("b", "a"))])
+    close = left.join(right, key).where(unshared <= F.col("edits")).where("levenshtein(keyword, phrase, edits) >= 0")
+    met = close.select("keyword", "phrase").distinct()
+    longest = F.greatest(F.length("keyword"), F.length("phrase"))
     return (
-        not_exact(pairs, phrases)
+        not_exact(met.join(phrases.select("query_id", "phrase", "score"), "phrase"), phrases)
         .withColumn("ratio", 1 - F.levenshtein("keyword", "phrase") / longest)
         .where(F.col("ratio") >= threshold)
         .select("query_id", "keyword", "phrase", "ratio", (F.col("score") / 2).alias("kw_score"))
