@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kindred.contract import sqltext as q
@@ -51,25 +53,19 @@ def kw_rake_all_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kw.postings(articles(spark, sf_dir), fields=["content"], fraction=1.0).select("keyword", "doc_id", "score")
 
 
-_SHORT = ["title", "keywords", "meta_keywords", "meta_description", "tags"]
-
-
 @query(
     "SELECT * FROM ("
     + " UNION ALL ".join(
-        "(" + q.with_(q.ARTICLES, q.index(profile=p, fields=_SHORT))
-        + f"SELECT '{p}' AS profile, field, count(*) AS n, sum(score) AS total FROM idx GROUP BY field)"
+        "(" + q.with_(q.ARTICLES, q.index(profile=p)) + f"SELECT '{p}' AS profile, field, count(*) AS n, " + q.half_up("sum(score)", 3) + " AS total FROM idx GROUP BY field)"
         for p in kw.FIELD_WEIGHTS
     )
     + ")"
 )
 def kw_weight_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(p, f, float(w)) for p, ws in kw.FIELD_WEIGHTS.items() for f, w in ws.items()]
-    weights = spark.createDataFrame(rows, "profile string, field string, weight double")
-    counts = kw.postings(articles(spark, sf_dir), fields=_SHORT).groupBy("field").agg(F.count("*").alias("n"))
-    return counts.join(weights, "field").select(
-        "profile", "field", "n", (F.col("n") * F.col("weight")).alias("total")
-    )
+    """Number and total score of the postings of every field under every profile."""
+    corpus = articles(spark, sf_dir)
+    found = [kw.postings(corpus, profile=p).groupBy("field").agg(F.count("*").alias("n"), round_half_up(F.sum("score"), 3).alias("total")).select(F.lit(p).alias("profile"), "*") for p in kw.FIELD_WEIGHTS]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 @query(
@@ -139,11 +135,11 @@ def index_multi_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT * FROM (" + " UNION ALL ".join("(" + q.with_(q.ARTICLES, q.index(profile=p, fields=_SHORT)) + f"SELECT '{p}' AS profile, keyword, doc_id, score, field FROM idx)" for p in ("first", "light")) + ")"
+    "SELECT * FROM (" + " UNION ALL ".join("(" + q.with_(q.ARTICLES, q.index(profile=p)) + f"SELECT '{p}' AS profile, keyword, doc_id, score, field FROM idx)" for p in ("first", "light")) + ")"
 )
 def kw_other_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings under the weights other than the default ones."""
-    first, light = (kw.postings(articles(spark, sf_dir), fields=_SHORT, profile=p).withColumn("profile", F.lit(p)) for p in ("first", "light"))
+    first, light = (kw.postings(articles(spark, sf_dir), profile=p).withColumn("profile", F.lit(p)) for p in ("first", "light"))
     return first.unionByName(light)
 
 

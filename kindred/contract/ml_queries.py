@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from kindred.contract import sqltext as q
 from kindred.contract.registry import query
 from kindred.functions.stopwords import ENGLISH
+from kindred.operators import vocabulary
 from kindred.sources.articles import table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
@@ -283,34 +284,29 @@ def ml_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nonzero(weighted, "w", "doc_id").withColumn("value", F.round("value", 5))
 
 
-# The vocabulary is the words in at least this share of the documents, which bounds it at any size of the corpus:
-# to the mean number of distinct words of a document divided by the share.
-MIN_SHARE = 0.002
 _COUNTED = (
     f"w AS (SELECT doc_id, unnest({_SPLIT}) AS word FROM documents), total AS (SELECT count(*) AS m FROM documents), "
-    f"d AS (SELECT word, count(DISTINCT doc_id) AS df FROM w GROUP BY 1 HAVING count(DISTINCT doc_id) >= {MIN_SHARE} * (SELECT m FROM total)), "
-    "c AS (SELECT doc_id, word, count(*)::DOUBLE AS n, any_value(df) AS df FROM w JOIN d USING (word) GROUP BY 1, 2)"
+    "d AS (SELECT word, df, row_number() OVER (ORDER BY df DESC, word) - 1 AS slot FROM (SELECT word, count(DISTINCT doc_id) AS df FROM w GROUP BY 1)), "
+    "c AS (SELECT doc_id, word, slot, count(*)::DOUBLE AS n, any_value(df) AS df FROM w JOIN d USING (word) GROUP BY ALL)"
 )
 
 
-def _counted(spark: SparkSession, sf_dir: str, column: str) -> tuple[DataFrame, DataFrame]:
-    """Documents with their counts of words, and the ``slot`` of every ``word``."""
-    df = tokens(spark, sf_dir)
-    model = X.CountVectorizer(inputCol="tokens", outputCol=column, minDF=MIN_SHARE).fit(df)
-    return model.transform(df), spark.createDataFrame(list(enumerate(model.vocabulary)), "slot int, word string")
+def _counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Words of all documents, and the dictionary of all words."""
+    rows = vocabulary.word_rows(tokens(spark, sf_dir), "doc_id", F.col("tokens"))
+    return rows, vocabulary.dictionary(rows)
 
 
-@query(f"WITH {_COUNTED} SELECT doc_id, word, n AS value FROM c")
+@query(f"WITH {_COUNTED} SELECT doc_id, word, slot, n AS value FROM c")
 def ml_count_vectorizer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted, words = _counted(spark, sf_dir, "out")
-    return nonzero(counted, "out", "doc_id").join(words, "slot").select("doc_id", "word", "value")
+    found = vocabulary.sparse_rows(*_counted(spark, sf_dir), "doc_id")
+    return found.select("doc_id", "word", "slot", F.col("n").cast("double").alias("value"))
 
 
 @query(f"WITH {_COUNTED} SELECT doc_id, word, round(n * ln((m + 1) / (df + 1)), 5) AS value FROM c, total")
 def ml_idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted, words = _counted(spark, sf_dir, "counts")
-    weighted = X.IDF(inputCol="counts", outputCol="out").fit(counted).transform(counted)
-    return nonzero(weighted, "out", "doc_id").join(words, "slot").select("doc_id", "word", F.round("value", 5).alias("value"))
+    found = vocabulary.idf_weights(*_counted(spark, sf_dir), "doc_id", table(spark, sf_dir, "documents").count())
+    return found.select("doc_id", "word", F.round("value", 5).alias("value"))
 
 
 @query()
@@ -407,10 +403,11 @@ _rows("ml_gaussian_mixture", _clustered(lambda: K.GaussianMixture(k=2, seed=1, m
 
 @query()
 def ml_lda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = tokens(spark, sf_dir)
-    counted = X.CountVectorizer(inputCol="tokens", outputCol="features", minDF=MIN_SHARE).fit(df).transform(df)
-    model = K.LDA(k=4, maxIter=3, seed=1, optimizer="online").fit(counted)
-    return model.describeTopics(5).select("topic", F.array_join(F.transform("termIndices", lambda i: i.cast("string")), ",").alias("terms"))
+    """Topics of all documents over all words; the words are vertices of a graph, so no table of them is in the driver."""
+    rows, words = _counted(spark, sf_dir)
+    model = K.LDA(k=4, maxIter=3, seed=1, optimizer="em").fit(vocabulary.sparse_vectors(rows, words, "doc_id", "features"))
+    terms = model.describeTopics(5).select("topic", F.posexplode("termIndices").alias("place", "slot")).join(words, "slot")
+    return terms.groupBy("topic").agg(F.array_join(F.array_sort(F.collect_list(F.struct("place", "word")))["word"], ",").alias("terms"))
 
 
 @query()
