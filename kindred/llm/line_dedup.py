@@ -33,10 +33,10 @@ def line_hash(key: str) -> bytes:
 
 
 def _texts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """``file`` and ``row`` (the same in every reading), ``doc_id``, ``text`` with null as empty, ``carry``."""
+    """``file`` and ``row`` (the same in every reading), ``doc_id``, ``text`` with null as empty, ``carried`` with the columns ``carry``."""
     docs = keyed(docs)
     place = [F.xxhash64("key.file_path").alias("file"), F.col("key.row_index").alias("row")]
-    return docs.select(*place, F.col("doc.doc_id").cast("long").alias("doc_id"), F.coalesce("doc.text", F.lit("")).alias("text"), *[F.col("doc")[c].alias(c) for c in carry])
+    return docs.select(*place, F.col("doc.doc_id").cast("long").alias("doc_id"), F.coalesce("doc.text", F.lit("")).alias("text"), F.struct(F.lit(0).alias("_"), *[F.col("doc")[c].alias(c) for c in carry]).alias("carried"))
 
 
 def _holders(texts: DataFrame, least: int) -> DataFrame:
@@ -190,10 +190,10 @@ def deduplicated(docs: DataFrame, carry: Sequence[str] = (), least: int = LEAST,
             texts, maps = batch.column("text").to_pylist(), batch.column("bitmap")
             counts = pa.array([t.count("\n") + 1 for t in texts], pa.int64())
             kept = pa.array([kept_lines(t, m) for t, m in zip(texts, maps.to_pylist(), strict=True)], pa.string())
-            columns = [batch.column("doc_id"), counts, batch.column("n_dropped").fill_null(0), maps, kept, *[batch.column(c) for c in carry]]
+            columns = [batch.column("doc_id"), counts, batch.column("n_dropped").fill_null(0), maps, kept, *[batch.column("carried").field(i + 1) for i in range(len(carry))]]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_dropped", "bitmap", "text", *carry])
 
     out = T.StructType().add("doc_id", "long").add("n_lines", "long").add("n_dropped", "long").add("bitmap", "binary").add("text", "string")
     for name in carry:
-        out = out.add(texts.schema[name])
+        out = out.add(texts.schema["carried"].dataType[name])
     return joined.mapInArrow(each, out)
