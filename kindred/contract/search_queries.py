@@ -8,7 +8,7 @@ from kindred.contract import sqltext as q
 from kindred.contract.registry import query
 from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import round_half_up
-from kindred.operators import search
+from kindred.operators import blocked_index, search
 from kindred.operators.keywords import postings
 from kindred.operators.similarity import UNSHARED, rerank
 from kindred.plans import recommend as plan
@@ -199,6 +199,13 @@ def score_docs_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.candidates(*_index(spark, sf_dir), query_articles(spark, sf_dir))
 
 
+@query(q.with_(*search_ctes()) + "SELECT query_id, doc_id, score, rank FROM td")
+def search_block_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents from an index in blocks, without reading the blocks that cannot hold one."""
+    index, keywords = _index(spark, sf_dir)
+    return blocked_index.best_documents(blocked_index.build(index), plan.matches(keywords, query_articles(spark, sf_dir)))
+
+
 @query(
     q.with_(*search_ctes())
     + "SELECT td.query_id, td.rank, a.id AS doc_id, a.type, a.title, length(a.content) AS n FROM td JOIN articles a ON a.id = td.doc_id"
