@@ -79,8 +79,10 @@ def search(vectors: DataFrame, is_query, neighbours: int = 5, pivots: int = PIVO
     rows = rows.where(F.size("embedding") == (length["n"] if length else 0)).distinct()
     place = Window.partitionBy("embedding").orderBy("vec_id")
     kept = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= neighbours + 1)
-    single = materialise(kept.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
-    asked = materialise(rows.where(is_query).join(single.select("embedding", F.element_at("ids", 1).alias("first")), "embedding"))
+    grouped = kept.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    # a number of its own for each vector, written: an id may have several vectors
+    single = materialise(grouped.withColumn("first", F.monotonically_increasing_id()))
+    asked = materialise(rows.where(is_query).join(single.select("embedding", "first"), "embedding"))
     total, queries = single.count(), asked.select("first").distinct().count()
     if not queries:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -96,7 +98,7 @@ def search(vectors: DataFrame, is_query, neighbours: int = 5, pivots: int = PIVO
 
     spread = lambda df, own, n, other, m: df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
     schema = "id long, embedding array<double>, ids array<long>, pivots binary"
-    posted = single.select(F.element_at("ids", 1).alias("id"), "embedding", "ids").mapInArrow(index, schema)
+    posted = single.select(F.col("first").alias("id"), "embedding", "ids").mapInArrow(index, schema)
     wanted = asked.groupBy("first").agg(F.first("embedding").alias("embedding")).select(F.col("first").alias("id"), "embedding", F.array().cast("array<long>").alias("ids")).mapInArrow(index, schema)
     left = spread(posted, "shard", shards, "block", blocks)
     right = spread(wanted.drop("ids"), "block", blocks, "shard", shards)

@@ -37,8 +37,15 @@ def test_everything_compared_is_exact(spark):
     assert got == force(list(range(300)), vectors, range(0, 300, 20), 5)
 
 
-def test_recall(spark):
-    df = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
+def shards_of_noise(spark):
+    """More vectors than a shard holds, without clusters."""
+    vectors = np.random.default_rng(9).normal(size=(20_000, 16)).astype(np.float32)
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(8)
+
+
+@pytest.mark.parametrize("source", ["embeddings", "noise"])
+def test_recall(spark, source):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet") if source == "embeddings" else shards_of_noise(spark)
     rows = sorted((r["vec_id"], r["embedding"]) for r in df.collect())
     ids, vectors = [i for i, _ in rows], np.array([v for _, v in rows], float)
     queries = [i for i in ids if i % 50 == 0][:60]
@@ -47,6 +54,16 @@ def test_recall(spark):
     assert sum(len(set(want[q]) & set(got[q])) for q in queries) / (5 * len(queries)) >= 0.9
 
 
+def test_an_id_with_two_vectors_asks_with_both(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), *[(i, [1.0, i / 10]) for i in range(1, 5)], *[(i, [i / 100, 1.0]) for i in range(11, 14)]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = permutation_index.search(df, F.col("vec_id") % 50 == 0).orderBy("rank").collect()
+    want = {}
+    for i, v in rows[2:]:
+        want[i] = max(np.dot(v, q) / np.linalg.norm(v) for q in ([1.0, 0.0], [0.0, 1.0]))
+    assert [r["vec_id"] for r in got] == sorted(want, key=lambda i: (-want[i], i))[:5]
+
+
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (None, [1.0, 1.0]), (6, [2.0, 0.0]), (7, [1.0]), (8, []), (9, [-1.0, 1e-9])]
