@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import sys
+from collections.abc import Callable, Iterable, Sequence
+from types import ModuleType
+from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kindred.session import materialise
 
+Made = TypeVar("Made")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,3 +63,14 @@ def ceil_div(a: int, b: int) -> int:
 
 def spans_text(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
+
+
+def kept_in_worker(name: str, make: Callable[[], Made]) -> Made:
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks.
+
+    The code of this package travels with every task, so its own variables start anew each time.
+    """
+    store = sys.modules.setdefault("_kindred_worker", ModuleType("_kindred_worker")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]

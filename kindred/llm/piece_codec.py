@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from kindred.llm.common import bodies
+from kindred.llm.common import bodies, kept_in_worker
 
 SPACE = "▁"
 #: Parts whose pieces a worker keeps.
@@ -75,6 +75,8 @@ class PieceModel:
         self.map = CharacterMap(spec.precompiled_charsmap)
         self._prefix, self._strip, self._escape = spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces
         self._identity = not spec.precompiled_charsmap and self._prefix and not self._strip and self._escape
+        #: Whether every byte of a text lies in the span of a piece.
+        self.keeps_bytes = not spec.precompiled_charsmap and not self._strip
         self._ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
         self._scores = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
         self._unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
@@ -232,13 +234,14 @@ class PieceModel:
                     at += len(piece)
         return np.array(ids, "<i4"), np.array(begins, np.int64), np.array(ends, np.int64)
 
-    def listed(self, text: str) -> tuple[np.ndarray, str]:
-        """Ids, and the same as decimals joined by commas."""
+    def traced(self, text: str) -> tuple[np.ndarray, str, np.ndarray, np.ndarray]:
+        """Ids, the same as decimals joined by commas, and the spans of the pieces as ``encode`` gives them."""
         if self._simple(text):
             parts = self._parts(text)
-            return np.frombuffer(b"".join([p[0] for p in parts]), "<i4"), ",".join([p[2] for p in parts])
-        ids = self.encode(text)[0]
-        return ids, ",".join(map(str, ids.tolist()))
+            ends = np.frombuffer(b"".join([p[1] for p in parts]), "<i4").cumsum() - 1
+            return np.frombuffer(b"".join([p[0] for p in parts]), "<i4"), ",".join([p[2] for p in parts]), np.concatenate([[0], ends[:-1]]), ends
+        ids, begins, ends = self.encode(text)
+        return ids, ",".join(map(str, ids.tolist())), begins, ends
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids; bytes that are not UTF-8 become U+FFFD each. The space put before a text is taken off again."""
@@ -304,24 +307,43 @@ def encode(docs: DataFrame, model: str, carry: Sequence[str] = ()) -> DataFrame:
     return docs.mapInArrow(each, out)
 
 
+def _covered(text: str, begins: np.ndarray, ends: np.ndarray, share: bool) -> int:
+    """Bytes that the spans cover. Spans follow each other without gaps; with a character map (``share``) they may share bytes, and stripped blanks have none."""
+    size = len(text.encode("utf-8", "surrogatepass"))
+    if not len(ends):
+        return 0
+    if not share and (begins[0] != 0 or ends[-1] != size or (begins[1:] != ends[:-1]).any()):
+        raise ValueError("the spans of the pieces leave bytes of the text out")
+    return int(ends[-1] - begins[0])
+
+
 def digests(docs: DataFrame, model: str, carry: Sequence[str] = ()) -> DataFrame:
-    """``row``, ``doc_id``, ``carry``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of every row: what ``encode`` and ``decode`` give, without moving it."""
+    """``row``, ``doc_id``, ``carry``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``, ``n_bytes``, ``spans_sha256`` of every row.
+
+    They are made of what ``encode`` and ``decode`` give, without moving it. ``n_bytes`` are the bytes of the text that the
+    spans cover, ``spans_sha256`` is taken of the first bytes and then of the ends, as little-endian 64-bit numbers. Where the
+    model has no character map and strips nothing, spans that leave a byte of the text out are an error.
+    """
     docs = bodies(docs, carry)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PieceModel(model)
+        codec = kept_in_worker(f"pieces of {model}", lambda: PieceModel(model))
         for batch in batches:
-            counts, ids_digests, text_digests = [], [], []
+            counts, ids_digests, text_digests, covered, spans = [], [], [], [], []
             for text in batch.column("text").to_pylist():
-                ids, listed = codec.listed(text)
+                ids, listed, begins, ends = codec.traced(text)
                 counts.append(len(ids))
                 ids_digests.append(hashlib.sha256(listed.encode()).hexdigest())
                 text_digests.append(hashlib.sha256(codec.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
+                covered.append(_covered(text, begins, ends, not codec.keeps_bytes))
+                spans.append(hashlib.sha256(begins.astype("<i8").tobytes() + ends.astype("<i8").tobytes()).hexdigest())
             columns = [batch.column(c) for c in ("row", "doc_id", *carry)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())], names=out.names)
+            columns += [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(covered, pa.int64()), pa.array(spans, pa.string())], names=out.names)
 
     out = T.StructType([f for f in docs.schema.fields if f.name != "text"])
-    return docs.mapInArrow(each, out.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string"))
+    out = out.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string").add("n_bytes", "long").add("spans_sha256", "string")
+    return docs.mapInArrow(each, out)
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids") -> DataFrame:

@@ -94,7 +94,7 @@ def op5_rare_word_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_offset_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the pieces of all ``documents`` and of the texts decoded from them."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_codec.digests(table(spark, sf_dir, "documents"), path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return piece_codec.digests(table(spark, sf_dir, "documents"), path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes", "spans_sha256")
 
 
 @query()

@@ -181,7 +181,9 @@ def test_pieces_equal_library(codec, library, text):
     assert codec.decode(ids) == library.decode(ids.tolist())
     data = text.encode()
     assert b"".join(data[b:e] for b, e in zip(begins, ends, strict=True)) == data
-    assert codec.listed(text)[1] == ",".join(map(str, ids.tolist()))
+    assert piece_codec._covered(text, begins, ends, False) == len(data)
+    traced = codec.traced(text)
+    assert traced[1] == ",".join(map(str, ids.tolist())) and all((a == b).all() for a, b in zip((traced[0], *traced[2:]), codec.encode(text), strict=True))
 
 
 @settings(max_examples=200, deadline=None)
@@ -250,6 +252,12 @@ def test_pieces_of_odd_rows(odd, none, library):
         ids = library.encode(text or "")
         want.append((doc_id, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
     assert got == sorted(want, key=str)
+    texts = {i: t or "" for i, t in odd.select("doc_id", "text").collect()}
+    codec = piece_codec.PieceModel(MODEL)
+    for r in piece_codec.digests(odd.where("doc_id IS NOT NULL"), MODEL).collect():
+        _, begins, ends = codec.encode(texts[r["doc_id"]])
+        assert r["n_bytes"] == len(texts[r["doc_id"]].encode())
+        assert r["spans_sha256"] == hashlib.sha256(np.asarray(begins, "<i8").tobytes() + np.asarray(ends, "<i8").tobytes()).hexdigest()
     full = piece_codec.decode(piece_codec.encode(odd, MODEL, ["key"]).drop("begins", "ends"), MODEL).collect()
     assert {(r["doc_id"], r["decoded"]) for r in full} == {(i, library.decode(library.encode(t or ""))) for i, t in odd.select("doc_id", "text").collect()}
     assert piece_codec.encode(none, MODEL).collect() == []
