@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kindred.llm.common import bodies, ceil_div
+from kindred.llm.common import bodies, ceil_div, kept_in_worker
 from kindred.session import materialise
 
 #: Tokens in a sequence, pieces packed by one task, rounds of exchange, words whose ids a worker keeps.
@@ -39,7 +39,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        # texts that hold one of these are tokenised in one go
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._cache, self._known = cache, {}
         # the id of a line break, which no word without one has among its ids
         self._break = self._tokenizer.encode("\n", add_special_tokens=False).ids[0]
@@ -67,7 +68,8 @@ class WordTokenizer:
         """32-bit ids of every text, as bytes."""
         for at in range(0, len(texts), 256):
             part = texts[at : at + 256]
-            words = [text.replace("\n", " \n").split(" ") for text in part]
+            # a leading empty word leaves the text whole
+            words = [["", ""] if any(t in text for t in self._added) else text.replace("\n", " \n").split(" ") for text in part]
             self._learn(words)
             known = self._known
             kept = [[known[w] for w in found[1:]] for found in words]
@@ -94,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int |
     names = ["row", "doc_id", *carry]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = kept_in_worker(f"words of {tokenizer}", lambda: WordTokenizer(tokenizer))
         tail = b"" if end is None else np.array([end], "<u4").tobytes()
         for batch in batches:
             place, piece, start, length, crc, ids = [], [], [], [], [], []

@@ -18,7 +18,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def tokenizer():
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     return plain
 
 
@@ -31,6 +30,13 @@ def test_word_ids_equal_whole_ids(tokenizer):
     assert [t for t, g, w in zip(texts, got, want, strict=True) if g != w] == []
 
 
+def test_added_tokens_keep_their_id(spark, tokenizer):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y z\nw", "plain text", None]
+    rows = best_fit.pieces(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), PATH).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}
+    assert sum(50256 in r["ids"] for r in rows) == 3
+
+
 @pytest.mark.parametrize("capacity", [16, 1024])
 def test_pieces_rebuild_documents(odd, tokenizer, capacity):
     rows = best_fit.pieces(odd, PATH, capacity).collect()

@@ -79,7 +79,6 @@ def test_secrets_masks_texts_and_keeps_rows(stages):
 def test_packing_holds_every_token_once(stages):
     (*_, before, pieces), columns, _ = stages
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = [dict(zip(columns, p, strict=True)) for p in pieces]
     total = Counter()
     for r in rows:
