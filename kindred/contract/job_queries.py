@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from kindred.contract.registry import query
-from kindred.operators import graph, statistics as st
+from kindred.operators import graph, matrix, statistics as st
 from kindred.operators.joins import salted_join, salted_sum
 from kindred.session import materialise
 from kindred.sources.articles import table
@@ -355,6 +355,57 @@ def matrix_svd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(values)), "k int, value double")
 
 
+def _cells(spark: SparkSession, matrix, name: str) -> DataFrame:
+    """A small matrix as ``(i, j, name)``."""
+    return spark.createDataFrame([(i, j, float(x)) for i, row in enumerate(matrix) for j, x in enumerate(row)], f"i int, j int, {name} double")
+
+
+@query(f"WITH {_GRAM} SELECT i, j, round(g, 5) AS g FROM g")
+def matrix_qr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R of the QR factors of the embeddings, shown by its transpose times itself, which is the Gram matrix."""
+    r = matrix.r_factor(table(spark, sf_dir, "embeddings"), "embedding", 64)
+    return _cells(spark, r.T @ r, "g").withColumn("g", F.round("g", 5))
+
+
+@query("SELECT a.range::INTEGER AS i, b.range::INTEGER AS j, CASE WHEN a.range = b.range THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS g FROM range(64) a, range(64) b")
+def matrix_q_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of Q are perpendicular and of length one."""
+    q_rows, _ = matrix.tall_qr(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64)
+    rows = st.gram(q_rows, "q", 64).select("i", F.posexplode("row").alias("j", "g"))
+    return rows.withColumn("g", F.round(F.col("g"), 6) + F.lit(0.0))
+
+
+@query("SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS i, round(unnest(embedding)::DOUBLE, 4) AS x FROM embeddings")
+def matrix_singular_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Left vectors, values and right vectors multiplied together are the embeddings again."""
+    left, values, right = matrix.svd(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64, 64)
+    back = matrix.times(left, "vec_id", "u", (right * values).T, "row")
+    return back.select("vec_id", F.posexplode("row").alias("i", "x")).withColumn("x", F.round("x", 4))
+
+
+@query(
+    "WITH v AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings) "
+    "SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, round(covar_samp(a.x, b.x), 8) AS cov FROM v a JOIN v b USING (vec_id) GROUP BY 1, 2"
+)
+def matrix_covariance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cells(spark, matrix.covariance(table(spark, sf_dir, "embeddings"), "embedding", 64), "cov").withColumn("cov", F.round("cov", 8))
+
+
+@query(
+    "WITH v AS (SELECT unnest([l_quantity / 50, l_extendedprice / 100000, l_discount * 10, l_tax * 12, l_linenumber / 7])::DOUBLE AS x, unnest(range(5)) AS i, r FROM (SELECT *, row_number() OVER () AS r FROM lineitem)), "
+    "g AS (SELECT a.i, b.i AS j, sum(a.x * b.x) AS g FROM v a JOIN v b USING (r) GROUP BY 1, 2) "
+    "SELECT g.i::INTEGER AS i, g.j::INTEGER AS j, round(g.g / sqrt(x.g * y.g), 5) AS cosine, TRUE AS close, TRUE AS sampled FROM g JOIN g x ON x.i = g.i AND x.j = g.i JOIN g y ON y.i = g.j AND y.j = g.j WHERE g.i < g.j"
+)
+def job_column_cosine_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarities of columns of the lines from a sample of the products: each within a tenth of the exact value, with fewer products than rows."""
+    columns = F.array(F.col("l_quantity") / 50, F.col("l_extendedprice") / 100000, F.col("l_discount") * 10, F.col("l_tax") * 12, F.col("l_linenumber") / 7)
+    lines = table(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber", "l_partkey").alias("key"), columns.alias("row"))
+    exact = st.column_cosines(materialise(st.gram(lines, "row", 5)))
+    estimate = matrix.sampled_column_cosines(lines, "key", "row", 5, 0.01, seed=1).withColumnRenamed("cosine", "estimate")
+    close = F.abs(F.col("estimate") - F.col("cosine")) <= 0.1
+    return exact.join(estimate, ["i", "j"]).select("i", "j", F.round("cosine", 5).alias("cosine"), close.alias("close"), (F.col("products") < lines.count()).alias("sampled"))
+
+
 _BASKET = "b AS (SELECT DISTINCT l_orderkey AS o, p_type AS t FROM lineitem JOIN part ON p_partkey = l_partkey)"
 
 
