@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from kindred.session import spread
@@ -118,3 +118,20 @@ def query_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.floor(F.col("item_id") / PARAGRAPHS).alias("query_id")
     grouped = table(spark, sf_dir, "benchmark").groupBy(number).agg(F.array_sort(F.collect_list(F.struct("item_id", "text"))).alias("parts"))
     return grouped.select("query_id", F.array_join("parts.text", "\n").alias("text"))
+
+
+#: Documents of a language that become query articles.
+WHOLE = 10
+
+
+def whole_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, text)``: the longest documents of every language as query articles, whole, and each half of their lines by itself.
+
+    The number is three times that of the document, plus one for the first and two for the second half.
+    """
+    longest_first = Window.partitionBy("lang").orderBy(F.length("text").desc(), "doc_id")
+    longest = table(spark, sf_dir, "documents").withColumn("place", F.row_number().over(longest_first)).where(F.col("place") <= WHOLE)
+    rows = longest.select("doc_id", F.split("text", "\n").alias("rows"))
+    middle = F.ceil(F.size("rows") / 2).cast("int")
+    parts = F.array(F.col("rows"), F.slice("rows", F.lit(1), middle), F.slice("rows", middle + 1, F.size("rows")))
+    return rows.select("doc_id", F.posexplode(parts).alias("part", "rows")).select((F.col("doc_id") * 3 + F.col("part")).alias("query_id"), F.array_join("rows", "\n").alias("text"))
