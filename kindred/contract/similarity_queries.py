@@ -165,8 +165,9 @@ def sim_embedding_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     q.with_(_vector_sql("benchmark", "item_id", True))
-    + "SELECT l.id AS query_id, l.word, " + q.half_up("list_dot_product(list_transform(w.embedding, lambda v: CAST(v AS DOUBLE) / w.norm), m.vec)", 5)
-    + " AS mean_similarity FROM lw l JOIN wv w USING (word) JOIN mv m ON m.id = l.id + 1"
+    + ", uv AS MATERIALIZED (SELECT word, list_transform(embedding, lambda v: CAST(v AS DOUBLE) / norm) AS unit FROM wv) "
+    + "SELECT l.id AS query_id, l.word, " + q.half_up("list_dot_product(u.unit, m.vec)", 5)
+    + " AS mean_similarity FROM lw l JOIN uv u USING (word) JOIN mv m ON m.id = l.id + 1"
 )
 def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of each matrix row: a word of one query article against all words of the next one.
@@ -186,6 +187,25 @@ def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _longest(n: str) -> str:
+    return f"(SELECT item_id FROM (SELECT item_id, row_number() OVER (ORDER BY length(text) DESC, item_id) AS place FROM benchmark) WHERE place = {n})"
+
+
+@query(
+    q.with_(_vector_sql("benchmark", "item_id", True))
+    + "SELECT a.word AS a, b.word AS b, " + q.half_up("list_cosine_similarity(list_transform(x.embedding, lambda v: CAST(v AS DOUBLE)), list_transform(y.embedding, lambda v: CAST(v AS DOUBLE)))", 5)
+    + f" AS cosine FROM lw a JOIN wv x ON x.word = a.word, lw b JOIN wv y ON y.word = b.word WHERE a.id = {_longest('1')} AND b.id = {_longest('2')}"
+)
+def sim_word_pair_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the longest passage against every word of the second longest: all cells of the matrix of one pair of texts."""
+    longest = passages(spark, sf_dir).orderBy(F.length("text").desc(), "query_id").limit(2).collect()
+    sides = []
+    for row in longest:
+        words = passages(spark, sf_dir).where(F.col("query_id") == row.query_id).select(F.explode(letter_words(F.col("text"))).alias("word"))
+        sides.append(word_vectors(spark, sf_dir, words))
+    return sim.word_matrix(*sides).withColumn("cosine", round_half_up(F.col("cosine"), 5))
+
+
 @query(
     "WITH d AS (SELECT doc_id, " + LETTERS.format("text") + " AS w FROM documents), b AS (SELECT item_id, " + LETTERS.format("text")
     + " AS w FROM benchmark), p AS (SELECT item_id AS query_id, doc_id AS id, len(list_intersect(b.w, d.w)) / sqrt(CAST(len(b.w) * len(d.w) AS DOUBLE)) AS s "

@@ -12,9 +12,10 @@ from kindred.contract.registry import query
 from kindred.operators.keywords import postings
 from kindred.session import materialise, work_dir
 from kindred.sources.articles import table
-from kindred.streaming import jobs
+from kindred.streaming import jobs, state
 from kindred.streaming.models import logistic, nearest, stream_kmeans, stream_logistic
 from kindred.streaming.runs import run_append, run_batches, run_complete, stream, stream_files, stream_table
+from kindred.streaming.sinks import run_rows
 
 _WORDS = "(SELECT unnest(list_filter(regexp_split_to_array(lower({t}.text), '[^a-z]+'), lambda w: w <> '')) AS word FROM {t})"
 
@@ -173,9 +174,35 @@ def st_stream_stream_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT word, count(*) AS n FROM (SELECT * FROM {words_sql('benchmark')} UNION ALL SELECT * FROM {words_sql('conversations')}) GROUP BY 1")
 def st_stateful_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running totals that start from the counts of a seed table, read as a first stream."""
-    seed = jobs.words(stream_table(spark, sf_dir, "benchmark"))
-    return run_complete(seed.union(jobs.words(stream_table(spark, sf_dir, "conversations"))).groupBy("word").agg(F.count("*").alias("n")))
+    """Running totals whose state starts from the counts of a batch table."""
+    seed = materialise(jobs.word_counts(table(spark, sf_dir, "benchmark")))
+    out = work_dir(spark)
+    with state.own_state(spark):
+        totals = state.running_totals(jobs.words(stream_table(spark, sf_dir, "conversations")), seed)
+        run_batches(totals, "update", lambda batch, _: batch.write.mode("append").parquet(out))
+    # totals only grow; words that the stream has not brought keep their seed
+    return spark.read.schema(totals.schema).parquet(out).unionByName(seed.select("word", "n")).groupBy("word").agg(F.max("n").alias("n"))
+
+
+@query(
+    "SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS start, count(*) AS n, (epoch_ms(max(ts)) - epoch_ms(min(ts))) // 1000 AS seconds FROM ("
+    "SELECT *, sum(CAST(gap AS INT)) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 3 HOUR, true) AS gap FROM events)) "
+    f"GROUP BY user_id, s HAVING max(ts) + INTERVAL 3 HOUR <= {_CLOSED}"
+)
+def st_timed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions kept as own state and closed by timers on event time."""
+    with state.own_state(spark):
+        found = run_append(state.closed_sessions(_events(spark, sf_dir), 3 * 3_600_000))
+    utc = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_millis("start").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm")
+    return found.select("user_id", utc.alias("start"), "n", F.floor((F.col("last") - F.col("start")) / 1000).alias("seconds"))
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE value > 10")
+def st_foreach_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row by row into a sink of our own that takes every partition of a batch once."""
+    out = work_dir(spark)
+    run_rows(stream_table(spark, sf_dir, "events").where("value > 10").select("event_id", "event_type", "value"), out)
+    return spark.read.schema("event_id long, event_type string, value double").json(f"{out}/*.json")
 
 
 @query("SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kindred.functions.phrases import ranked_phrases
 from kindred.functions.text import NOT_ALNUM_OR_SPACE, alnum_words, ascii_fold, glued_words, round_half_up, word_tokens
+from kindred.operators.similarity import asked_words
 from kindred.session import materialise
 
 TOP_DOCUMENTS = 15
@@ -125,22 +126,19 @@ def fuzzy_matches(
 def overlapping_keywords(keywords: DataFrame, queries: DataFrame, strict: bool = False) -> DataFrame:
     """``(query_id, keyword)`` for all keywords that pass :func:`overlaps`, as a join on words.
 
-    A keyword of ``d`` distinct among ``n`` words must share more than ``n / 2``, so one of any
-    ``d - floor(n / 2)`` of its words is in the query. Only its longest words, which are rare, are
-    joined; the pairs found are then checked in full.
+    A keyword of ``d`` distinct among ``n`` words must share more than ``n / 2``, so one of any ``d - floor(n / 2)`` of its words
+    is in the query. The words that no query has and then those that the fewest keywords have are taken, so a keyword without
+    enough words of any query is never joined and common words seldom are. The pairs found are then checked in full.
     """
+    own = materialise(query_words(queries, strict))
+    asked = own.select("query_id", F.explode("words").alias("word"))
     words = F.split(F.regexp_replace("keyword", NOT_ALNUM_OR_SPACE, ""), " ")
-    longest = F.transform(
-        F.sort_array(F.transform(F.array_distinct(words), lambda w: F.struct((-F.length(w)).alias("k"), w.alias("w")))),
-        lambda o: o["w"],
-    )
-    probes = F.size(longest) - F.floor(F.size(words) / F.lit(2))
-    left = keywords.select(
-        "keyword", F.explode(F.slice(longest, F.lit(1), F.greatest(probes, F.lit(0)).cast("int"))).alias("word")
-    )
-    own = query_words(queries, strict)
-    right = own.select("query_id", F.explode("words").alias("word"))
-    found = left.join(right, "word").select("query_id", "keyword").distinct()
+    cut = keywords.select("keyword", F.floor(F.size(words) / F.lit(2)).alias("half"), F.array_distinct(words).alias("words"))
+    met, order = asked_words(asked, cut.select(F.struct("keyword", "half").alias("k"), "words"), "k")
+    known = met.join(order, "word").groupBy("k", "size").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("known"))
+    taken = F.greatest(F.col("size") - F.col("k.half") - (F.col("size") - F.size("known")), F.lit(0)).cast("int")
+    left = known.select(F.col("k.keyword").alias("keyword"), F.explode(F.slice("known", F.lit(1), taken)["word"]).alias("word"))
+    found = left.join(asked, "word").select("query_id", "keyword").distinct()
     return found.join(own, "query_id").where(overlaps(F.col("keyword"), F.col("words"))).select("query_id", "keyword")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from kindred.functions.stemming import stemmed
 from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import ascii_fold, letter_words, plain_words
+from kindred.operators.statistics import positions
 from kindred.session import materialise
 
 # A two-text TF-IDF with smoothed idf weighs a shared word 1 and an unshared word 1 + ln(3/2).
@@ -163,31 +164,51 @@ def text_vectors(texts: DataFrame, key: str, text: str, vectors: DataFrame, dim:
     return known.groupBy(key).agg(F.array(*means).alias("vec"))
 
 
+def asked_words(asked: DataFrame, texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``(key, size, word)``: the words of texts that any query has, and ``(word, place)``: the order of these words, rarest first.
+
+    Both are written. ``asked`` is ``(word)``, ``texts`` is ``(key, words)`` with distinct words. Only words of the queries are
+    counted, so the order is as small as the queries are, whatever the corpus.
+    """
+    wanted = materialise(asked.select("word").distinct())
+    own = texts.select(key, F.size("words").alias("size"), F.explode("words").alias("word"))
+    met = materialise(own.join(wanted, "word").select(key, "size", "word"))
+    counted = wanted.join(met.groupBy("word").agg(F.count("*").alias("texts")), "word", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
+    return met, materialise(positions(counted, "texts", "word").select("word", F.col("position").alias("place")))
+
+
+def _prefixes(rows: DataFrame, key: str, size: str, least: Column) -> DataFrame:
+    """``(key, size, at, word)``: of the ``(place, word)`` in ``known``, those among the first ``size - least + 1`` words of a text.
+
+    Words that no query has come first in the order and cannot be met, so a text with many of them has few words left, or none.
+    """
+    unknown = F.col(size) - F.size("known")
+    kept = F.slice("known", F.lit(1), F.greatest(F.col(size) - least + 1 - unknown, F.lit(0)).cast("int"))
+    return rows.select(key, size, unknown.alias("unknown"), F.posexplode(kept).alias("at", "w")).select(key, size, (F.col("at") + F.col("unknown")).alias("at"), "w.word")
+
+
 def similar_texts(queries: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """``(query_id, id, similarity)`` with set cosine of the distinct words at or above ``threshold``.
 
-    ``queries`` is ``(query_id, words)``, ``texts`` is ``(id, words)``. A pair this close shares a word among
-    the first ``n - ceil(t * t * n) + 1`` words of both sides in any common order, and its sizes differ
-    by at most a factor ``t * t``; only such pairs are formed, then checked in full. Long words come
-    first in the order, because they are rare.
+    ``queries`` is ``(query_id, words)``, ``texts`` is ``(id, words)``. A pair this close shares a word among the first
+    ``n - ceil(t * t * n) + 1`` words of both sides in any common order; its sizes differ by at most a factor ``t * t``; and
+    enough words must follow the shared one on both sides. The order is that of the number of texts with a word, rarest
+    first, so common words are hardly ever joined. Pairs that are left are checked in full.
     """
-    # both filters are a little wider than they need be, so that rounding loses no pair at the threshold
+    # all filters are a little wider than they need be, so that rounding loses no pair at the threshold
     square = threshold * threshold * (1 - 1e-9)
-
-    def prefixes(df: DataFrame, key: str, size: str) -> DataFrame:
-        ordered = F.sort_array(F.transform("words", lambda w: F.struct((-F.length(w)).alias("k"), w.alias("w"))))
-        keep = F.size("words") - F.ceil(F.size("words") * F.lit(square)) + 1
-        return df.where(F.size("words") > 0).select(
-            key,
-            F.size("words").alias(size),
-            F.explode(F.transform(F.slice(ordered, F.lit(1), keep.cast("int")), lambda o: o["w"])).alias("word"),
-        )
-
+    queries, texts = queries.where(F.size("words") > 0), texts.where(F.size("words") > 0)
+    met, order = asked_words(queries.select(F.explode("words").alias("word")), texts, "id")
+    ordered = lambda df, *keys: df.join(order, "word").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("known"))
+    left = ordered(queries.select("query_id", F.size("words").alias("x"), F.explode("words").alias("word")), "query_id", "x")
+    right = ordered(met.withColumnRenamed("size", "y"), "id", "y")
+    left = _prefixes(left, "query_id", "x", F.ceil(F.col("x") * square)).withColumnRenamed("at", "i")
+    right = _prefixes(right, "id", "y", F.ceil(F.col("y") * square)).withColumnRenamed("at", "j")
     near = (F.col("x") >= F.col("y") * square) & (F.col("y") >= F.col("x") * square)
-    candidates = (
-        prefixes(queries, "query_id", "x").join(prefixes(texts, "id", "y"), "word").where(near)
-        .select("query_id", "id").distinct()
-    )
+    # the first shared word of a pair: it and all that follow must be enough
+    enough = F.least(F.col("x") - F.col("i"), F.col("y") - F.col("j")) >= F.sqrt(square * F.col("x") * F.col("y")) - 1e-6
+    pairs = left.join(right, "word").where(near).groupBy("query_id", "id").agg(F.min_by(enough, "i").alias("enough"))
+    candidates = materialise(pairs.where("enough").select("query_id", "id"))
     q, t = queries.withColumnRenamed("words", "qw"), texts.withColumnRenamed("words", "tw")
     shared = F.size(F.array_intersect("qw", "tw"))
     similarity = shared / F.sqrt((F.size("qw") * F.size("tw")).cast("double"))
@@ -196,3 +217,33 @@ def similar_texts(queries: DataFrame, texts: DataFrame, threshold: float) -> Dat
         .select("query_id", "id", similarity.alias("similarity"))
         .where(F.col("similarity") >= threshold)
     )
+
+
+def word_matrix(words_a: DataFrame, words_b: DataFrame, block: int = 512) -> DataFrame:
+    """``(a, b, cosine)`` of all words of two texts, each ``(word, vec)`` with distinct words: the matrix in blocks, one block per task."""
+    spark = words_a.sparkSession
+
+    def blocked(df: DataFrame) -> tuple[DataFrame, int]:
+        rows = materialise(df.select("word", F.col("vec").cast("array<double>").alias("vec")))
+        blocks = max(1, -(-rows.count() // block))
+        return rows.withColumn("own", F.pmod(F.xxhash64("word"), F.lit(blocks)).cast("int")), blocks
+
+    (left, rows), (right, columns) = blocked(words_a), blocked(words_b)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    sides = left.select(F.lit(True).alias("first"), "word", "vec", F.col("own").alias("r"), every(columns).alias("c")).unionByName(
+        right.select(F.lit(False).alias("first"), "word", "vec", F.col("own").alias("c"), every(rows).alias("r"))
+    )
+
+    def multiply(table: pa.Table) -> pa.Table:
+        first = table.column("first").to_numpy()
+        words = np.array(table.column("word").to_pylist(), dtype=object)
+        unit = np.array(table.column("vec").to_pylist(), dtype=np.float64).reshape(len(words), -1)
+        length = np.linalg.norm(unit, axis=1, keepdims=True)
+        unit = np.divide(unit, length, out=np.full_like(unit, np.nan), where=length > 0)
+        a, b = words[first], words[~first]
+        cells = unit[first] @ unit[~first].T
+        columns = [pa.array(np.repeat(a, len(b)), pa.string()), pa.array(np.tile(b, len(a)), pa.string()), pa.array(cells.ravel())]
+        return pa.Table.from_arrays(columns, names=["a", "b", "cosine"])
+
+    tasks = max(1, min(rows * columns, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return sides.repartition(tasks, "r", "c").groupBy("r", "c").applyInArrow(multiply, "a string, b string, cosine double").where("NOT isnan(cosine)")
