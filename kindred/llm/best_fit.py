@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,11 @@ from kindred.llm.common import bodies, ceil_div, kept_in_worker
 from kindred.session import materialise
 
 #: Tokens in a sequence, pieces packed by one task, rounds of exchange, words whose ids a worker keeps.
-CAPACITY, PIECES_PER_PART, ROUNDS, CACHE = 1024, 50_000, 4, 800_000
+CAPACITY, PIECES_PER_PART, ROUNDS, CACHE = 1024, 50_000, 4, 2_000_000
+
+
+#: Letters of the texts that are looked up together.
+_LETTERS = 8_000_000
 
 
 class WordTokenizer:
@@ -41,43 +46,90 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         # texts that hold one of these are tokenised in one go
         self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._cache, self._known = cache, {}
+        self._cache = cache
+        self._forget()
         # the id of a line break, which no word without one has among its ids
         self._break = self._tokenizer.encode("\n", add_special_tokens=False).ids[0]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, texts: list[list[str]]) -> None:
-        """Ids of the words that are not kept yet; none for a word in which white space touches the space or break around it."""
-        known = self._known
-        if len(known) > self._cache:
-            known.clear()
-        new = set().union(*[found[1:] for found in texts]).difference(known)
-        odd = {w for w in new if not w or w[-1].isspace() or w[:2].lstrip("\n")[:1].isspace()}
-        known.update(dict.fromkeys(odd))
+    def _forget(self) -> None:
+        """No word is kept: the words, their ids one after another, where those of each begin, and which have none."""
+        self._words = pa.array([], pa.large_string())
+        self._ids, self._begins, self._odd = np.zeros(0, "<u4"), np.zeros(1, np.int64), np.zeros(0, bool)
+
+    def _learn(self, words: list[str]) -> None:
+        """Keeps the ids of new words; none for a word in which white space touches the space or break around it."""
+        odd = {w for w in words if not w or w[-1].isspace() or w[:2].lstrip("\n")[:1].isspace()}
+        found = dict.fromkeys(odd, b"")
         # words with white space inside or before them on their own; the others in long texts, one to a line
-        broken = [w for w in new - odd if w.split() != [w]]
-        known.update(zip(broken, self._plain([w if w[0] == "\n" else " " + w for w in broken]), strict=True))
-        plain = list((new - odd).difference(broken))
-        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        for group, ids in zip(groups, self._plain(["\n ".join(["", *group])[1:] for group in groups]), strict=True):
-            known.update(zip(group, _split(ids, self._break), strict=True))
+        broken = [w for w in words if w not in odd and w.split() != [w]]
+        found.update(zip(broken, self._plain([w if w[0] == "\n" else " " + w for w in broken]), strict=True))
+        plain = [w for w in words if w not in found]
+        for at in range(0, len(plain), 64_000):
+            groups = [plain[i : i + 1000] for i in range(at, min(at + 64_000, len(plain)), 1000)]
+            for group, ids in zip(groups, self._plain(["\n ".join(["", *group])[1:] for group in groups]), strict=True):
+                found.update(zip(group, _split(ids, self._break), strict=True))
+        data = [found[w] for w in words]
+        self._words = pa.concat_arrays([self._words, pa.array(words, pa.large_string())])
+        self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(data), "<u4")])
+        self._begins = np.concatenate([self._begins, self._begins[-1] + np.cumsum([len(d) // 4 for d in data], dtype=np.int64)])
+        self._odd = np.concatenate([self._odd, np.array([w in odd for w in words], bool)])
+
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct words among the kept ones; those that are not kept yet are learned."""
+        if len(self._words) > self._cache:
+            self._forget()
+        at = pc.index_in(words, value_set=self._words)
+        new = at.is_null()
+        kept = len(self._words)
+        places = at.fill_null(0).to_numpy().astype(np.int64)
+        if pc.any(new).as_py():
+            self._learn(words.filter(new).to_pylist())
+            places[new.to_numpy(zero_copy_only=False)] = np.arange(kept, len(self._words))
+        return places
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:
         """32-bit ids of every text, as bytes."""
-        for at in range(0, len(texts), 256):
-            part = texts[at : at + 256]
-            # a leading empty word leaves the text whole
-            words = [["", ""] if any(t in text for t in self._added) else text.replace("\n", " \n").split(" ") for text in part]
-            self._learn(words)
-            known = self._known
-            kept = [[known[w] for w in found[1:]] for found in words]
-            # the first word has no space before it; a text that starts with white space is left whole
-            whole = [None in ids or not found[0] or found[0][0].isspace() or found[0][-1].isspace() for found, ids in zip(words, kept, strict=True)]
-            heads = self._plain([text if all_of_it else found[0] for text, found, all_of_it in zip(part, words, whole, strict=True)])
-            for head, ids, all_of_it in zip(heads, kept, whole, strict=True):
-                yield head if all_of_it else head + b"".join(ids)
+        part: list[str] = []
+        letters = 0
+        for text in texts:
+            part.append(text)
+            letters += len(text)
+            if letters > _LETTERS:
+                yield from self._encode(part)
+                part, letters = [], 0
+        if part:
+            yield from self._encode(part)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        # texts with an added token are left whole, like empty ones
+        parts = pa.array(["" if any(t in text for t in self._added) else text.replace("\n", " \n") for text in texts], pa.large_string())
+        lists = pc.split_pattern(parts, " ")
+        offsets = lists.offsets.to_numpy()
+        first = offsets[:-1]
+        coded = lists.flatten().dictionary_encode()
+        of_word, words = coded.indices.to_numpy(), coded.dictionary
+        # the first word of a text has no space before it
+        body = np.ones(len(of_word), bool)
+        body[first] = False
+        used = np.zeros(len(words), bool)
+        used[of_word[body]] = True
+        places = np.zeros(len(words), np.int64)
+        places[used] = self._places(words.filter(pa.array(used)))
+        place = places[of_word[body]]
+        begins, sizes, odd = np.zeros(len(of_word), np.int64), np.zeros(len(of_word), np.int64), np.zeros(len(of_word), bool)
+        begins[body], sizes[body], odd[body] = self._begins[place], self._begins[place + 1] - self._begins[place], self._odd[place]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        flat = self._ids[np.repeat(begins - ends[:-1], sizes) + np.arange(ends[-1])]
+        heads = words.take(pa.array(of_word[first])).to_pylist()
+        broken = np.logical_or.reduceat(odd, first).tolist()
+        # a text that starts with white space is left whole
+        whole = [b or not head or head[0].isspace() or head[-1].isspace() for b, head in zip(broken, heads, strict=True)]
+        begun = self._plain([text if all_of_it else head for text, head, all_of_it in zip(texts, heads, whole, strict=True)])
+        for head, all_of_it, a, b in zip(begun, whole, ends[offsets[:-1]].tolist(), ends[offsets[1:]].tolist(), strict=True):
+            yield head if all_of_it else head + flat[a:b].tobytes()
 
 
 def _split(data: bytes, separator: int) -> list[bytes]:
