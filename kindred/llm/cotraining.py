@@ -25,6 +25,8 @@ from kindred.session import materialise
 LABELLED, ROUNDS, TAUGHT, SURE = 4000, 4, 200, 0.95
 #: Steps of a round's fit, of about one pass over the unlabelled rows each; unlabelled rows that only shape the steps.
 STEPS, SHAPING = 5, 2000
+#: Rows of sums that reach the driver at most; those of more partitions are added in tasks first.
+SUMS = 256
 #: Documents below are rejected.
 KEEP = 0.5
 _CHARS, _SHAPES, _WORDS, _META = 64, 192, 1024, 64
@@ -276,49 +278,84 @@ def _unpacked(rows: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out[:, :_TEXT], out[:, _TEXT:]
 
 
-def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, taught: float = TAUGHT, sure: float = SURE) -> dict:
-    """Co-trains on at most about ``labelled`` rows with a label and on all other rows.
-
-    Labelled rows are chosen by a hash of the id, so that the expected number is the bound at any size; those not chosen count
-    as unlabelled. ``labels`` has ``doc_id`` and ``quality`` (0 or 1; null is no label; the lowest of several counts). The
-    features of all rows are written once; each step sums over them in tasks, and one row of sums per partition, the
-    chosen labelled rows and the weights reach the driver.
-    """
-    marks = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("mark"))
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    drawn = {r["doc_id"]: int(r["mark"]) for r in marks.withColumn("doc_id", F.col("doc_id").cast("long")).where(turn < labelled / max(marks.count(), 1)).collect()}
-    if len(set(drawn.values())) < 2:
-        return {}
+def features(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``row``, ``doc_id``, ``carry`` and the packed features ``view`` of every row, written, so that learning and scoring share them."""
+    docs = bodies(_metadata(docs), [*[c for c in _VIEWS if c not in carry], *carry])
+    names = ["row", "doc_id", *carry]
 
     def views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                mark = [drawn.get(i, -1) for i in part.column("doc_id").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(mark, pa.int32()), _packed(np.column_stack(_matrices(part)))], names=["doc_id", "mark", "view"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], _packed(np.column_stack(_matrices(part)))], names=out.names)
 
-    features = materialise(bodies(_metadata(docs), _VIEWS).mapInArrow(views, "doc_id long, mark int, view binary"))
-    sample = features.where("mark >= 0").orderBy("doc_id", "view").toArrow()
+    out = T.StructType([f for f in docs.schema.fields if f.name in names]).add("view", "binary")
+    return materialise(docs.mapInArrow(views, out))
+
+
+def learn(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, taught: float = TAUGHT, sure: float = SURE, featured: DataFrame | None = None) -> dict:
+    """Co-trains on at most about ``labelled`` rows with a label and on all other rows.
+
+    Labelled ids are chosen by a hash, so that their expected number is the bound at any size, and one row of each is
+    taken (that of the smallest features, if an id is repeated); ids not chosen count as unlabelled. ``labels`` has
+    ``doc_id`` and ``quality`` (0 or 1; null is no label; the lowest of several counts). The features of all rows are
+    written once, or given as ``featured``; each step sums over them in tasks, and at most ``SUMS`` rows of sums, the
+    chosen labelled rows and the weights reach the driver.
+    """
+    spark = docs.sparkSession
+    marks = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("mark"))
+    turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    drawn = [(r["doc_id"], r["mark"]) for r in marks.where(turn < labelled / max(marks.count(), 1)).collect()]
+    if len({mark for _, mark in drawn}) < 2:
+        return {}
+    chosen = F.broadcast(spark.createDataFrame(drawn, "doc_id long, mark int"))  # about ``labelled`` rows
+    rows = (features(docs) if featured is None else featured).select("doc_id", "view")
+    sample = rows.join(chosen, "doc_id").groupBy("doc_id", "mark").agg(F.min("view").alias("view")).orderBy("doc_id").toArrow()
     text, meta = _unpacked(sample.column("view").to_pylist())
-    others = features.where("mark < 0").select("view")
-    few = F.pmod(F.xxhash64("view"), F.lit(1 << 30)) / (1 << 30) < SHAPING / max(features.count(), 1)
+    others = rows.join(chosen, "doc_id", "left_anti").select("view", F.spark_partition_id().alias("part"))
+    few = F.pmod(F.xxhash64("view"), F.lit(1 << 30)) / (1 << 30) < SHAPING / max(rows.count(), 1)
     shaping = _unpacked(others.where(few).orderBy("view").limit(2 * SHAPING).toArrow().column("view").to_pylist())
+    many = others.rdd.getNumPartitions() > SUMS
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(r) for r in table.column("sums").to_pylist())
+        return pa.table({"part": pa.array([0], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
     def pool(past: list[Judges], now: Models) -> np.ndarray:
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = 0
+            total, part = 0, 0
             for batch in batches:
                 for at in range(0, batch.num_rows, 1024):
                     total = total + _sums(past, now, _unpacked(batch.column(0).slice(at, 1024).to_pylist()), sure)
+                    part = batch.column(1)[0].as_py()
             if not isinstance(total, int):
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "sums"])
 
         size = sum(2 * (2 + len(fitted[2])) for fitted in now)
-        return sum((np.frombuffer(r) for r in others.mapInArrow(each, "sums binary").toArrow().column(0).to_pylist()), np.zeros(size))
+        sums = others.mapInArrow(each, "part int, sums binary")
+        if many:  # added in tasks first
+            sums = sums.groupBy(F.col("part") % SUMS).applyInArrow(added, "part int, sums binary")
+        return sum((np.frombuffer(r) for r in sums.toArrow().column("sums").to_pylist()), np.zeros(size))
 
     return _rounds(text, meta, np.array(sample.column("mark").to_pylist(), np.int64), shaping, pool, rounds, taught)
 
 
+def scores_of(featured: DataFrame, model: dict) -> DataFrame:
+    """``scores`` of the rows whose ``features`` are given."""
+    names = [c for c in featured.columns if c != "view"]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                found = score(model, *_unpacked(part.column("view").to_pylist()))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *map(pa.array, found), pa.array(found[2] >= KEEP)], names=out.names)
+
+    out = T.StructType([f for f in featured.schema.fields if f.name in names])
+    out = out.add("text_score", "double").add("meta_score", "double").add("score", "double").add("keep", "boolean")
+    return featured.mapInArrow(each, out)
+
+
 def scores(docs: DataFrame, model: dict, carry: Sequence[str] = ()) -> DataFrame:
     """``row``, ``doc_id``, ``carry``, ``text_score``, ``meta_score``, ``score`` (0 to 1) and ``keep`` of every row.
 

@@ -111,8 +111,9 @@ def op7_backoff_automaton_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all ``documents``, learned from ``labels``."""
     docs = table(spark, sf_dir, "documents")
-    model = cotraining.learn(docs, table(spark, sf_dir, "labels"))
-    return cotraining.scores(docs, model).select("doc_id", "text_score", "meta_score", "score", "keep")
+    featured = cotraining.features(docs)
+    model = cotraining.learn(docs, table(spark, sf_dir, "labels"), featured=featured)
+    return cotraining.scores_of(featured, model).select("doc_id", "text_score", "meta_score", "score", "keep")
 
 
 @query()

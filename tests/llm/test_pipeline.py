@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_dedup import LOWER, components_by_force, print_by_force
@@ -96,3 +97,26 @@ def test_run_leaves_its_last_result(spark, stages):
     again = corpus_pipeline.run(spark, root)
     place = columns.index("length")
     assert again.columns == columns and Counter(tuple(r)[: place + 1] for r in again.select(*columns).collect()) == Counter(p[: place + 1] for p in found[-1])
+
+
+def test_stages_of_nothing(spark, stages, tmp_path):
+    _, _, root = stages
+    frame = spark.read.parquet(f"{root}/documents.parquet").where("false")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, frame, root).write.parquet(f"{tmp_path}/{number}")
+        frame = spark.read.parquet(f"{tmp_path}/{number}")
+        assert frame.count() == 0 and (number == 4 or frame.columns == COLUMNS)
+
+
+def test_clashing_columns_change_nothing(spark, stages, tmp_path):
+    """Columns named like those that operators add come through, and the rows are those without them."""
+    found, _, root = stages
+    extra = ["whole_row", "key", "row", "doc", "view", "keep", "score", "fp", "first_row", "spans"]
+    spark.read.parquet(f"{root}/documents.parquet").withColumns({c: F.lit(c) for c in extra}).write.parquet(f"{tmp_path}/documents")
+    frame = spark.read.parquet(f"{tmp_path}/documents")
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, frame, root).write.parquet(f"{tmp_path}/{number}")
+        frame = spark.read.parquet(f"{tmp_path}/{number}")
+        assert frame.columns == COLUMNS + extra and frame.where(" OR ".join(f"`{c}` <> '{c}'" for c in extra)).isEmpty()
+        # of equal rows any may stay
+        assert Counter(map(str, (r[:2] for r in map(tuple, frame.select(COLUMNS).collect())))) == Counter(str(r[:2]) for r in found[number + 1])

@@ -410,3 +410,20 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert cotraining.learn(none, labels) == {} and cotraining.learn(odd, labels.where("quality = 1")) == {}
     assert all(r["keep"] for r in cotraining.scores(odd.drop("lang", "n_chars"), {}).collect())
     assert cotraining.scores(none, {}).collect() == []
+
+
+def test_a_repeated_id_is_one_labelled_row(spark, monkeypatch):
+    """However many rows a labelled id has, one reaches the driver; sums added in tasks first are the same."""
+    docs = spark.createDataFrame([(i if i < 40 else 3, f"Text {i % 7} of some words. And {i}.", "en", f"s{i % 3}", 20) for i in range(3000)], "doc_id long, text string, lang string, source string, n_chars long").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    unpacked = cotraining._unpacked
+    monkeypatch.setattr(cotraining, "_unpacked", lambda rows: seen.append(len(rows)) or unpacked(rows))
+    featured = cotraining.features(docs)
+    plain = cotraining.learn(docs, labels, rounds=1, featured=featured)
+    assert max(seen) <= 40
+    monkeypatch.setattr(cotraining, "SUMS", 2)
+    added = cotraining.learn(docs, labels, rounds=1, featured=featured)
+    assert np.allclose(plain["models"][0][2], added["models"][0][2]) and np.allclose(plain["combined"][2], added["combined"][2])
+    got = {r["row"]: r["score"] for r in cotraining.scores_of(featured, plain).collect()}
+    assert len(got) == 3000 and all(0 <= v <= 1 for v in got.values())
