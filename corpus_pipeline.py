@@ -22,32 +22,36 @@ def _flat(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier does not reject. All columns and repeated rows are kept as they are."""
+    """Documents that the co-trained classifier does not reject. All columns and repeated rows are kept as they are.
+
+    Null texts and metadata count as values of their own; without labels of both classes everything stays.
+    """
     model = cotraining.learn(docs, table(spark, sf_dir, "labels"))
-    nested = docs.select("*", F.struct("*").alias("whole_row")) if "whole_row" not in docs.columns else docs.select(F.struct("*").alias("whole_row"), "doc_id", "text")
-    return cotraining.scores(nested, model, ["whole_row"]).where("keep").select("whole_row.*")
+    # a name that no column has
+    whole = "row_" + "_" * max(map(len, docs.columns))
+    return cotraining.scores(docs.select("*", F.struct("*").alias(whole)), model, [whole]).where("keep").select(f"{whole}.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of equal texts, that with the largest id."""
+    """One document of every group of equal texts, that with the largest id (null is smallest). A null text equals the empty one."""
     docs = keyed(docs)
     return _only(docs, exact_dedup.exact_groups(_flat(docs), ["key"]).where("kept").select("key"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near duplicates, that with the smallest id."""
+    """One document of every group of near duplicates, that with the smallest id (null is largest). Null and empty texts are one group."""
     docs = keyed(docs)
     return _only(docs, simhash.near_groups(_flat(docs), ["key"]).where(F.col("row") == F.col("first_row")).select("key"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with every secret masked; a length column ``n_chars`` follows the text."""
+    """All documents with every secret masked; a length column ``n_chars`` follows the text. Null texts stay null."""
     model = secret_automata.load(secret_automata.learn(docs))
     return secret_automata.masked(docs, model)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    """The pieces of all documents and their places in sequences of 1024 tokens. A null text is its end token alone; no documents, no pieces."""
     items = materialise(best_fit.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False))
     return best_fit.pack(items).drop("row")
 
@@ -59,9 +63,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's result is written and read again, and what it wrote on the way is removed."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        path = work_dir(spark)
-        with scratch(spark):
-            stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    last = work_dir(spark)
+    with scratch(spark):
+        for i, (_, stage) in enumerate(STAGES):
+            path = last if i + 1 == len(STAGES) else work_dir(spark)
+            with scratch(spark):
+                stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
