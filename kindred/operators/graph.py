@@ -8,6 +8,30 @@ from kindred.session import materialise, work_dir
 
 
 CHAINED = 5
+#: Links of one vertex that lie in one place; those of a vertex with more lie in several.
+HUB = 100_000
+
+
+def placed_links(links: DataFrame, key: str, hub: int = HUB) -> tuple[DataFrame, DataFrame | None]:
+    """``links`` written where joins on ``key`` need them, and ``(key, parts)`` of the hubs, None without any.
+
+    The links of a hub are dealt to blocks by their other columns, and each block is a place of its own: a grid of
+    sources and targets, of which only hubs have more than one column.
+    """
+    counted = links.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hub)
+    hubs = materialise(counted.select(key, F.ceil(F.col("n") / hub).cast("int").alias("parts")))
+    if hubs.isEmpty():
+        return materialise(links, bucket_by=key), None
+    part = F.pmod(F.xxhash64(*links.columns), F.coalesce("parts", F.lit(1))).cast("int")
+    return materialise(links.join(hubs, key, "left").withColumn("part", part).drop("parts"), bucket_by=[key, "part"]), hubs
+
+
+def meet(links: DataFrame, hubs: DataFrame | None, state: DataFrame, key: str) -> DataFrame:
+    """Placed links with the row of ``state`` for their ``key``; a hub's row is copied to each of its blocks."""
+    if hubs is None:
+        return links.join(state, key)
+    blocks = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    return links.join(state.join(hubs, key, "left").select(*state.columns, blocks), [key, "part"]).drop("part")
 
 
 def _shares(edges: DataFrame) -> DataFrame:
@@ -17,23 +41,24 @@ def _shares(edges: DataFrame) -> DataFrame:
     return links.join(degrees, "src")
 
 
-def pagerank(edges: DataFrame, iterations: int) -> DataFrame:
+def pagerank(edges: DataFrame, iterations: int, hub: int = HUB) -> DataFrame:
     """``(id, rank)`` after a fixed number of iterations; vertices without in-links drop out.
 
     The links lie bucketed by ``src`` and new ranks come out of the grouping where the next join needs
-    them, so an iteration shuffles once: the sums of passed ranks. Every few iterations are written.
+    them, so an iteration shuffles once: the sums of passed ranks. With hubs the ranks are shuffled once more, to
+    the blocks of links. Every few iterations are written.
     """
-    links = materialise(_shares(edges), bucket_by="src")
+    links, hubs = placed_links(_shares(edges), "src", hub)
     ranks = links.select("src").distinct().withColumn("rank", F.lit(1.0))
     for i in range(iterations):
-        passed = links.join(ranks, "src").groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("c"))
+        passed = meet(links, hubs, ranks, "src").groupBy("dst").agg(F.sum(F.col("rank") * F.col("share")).alias("c"))
         ranks = passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank"))
         if i % CHAINED == CHAINED - 1 and i + 1 < iterations:
             ranks = materialise(ranks)
     return ranks.withColumnRenamed("src", "id")
 
 
-def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 400) -> DataFrame:
+def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 400, hub: int = HUB) -> DataFrame:
     """``(id, rank)`` of all vertices, iterated until no rank moves by ``tolerance`` or more.
 
     Every vertex has a link to itself that passes nothing on but keeps it, with its last rank, in the
@@ -43,11 +68,11 @@ def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 400) -> Data
     shares = _shares(edges).withColumn("own", F.lit(0.0))
     vertices = shares.select("src").union(shares.select("dst")).distinct()
     kept = vertices.select("src", F.col("src").alias("dst"), F.lit(0.0).alias("share"), F.lit(1.0).alias("own"))
-    links = materialise(shares.unionByName(kept), bucket_by="src")
+    links, hubs = placed_links(shares.unionByName(kept), "src", hub)
     moved = links.where("own = 1").select("src", F.lit(0.15).alias("rank"), F.lit(0.15).alias("old"))
     for _ in range(limit):
         for _step in range(CHAINED):
-            passed = links.join(moved.select("src", "rank"), "src").groupBy("dst").agg(
+            passed = meet(links, hubs, moved.select("src", "rank"), "src").groupBy("dst").agg(
                 F.sum(F.col("rank") * F.col("share")).alias("c"), F.sum(F.col("rank") * F.col("own")).alias("old")
             )
             moved = passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank"), "old")
@@ -75,16 +100,16 @@ def transitive_closure(edges: DataFrame) -> DataFrame:
     return known
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
     """``(id, component)``: lowest vertex id that can be reached.
 
     A round takes the lowest label among the neighbours and then the label of that label, so the
     number of rounds grows with the logarithm of the longest path.
     """
-    both = materialise(edges.select("src", "dst").union(edges.select("dst", "src")).distinct(), bucket_by="dst")
+    both, hubs = placed_links(edges.select("src", "dst").union(edges.select("dst", "src")).distinct(), "dst", hub)
     labels = materialise(both.select(F.col("src").alias("id")).distinct().withColumn("component", F.col("id")))
     while True:
-        near = both.join(labels, both.dst == labels.id).groupBy("src").agg(F.min("component").alias("low"))
+        near = meet(both, hubs, labels.withColumnRenamed("id", "dst"), "dst").groupBy("src").agg(F.min("component").alias("low"))
         lowered = labels.join(near, labels.id == near.src).select(
             "id", F.col("component").alias("old"), F.least("component", "low").alias("component")
         )
@@ -131,16 +156,16 @@ def triangles(edges: DataFrame) -> DataFrame:
     return corners.groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
+def shortest_paths(edges: DataFrame, source: int, hub: int = HUB) -> DataFrame:
     """``(id, distance)`` from one vertex over ``(src, dst, weight)``; a round relaxes from improved vertices."""
-    links = materialise(edges.select("src", "dst", "weight"), bucket_by="src")
+    links, hubs = placed_links(edges.select("src", "dst", "weight"), "src", hub)
     known = materialise(
         links.select(F.col("src").alias("id")).where(F.col("id") == source).distinct().withColumn("distance", F.lit(0.0))
     )
     improved = known
     while not improved.isEmpty():
         reached = (
-            links.join(improved, links.src == improved.id).groupBy("dst")
+            meet(links, hubs, improved.withColumnRenamed("id", "src"), "src").groupBy("dst")
             .agg(F.min(F.col("distance") + F.col("weight")).alias("d"))
         )
         merged = known.join(reached, known.id == reached.dst, "full").select(

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
-#: Folders and tables made inside the open scopes of ``scratch``, innermost last.
-_scopes: list[tuple[list[str], list[str]]] = []
+#: Folders and tables made inside the innermost open scope of ``scratch`` of this thread.
+_scope: ContextVar[tuple[list[str], list[str]] | None] = ContextVar("scope", default=None)
 
 
 def build_session(app: str = "kindred", cpus: int | str = "*", memory: str = "12g") -> SparkSession:
@@ -45,8 +46,8 @@ def work_dir(spark: SparkSession) -> str:
             _local_root = tempfile.mkdtemp(prefix="kindred-")
         root = _local_root
     path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1][0].append(path)
+    if (scope := _scope.get()) is not None:
+        scope[0].append(path)
     return path
 
 
@@ -54,13 +55,16 @@ def work_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Removes, at its end, the folders and tables that jobs made inside it for themselves.
 
-    Results are lazy and read these tables: write or collect what is to stay before the scope ends.
+    Results are lazy and read these tables: write or collect what is to stay before the scope ends. Other threads have
+    scopes of their own, and what they make meanwhile stays.
     """
-    _scopes.append(([], []))
+    paths: list[str] = []
+    names: list[str] = []
+    before = _scope.set((paths, names))
     try:
         yield
     finally:
-        paths, names = _scopes.pop()
+        _scope.reset(before)
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         for path in paths:
@@ -68,13 +72,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def materialise(df: DataFrame, bucket_by: str | None = None) -> DataFrame:
+def materialise(df: DataFrame, bucket_by: str | Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The written table cuts the lineage, survives lost executors, and its file size is a measured
     statistic: Spark broadcasts the result in later joins only while it is below
     ``spark.sql.autoBroadcastJoinThreshold``. With ``bucket_by`` later joins and groupings on that
-    column do not shuffle the table again.
+    column, or those columns, do not shuffle the table again.
     """
     spark = df.sparkSession
     path = work_dir(spark)
@@ -83,10 +87,11 @@ def materialise(df: DataFrame, bucket_by: str | None = None) -> DataFrame:
         return spark.read.schema(df.schema).parquet(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"kindred_{path.rsplit('/', 1)[1]}"
-    if _scopes:
-        _scopes[-1][1].append(name)
-    placed = df.repartition(buckets, bucket_by)
-    placed.write.bucketBy(buckets, bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(name)
+    if (scope := _scope.get()) is not None:
+        scope[1].append(name)
+    columns = [bucket_by] if isinstance(bucket_by, str) else list(bucket_by)
+    placed = df.repartition(buckets, *columns)
+    placed.write.bucketBy(buckets, *columns).sortBy(*columns).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 

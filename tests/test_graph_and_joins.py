@@ -91,3 +91,31 @@ def test_ranks_and_gram(spark):
     assert st.positions(df.where("x < 0"), "x").isEmpty() and st.cumulative(df.where("x < 0").withColumn("n", F.lit(1)), "x", "n").isEmpty()
     vectors = spark.createDataFrame([([1.0, 2.0],), ([3.0, 4.0],)], "v array<double>").repartition(2)
     assert {r.i: r.row for r in st.gram(vectors, "v", 2).collect()} == {0: [10.0, 14.0], 1: [14.0, 20.0]}
+
+
+@pytest.fixture(scope="module")
+def hubs(spark):
+    """Two hubs, one of them a source and one a target, in a random graph."""
+    return edges(spark, [(0, i) for i in range(1, 900)] + [(i, 1) for i in range(100, 700)] + random_pairs(300, 500) + [(2000, 2001)])
+
+
+def test_links_of_a_hub_lie_in_many_places(spark, hubs):
+    links, found = graph.placed_links(hubs.distinct(), "src", hub=25)
+    assert {r.src for r in found.collect()} >= {0} and links.count() == hubs.distinct().count()
+    sizes = sorted(r["count"] for r in links.groupBy("src", "part").count().collect())
+    assert sizes[-1] <= 2 * 25
+    state = links.select("src").distinct().withColumn("x", F.col("src") * 2)
+    met = graph.meet(links, found, state, "src")
+    assert met.count() == links.count() and met.where("x <> 2 * src").isEmpty()
+    # every task has about as many links as the others
+    tasks = [r["count"] for r in links.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) < 2 * sorted(tasks)[len(tasks) // 2]
+
+
+def test_hubs_change_no_result(spark, hubs):
+    def rows(df):
+        return {r[0]: pytest.approx(r[1]) for r in df.collect()}
+
+    weighted = hubs.distinct().withColumn("weight", (F.col("dst") % 5 + 1).cast("double"))
+    for job in (lambda hub: graph.pagerank(hubs, 6, hub=hub), lambda hub: graph.pagerank_until(hubs, 1e-4, hub=hub), lambda hub: graph.components(hubs, hub=hub), lambda hub: graph.shortest_paths(weighted, 0, hub=hub)):
+        assert rows(job(25)) == rows(job(10**6))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from pathlib import Path
 
 import numpy as np
@@ -38,6 +39,15 @@ def test_scopes_nest_and_end_on_errors(spark):
     assert materialise(one).count() == 3  # no scope is open
 
 
+def test_another_thread_keeps_its_tables(spark):
+    made = []
+    with scratch(spark):
+        other = threading.Thread(target=lambda: made.append(materialise(spark.range(4))))
+        other.start()
+        other.join()
+    assert made[0].count() == 4
+
+
 def test_closure_finds_all_paths(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (3, 4), (5, 5)], "src int, dst int")
     found = sorted(tuple(r) for r in graph.transitive_closure(edges).collect())
