@@ -285,6 +285,14 @@ def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.groupBy("part").agg(F.count("*").alias("n"))
 
 
+@query("SELECT count(*) AS n, count(*) AS different, 6 AS parts FROM documents")
+def split_by_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of equal weight by ``randomSplit``: together they hold every document once."""
+    parts = table(spark, sf_dir, "documents").select("doc_id").randomSplit([1.0] * 6, seed=42)
+    named = functools.reduce(DataFrame.unionByName, [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)])
+    return named.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("different"), F.countDistinct("part").cast("int").alias("parts"))
+
+
 @query(
     "SELECT doc_id AS id, 'documents' || lpad(CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 6 AS VARCHAR), 5, '0') AS part, "
     "n_chars FROM documents"

@@ -182,6 +182,17 @@ def stat_approx_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").agg(F.percentile_approx("l_extendedprice", probs, 10000).alias("quantiles"))
 
 
+@query("SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS p, TRUE AS close")
+def stat_quantile_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``approxQuantile`` with a stated error of ranks: the share of rows up to each value is that close."""
+    probs, error = [0.1, 0.5, 0.9], 0.001
+    lines = table(spark, sf_dir, "lineitem")
+    values = lines.approxQuantile("l_extendedprice", probs, error)
+    price, n = F.col("l_extendedprice"), F.count("*")
+    close = [((F.count_if(price < v) / n <= p + 2 * error) & (F.count_if(price <= v) / n >= p - 2 * error)).alias(str(i)) for i, (p, v) in enumerate(zip(probs, values, strict=True))]
+    return lines.agg(F.map_from_arrays(F.array(*map(F.lit, probs)), F.array(*close)).alias("m")).select(F.explode("m").alias("p", "close"))
+
+
 @query()
 def sample_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
     fractions = {"en": 0.5, "fr": 0.2, "de": 1.0}

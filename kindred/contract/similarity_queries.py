@@ -145,8 +145,8 @@ mv AS MATERIALIZED (SELECT id, list(v ORDER BY pos) AS vec FROM (SELECT id, pos,
 
 
 def _vectors(spark: SparkSession, sf_dir: str, docs: DataFrame, unit: bool) -> DataFrame:
-    words = docs.select(F.explode(letter_words(F.col("text"))).alias("word"))
-    return sim.text_vectors(docs, "id", "text", word_vectors(spark, sf_dir, words), VECTOR_SIZE, unit)
+    words = sim.text_words(docs, "id", "text")
+    return sim.text_vectors(words, "id", materialise(word_vectors(spark, sf_dir, words)), VECTOR_SIZE, unit)
 
 
 @query(
@@ -176,9 +176,9 @@ def sim_word_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     so no word pairs are formed.
     """
     sides = passages(spark, sf_dir).select(F.col("query_id").alias("id"), "text")
-    words = sides.select("id", F.explode(letter_words(F.col("text"))).alias("word"))
+    words = sim.text_words(sides, "id", "text")
     vectors = materialise(word_vectors(spark, sf_dir, words))
-    means = sim.text_vectors(sides, "id", "text", vectors, VECTOR_SIZE, unit=True)
+    means = sim.text_vectors(words, "id", vectors, VECTOR_SIZE, unit=True)
     following = means.select((F.col("id") - 1).alias("id"), F.col("vec").alias("mean"))
     dot = F.aggregate(F.zip_with("vec", "mean", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v))

@@ -185,7 +185,7 @@ def st_stateful_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS start, count(*) AS n, (epoch_ms(max(ts)) - epoch_ms(min(ts))) // 1000 AS seconds FROM ("
+    "SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M') AS start, count(*) AS n, (epoch_us(max(ts)) // 1000 - epoch_us(min(ts)) // 1000) // 1000 AS seconds FROM ("
     "SELECT *, sum(CAST(gap AS INT)) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM (SELECT *, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 3 HOUR, true) AS gap FROM events)) "
     f"GROUP BY user_id, s HAVING max(ts) + INTERVAL 3 HOUR <= {_CLOSED}"
 )

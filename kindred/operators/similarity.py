@@ -150,13 +150,17 @@ def tfidf_scores(queries: DataFrame, query_key: str, query_words: Column, texts:
     return products.join(norms, key).select(query_key, key, (F.col("product") / F.col("norm")).alias("similarity"))
 
 
-def text_vectors(texts: DataFrame, key: str, text: str, vectors: DataFrame, dim: int, unit: bool = False) -> DataFrame:
-    """``(key, vec)``: mean vector of the known distinct words of a text; ``vectors`` is ``(word, vec)``.
+def text_words(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, word)``: the distinct words of every text, written, since the vectors are looked up for them before they are averaged."""
+    return materialise(texts.select(key, F.explode(letter_words(F.col(text))).alias("word")))
 
-    One average per dimension in a single aggregation, so a word stays one row. ``unit`` averages the
-    vectors after scaling them to length 1.
+
+def text_vectors(words: DataFrame, key: str, vectors: DataFrame, dim: int, unit: bool = False) -> DataFrame:
+    """``(key, vec)``: mean vector of the known ``words`` of a text; ``vectors`` is ``(word, vec)``.
+
+    One average per dimension in a single aggregation, so a word stays one row. A word has one vector, so Spark can split
+    the texts of a very common one. ``unit`` averages the vectors after scaling them to length 1.
     """
-    words = texts.select(key, F.explode(letter_words(F.col(text))).alias("word"))
     known = words.join(vectors, "word")
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v)) if unit else F.lit(1.0)
     known = known.withColumn("norm", norm)

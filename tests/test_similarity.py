@@ -64,7 +64,7 @@ def test_stems_of_the_published_examples(word, want):
 def test_text_vectors_ignore_unknown_words(spark):
     texts = spark.createDataFrame([(1, "alpha beta gamma"), (2, "gamma")], "id int, text string")
     vectors = spark.createDataFrame([("alpha", [1.0, 0.0]), ("beta", [0.0, 3.0])], "word string, vec array<double>")
-    got = {r.id: r.vec for r in sim.text_vectors(texts, "id", "text", vectors, 2).collect()}
+    got = {r.id: r.vec for r in sim.text_vectors(sim.text_words(texts, "id", "text"), "id", vectors, 2).collect()}
     assert got == {1: [0.5, 1.5]}
 
 
