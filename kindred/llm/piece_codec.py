@@ -65,6 +65,7 @@ class PieceModel:
     """A model file with byte-pair merges: encodes, decodes, and projects pieces to bytes."""
 
     def __init__(self, path: str, cache: int = CACHE) -> None:
+        from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         with open(path, "rb") as file:
@@ -84,8 +85,13 @@ class PieceModel:
         if not self._byte:
             raise ValueError("only models with byte pieces are supported")
         self._byte_of = {i: b for b, i in self._byte.items()}
-        self._pieces = [" ⁇ " if p.type == UNKNOWN else "" if p.type == CONTROL else p.piece.replace(SPACE, " ") for p in model.pieces]
-        self._plain = np.array([p.type != BYTE for p in model.pieces])
+        # a byte below 128 is a character whatever stands around it
+        of_byte = {i: chr(b) for i, b in self._byte_of.items() if b < 0x80}
+        self._pieces = [" ⁇ " if p.type == UNKNOWN else "" if p.type == CONTROL else of_byte.get(i, p.piece.replace(SPACE, " ")) for i, p in enumerate(model.pieces)]
+        self._plain = np.array([p.type != BYTE or i in of_byte for i, p in enumerate(model.pieces)])
+        #: Bytes of a text that each piece stands for; a space counts as one.
+        self._sizes = np.array([1 if p.type == BYTE else len(p.piece.replace(SPACE, " ").encode()) for p in model.pieces], "<i4")
+        self._library = SentencePieceProcessor(model_file=path)
         self._cache: dict[str, tuple[bytes, bytes, str]] = {}
         self._limit = cache
 
@@ -190,13 +196,23 @@ class PieceModel:
         if len(self._cache) > self._limit:
             self._cache.clear()
         cache = self._cache
-        out = []
-        for unit in units:
-            found = cache.get(unit)
-            if found is None:
-                found = cache[unit] = self._kept(SPACE + unit.replace(" ", SPACE))
-            out.append(found)
-        return out
+        if new := set(units).difference(cache):
+            self._learn(new)
+        return [cache[unit] for unit in units]
+
+    def _learn(self, units: set[str]) -> None:
+        """Keeps new parts. The library merges those without spaces, many in one call, exactly as inside a text: the space it puts before each is their own."""
+        plain = [u for u in units if u and " " not in u]
+        for unit in units.difference(plain):
+            self._cache[unit] = self._kept(SPACE + unit.replace(" ", SPACE))
+        lists = self._library.encode(plain, num_threads=1) if plain else []
+        ids = np.array([i for found in lists for i in found], "<i4")
+        data, sizes = ids.tobytes(), self._sizes[ids].tobytes()
+        at = 0
+        for unit, found in zip(plain, lists, strict=True):
+            end = at + 4 * len(found)
+            self._cache[unit] = (data[at:end], sizes[at:end], ",".join(map(str, found)))
+            at = end
 
     def _simple(self, text: str) -> bool:
         return self._identity and bool(text) and SPACE not in text
@@ -253,7 +269,7 @@ class PieceModel:
         else:
             parts, run = [], bytearray()
             for i in ids.tolist():
-                if i in self._byte_of:
+                if not self._plain[i]:
                     run.append(self._byte_of[i])
                     continue
                 if run:
@@ -262,7 +278,7 @@ class PieceModel:
                 parts.append(self._pieces[i])
             parts.append(_utf8(bytes(run)))
             text = "".join(parts)
-        if self._pieces[int(ids[0])][:1] == " " and self._plain[ids[0]] and ids[0] != self._unknown and (self._prefix or self._strip):
+        if self._pieces[int(ids[0])][:1] == " " and int(ids[0]) not in self._byte_of and ids[0] != self._unknown and (self._prefix or self._strip):
             return text.lstrip(" ") if self._strip else text[1:]
         return text
 
