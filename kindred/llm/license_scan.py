@@ -1,8 +1,9 @@
 """License notices by a positional index of rare words, in Spark functions only.
 
-The words of the templates are weighed by their rarity in the corpus. A template is looked up by the two rarest words of its key phrase: the
-places of each in a file give the places where the template may start, and only places that both name remain. There the
-template's key phrase must stand, word by word, and the weighed share of all its words that stand where they should is the score.
+The words of the templates are weighed by their rarity in the corpus. The index posts every template under the two rarest words of its key
+phrase, each with its position. One pass over a file finds its words that the index has; their postings, moved by the places
+of the words, name where templates may start, and only starts that both words name remain. There the template's key
+phrase must stand, word by word, and the weighed share of all its words that stand where they should is the score.
 """
 
 from __future__ import annotations
@@ -78,40 +79,56 @@ def rarest(template: Template, idf: dict[str, float]) -> list[int]:
     return sorted(range(*template.key), key=lambda i: (-idf[template.words[i]], i))[:2]
 
 
-def _places(words: Column, word: str) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i) == word)
+#: A start of a template as one number: the template's number, and above it the start, which may lie before the text.
+_BEFORE = 1 << 20
 
 
-def _moved(places: Column, by: int) -> Column:
-    return F.transform(places, lambda i: i + by)
+def _index(templates: Sequence[Template], idf: dict[str, float], rank: int) -> tuple[list[str], Column]:
+    """The words that templates are posted under (the rarest of each at rank 0, the next at 1), and a map of them to (template, position)."""
+    posted: dict[str, list[tuple[int, int]]] = {}
+    for k, t in enumerate(templates):
+        places = rarest(t, idf)
+        place = places[min(rank, len(places) - 1)]
+        posted.setdefault(t.words[place], []).append((k, place))
+    pairs = [(F.lit(w), F.array(*[F.struct(F.lit(k).cast("long").alias("t"), F.lit(p).alias("place")) for k, p in found])) for w, found in posted.items()]
+    return list(posted), F.create_map(*[x for pair in pairs for x in pair])
+
+
+def _named(words: Column, templates: Sequence[Template], idf: dict[str, float], rank: int) -> Column:
+    """The starts that a file's words name through the index, as numbers."""
+    known, index = _index(templates, idf, rank)
+    hits = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.get(words, i).isin(known))
+    postings = lambda i: F.transform(F.element_at(index, F.get(words, i)), lambda p: (i - p["place"] + _BEFORE) * len(templates) + p["t"])
+    return F.flatten(F.transform(hits, postings))
 
 
-def starts(words: Column, template: Template, idf: dict[str, float]) -> Column:
-    """Places where the template's two rarest words and its key phrase stand as they should."""
-    positions = rarest(template, idf)
-    rare = [template.words[p] for p in positions]
-    named = [_moved(_places(words, w), -p) for w, p in zip(rare, positions, strict=True)]
-    both = F.array_intersect(*named) if len(named) > 1 else named[0]
-    a, b = template.key
-    phrase = F.array(*map(F.lit, template.words[a:b]))
-    stands = F.filter(both, lambda s: (s + a >= 0) & (F.slice(words, F.greatest(s + a, F.lit(0)) + 1, b - a) == phrase))
-    there = F.array_contains(words, rare[0])
-    for w in rare[1:]:
-        there = there & F.array_contains(words, w)
-    return F.when(there, stands).otherwise(F.array().cast("array<int>"))
+def starts(words: Column, templates: Sequence[Template], idf: dict[str, float]) -> Column:
+    """``array<struct<t, start>>``: where a template's two rarest words and its key phrase stand as they should."""
+    both = F.array_intersect(_named(words, templates, idf, 0), _named(words, templates, idf, 1))
+    n = len(templates)
+    read = F.transform(both, lambda x: F.struct((x % n).cast("int").alias("t"), (F.floor(x / n) - _BEFORE).cast("int").alias("start")))
+    keys = F.array(*[F.array(*map(F.lit, t.words[slice(*t.key)])) for t in templates])
+    begins = F.array(*[F.lit(t.key[0]) for t in templates])
 
+    def stands(c: Column) -> Column:
+        key, at = F.get(keys, c["t"]), c["start"] + F.get(begins, c["t"])
+        return (at >= 0) & (F.slice(words, F.greatest(at, F.lit(0)) + 1, F.size(key)) == key)
 
-def _share(words: Column, start: Column, template: Template, idf: dict[str, float]) -> Column:
-    """Weighed share of the template's words that stand where they should from ``start`` on (which may lie before the text)."""
-    found = F.lit(0.0)
-    for i, w in enumerate(template.words):
-        here = F.when(start + i >= 0, F.get(words, start + i)) == w
-        found = found + F.when(here, idf[w]).otherwise(0.0)
-    return found / sum(idf[w] for w in template.words)
+    return F.filter(read, stands)
 
 
-def _shares(words: Column, places: Column, template: Template, idf: dict[str, float]) -> Column:
-    return F.transform(places, lambda s: _share(words, s, template, idf))
+def shares(words: Column, found: Column, templates: Sequence[Template], idf: dict[str, float]) -> Column:
+    """``found`` with ``share``: the weighed share of the template's words that stand where they should from the start on (which may lie before the text)."""
+    texts = F.array(*[F.array(*map(F.lit, t.words)) for t in templates])
+    weighed = F.array(*[F.array(*[F.lit(idf[w]) for w in t.words]) for t in templates])
+    whole = F.array(*[F.lit(sum(idf[w] for w in t.words)) for t in templates])
+
+    def share(c: Column) -> Column:
+        here = lambda i: F.when(c["start"] + i >= 0, F.get(words, c["start"] + i))
+        parts = F.transform(F.get(texts, c["t"]), lambda w, i: F.when(here(i) == w, F.get(F.get(weighed, c["t"]), i)).otherwise(0.0))
+        return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / F.get(whole, c["t"])
+
+    return F.transform(found, lambda c: F.struct(c["t"].alias("t"), c["start"].alias("start"), share(c).alias("share")))
 
 
 def scan(docs: DataFrame, idf: dict[str, float], carry: Sequence[str] = (), templates: Sequence[Template] = TEMPLATES, least: float = SHARE) -> DataFrame:
@@ -122,18 +139,15 @@ def scan(docs: DataFrame, idf: dict[str, float], carry: Sequence[str] = (), temp
     """
     rows = docs.select("doc_id", *carry, words_of(docs["text"]).alias("found_words"))
     words = F.col("found_words")
-    best, base = [], []
-    for k, t in enumerate(templates):
-        best.append(F.coalesce(F.array_max(_shares(words, F.col(f"at_{k}"), t, idf)), F.lit(-1.0)).alias(f"share_{k}"))
-        base += [F.col(f"at_{k}")] if t.base else []
-    rows = rows.select("doc_id", *carry, "found_words", *[starts(words, t, idf).alias(f"at_{k}") for k, t in enumerate(templates)])
-    rows = rows.select("doc_id", *carry, F.size("found_words").cast("long").alias("n_words"), F.concat(*base).alias("places"), *best)
-    label = lambda chosen: F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f"share_{k}") >= least, t.label) for k, t in chosen]))))
-    pairs = list(enumerate(templates))
-    score = F.greatest(F.lit(0.0), *[F.when(F.col(f"share_{k}") >= least, F.col(f"share_{k}")).otherwise(0.0) for k, _ in pairs])
-    return rows.select(
-        "doc_id", *carry, "n_words", "places", label([p for p in pairs if p[1].base]).alias("base_labels"), label(pairs).alias("labels"), F.least(score, F.lit(1.0)).alias("score")
-    )
+    rows = rows.select("doc_id", *carry, "found_words", starts(words, templates, idf).alias("found_starts"))
+    # most files have no start, and nothing is weighed in them
+    weighed = F.when(F.size("found_starts") > 0, F.filter(shares(words, F.col("found_starts"), templates, idf), lambda c: c["share"] >= least))
+    rows = rows.select("doc_id", *carry, F.size("found_words").cast("long").alias("n_words"), F.coalesce(weighed, F.array().cast("array<struct<t:int,start:int,share:double>>")).alias("found_starts"))
+    labels = F.array(*[F.lit(t.label) for t in templates])
+    base = F.filter("found_starts", lambda c: c["t"].isin([k for k, t in enumerate(templates) if t.base]))
+    named = lambda found: F.array_sort(F.array_distinct(F.transform(found, lambda c: F.get(labels, c["t"]))))
+    score = F.least(F.coalesce(F.array_max(F.transform("found_starts", lambda c: c["share"])), F.lit(0.0)), F.lit(1.0))
+    return rows.select("doc_id", *carry, "n_words", F.transform(base, lambda c: c["start"]).alias("places"), named(base).alias("base_labels"), named(F.col("found_starts")).alias("labels"), score.alias("score"))
 
 
 def scan_sql(templates: Sequence[Template] = TEMPLATES, least: float = SHARE) -> str:
