@@ -74,6 +74,7 @@ def rerank(
     """``(keys, similarity)`` of query and candidate texts; stop words go after stemming."""
     counts = pair_counts(pairs, keys, plain_words(F.col(query_text)), plain_words(ascii_fold(F.col(text))))
     if stemming:
+        counts = materialise(counts)  # read for the vocabulary and for the sums
         vocabulary = counts.select("word").distinct().withColumn("stem", stemmed(F.col("word")))
         counts = (
             counts.join(vocabulary, "word")
