@@ -24,11 +24,11 @@ from kindred.llm.common import bodies, ceil_div, kept_in_worker
 from kindred.session import materialise
 
 #: Tokens in a sequence, pieces packed by one task, rounds of exchange, words whose ids a worker keeps.
-CAPACITY, PIECES_PER_PART, ROUNDS, CACHE = 1024, 50_000, 4, 2_000_000
+CAPACITY, PIECES_PER_PART, ROUNDS, CACHE = 1024, 50_000, 4, 800_000
 
 
 #: Letters of the texts that are looked up together.
-_LETTERS = 8_000_000
+_LETTERS = 2_000_000
 
 
 class WordTokenizer:
