@@ -23,6 +23,8 @@ from kindred.session import materialise
 
 #: Blanks that are stripped from both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Texts that a task holds as Python strings at a time.
+_TEXTS = 512
 #: Code points of the shortest line, and documents of the rarest one, that count as repeated.
 LEAST, HOLDERS = 40, 5
 _PLACE = ["file", "row"]
@@ -39,11 +41,17 @@ def _texts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return docs.select(*place, F.col("doc.doc_id").cast("long").alias("doc_id"), F.coalesce("doc.text", F.lit("")).alias("text"), F.struct(F.lit(0).alias("_"), *[F.col("doc")[c].alias(c) for c in carry]).alias("carried"))
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _TEXTS):
+            yield batch.slice(at, _TEXTS)
+
+
 def _holders(texts: DataFrame, least: int) -> DataFrame:
     """One row for each long line that a document holds: its hash as two numbers and all its places there."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             owner, digests, places, lines = [], [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 found: dict[bytes, list[int]] = {}
@@ -186,7 +194,7 @@ def deduplicated(docs: DataFrame, carry: Sequence[str] = (), least: int = LEAST,
     joined = texts.join(bitmaps.hint("shuffle_hash"), _PLACE, "left")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             texts, maps = batch.column("text").to_pylist(), batch.column("bitmap")
             counts = pa.array([t.count("\n") + 1 for t in texts], pa.int64())
             kept = pa.array([kept_lines(t, m) for t, m in zip(texts, maps.to_pylist(), strict=True)], pa.string())
