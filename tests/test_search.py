@@ -75,6 +75,39 @@ def test_substring_and_edit(spark):
     assert {(r.keyword, r.phrase, r.kw_score) for r in edit} == {("big red dog", "big red dog house", 8.0), ("blue cat", "blue cat nose", 4.5), ("big red dog", "red dog", 2.0), ("a1 red-dog", "red dog", 2.0)}
 
 
+def common_words(spark):
+    keywords = spark.range(3000).select(F.format_string("the name%d of%d", "id", "id").alias("keyword"))
+    phrases = [(q, f"the x{q}a{i} y{i} z{i}", 1.0, i + 1, 60) for q in (1, 2) for i in range(60)]
+    text = " ".join(p for _, p, *_ in phrases)
+    queries = spark.createDataFrame([(1, text), (2, text + " the name77 of77")], "query_id int, text string")
+    return materialise(keywords), materialise(spark.createDataFrame([*phrases, (2, "the name77 of77 q", 3.0, 1, 60)], "query_id int, phrase string, score double, rank int, n int")), queries
+
+
+def test_pairs_with_a_common_word_are_not_shuffled(spark):
+    keywords, phrases, queries = common_words(spark)
+    for threshold, prefilter in ((0.5, "overlap"), (0.0, "substring")):
+        found = search.fuzzy_matches(keywords, phrases, queries, threshold, 1, prefilter=prefilter)
+        assert {(r.query_id, r.keyword) for r in found.collect()} == {(2, "the name77 of77")}
+    plan = search.phrase_pairs(keywords, phrases, 0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[.*keyword", plan)  # no counting of the words that pairs share
+
+
+def test_repeated_phrases_count_as_often_as_they_stand(spark):
+    keywords, phrases, queries = fixture(spark)
+    once = rows(search.fuzzy_matches(keywords, phrases, queries, threshold=0.0, share=1))
+    twice = rows(search.fuzzy_matches(keywords, phrases.union(phrases), queries, threshold=0.0, share=1))
+    assert {k: round(2 * r, 6) for k, (r, _) in once.items()} == {k: round(r, 6) for k, (r, _) in twice.items()}
+
+
+def test_contained_keywords_of_every_length(spark):
+    text = "ab the quick brown fox jumps over"
+    held = ["a", "b t", "the", "he q", "quick br", "the quick brown", "the quick brown fox jumps", text]
+    keywords = spark.createDataFrame([(k,) for k in [*held, "", "fox  jumps", "the quick brown fox jumped", text + "!"]], "keyword string")
+    queries = spark.createDataFrame([(1, text), (2, "ab"), (3, None)], "query_id int, text string")
+    found = {(r.query_id, r.keyword) for r in search.contained_keywords(keywords, queries).collect()}
+    assert found == {(1, k) for k in held} | {(2, "a")}
+
+
 def test_duplicate_postings_count_every_time_and_ties_go_by_id(spark):
     index = spark.createDataFrame([("dog", 5, 1.0), ("dog", 5, 1.0), ("dog", 3, 5.0), ("cat", 9, 1.0)], "keyword string, doc_id int, score double")
     matches = spark.createDataFrame([(1, "dog", 3.0)], "query_id int, keyword string, kw_score double")
