@@ -18,6 +18,8 @@ TOP_DOCUMENTS = 15
 FUZZY_SHARE = 20
 #: Hash slots by which tokens are counted for their order.
 SLOTS = 1 << 16
+#: Edit ratio from which segments have about four letters.
+SEGMENTS_FROM = 0.75
 #: Lengths of the parts of texts by which keywords are looked up, from the longest.
 GRAMS = (16, 8, 4, 2, 1)
 
@@ -253,23 +255,64 @@ def keyword_segments(keywords: DataFrame, edits: DataFrame) -> DataFrame:
     return cut.select("keyword", "a", "size", "edits", "segment", F.expr(part).alias("part"))
 
 
+def _met_on_segments(keywords: DataFrame, phrases: DataFrame, threshold: float, tasks: int) -> DataFrame:
+    """``(keyword, phrase)`` within the edits: a keyword meets a phrase on a segment of its own that the phrase holds where the allowed edits can have moved it."""
+    parts = materialise(edit_segments(phrases, threshold))
+    segments = keyword_segments(keywords, parts.select("size", "edits").distinct())
+    key = ["size", "edits", "segment", "part"]
+    left, right = segments.repartition(tasks, *key), parts.repartition(tasks, *key)
+    unshared = F.greatest(*[F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(y))) for x, y in (("a", "b"), ("b", "a"))])
+    close = left.join(right, key).where(unshared <= F.col("edits")).where("levenshtein(keyword, phrase, edits) >= 0")
+    return close.select("keyword", "phrase").distinct()
+
+
+def letter_bag(text: Column) -> Column:
+    """The letters of a text as 256 bits in four numbers: of each of 32 kinds of letters, as many bits as it occurs, up to eight.
+
+    Bits that one text has and another lacks are letters to be replaced or dropped, so there are no more of them than edits.
+    """
+
+    @F.arrow_udf("array<long>")
+    def bag(texts: pa.Array) -> pa.Array:
+        texts = pa.concat_arrays([texts.fill_null("").cast(pa.large_binary())])
+        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        signs = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        text_of = np.repeat(np.arange(len(texts)), np.diff(ends))
+        first = (signs & 0xC0) != 0x80  # one byte of every letter
+        counts = np.bincount(text_of[first] * 32 + signs[first] % 32, minlength=len(texts) * 32)
+        bits = ((1 << np.minimum(counts, 8)) - 1).astype(np.uint8).view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * 4, pa.int32()), pa.array(bits))
+
+    return bag(text)
+
+
+def _met_on_letters(keywords: DataFrame, phrases: DataFrame, threshold: float, tasks: int) -> DataFrame:
+    """``(keyword, phrase)`` within the edits: every task has a share of the keywords and all phrases, compared where lengths and letters allow it."""
+    deals = 4 * tasks
+    bags = lambda name: [F.get("bag", F.lit(i)).alias(f"{name}{i}") for i in range(4)]
+    own = phrases.select("phrase").distinct().where(F.length("phrase") > 0).select("phrase", F.length("phrase").alias("m"), letter_bag(F.col("phrase")).alias("bag"))
+    own = materialise(own.select("phrase", F.expr(f"greatest(1, CAST(ceil(m * {threshold}D - 1e-9) AS INT))").alias("least"), F.expr(f"CAST(floor(m / {threshold}D + 1e-9) AS INT)").alias("most"), "m", *bags("b")))
+    right = own.select("*", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
+    left = keywords.select("keyword", F.length("keyword").alias("size"), letter_bag(F.col("keyword")).alias("bag"), F.pmod(F.xxhash64("keyword"), F.lit(deals)).cast("int").alias("deal"))
+    left = left.select("keyword", "size", "deal", *bags("a"))
+    lacking = lambda x, y: " + ".join(f"bit_count({x}{i} & ~{y}{i})" for i in range(4))
+    edits = _edits("greatest(m, size)", threshold)
+    near = f"size BETWEEN least AND most AND {lacking('a', 'b')} <= {edits} AND {lacking('b', 'a')} <= {edits}"
+    pairs = left.repartition(tasks, "deal").join(right.repartition(tasks, "deal").hint("shuffle_hash"), "deal").where(near)
+    return pairs.where(f"levenshtein(keyword, phrase, {edits}) >= 0").select("keyword", "phrase").distinct()
+
+
 def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6) -> DataFrame:
     """``(query_id, keyword, phrase, ratio, kw_score)`` by edit distance, with half of the phrase score.
 
-    ``ratio`` is 1 - distance / longer length. Exact: a keyword meets a phrase on a segment of its own that the phrase
-    holds where the allowed edits can have moved it, and pairs that meet are compared. ``phrases`` should be a written
-    table: their parts are broadcast when their size allows, and the keywords are then not shuffled.
+    ``ratio`` is 1 - distance / longer length. Exact: pairs that may be close are compared. From a ratio of ``SEGMENTS_FROM`` on,
+    these meet on segments; below it segments are so short that nearly all pairs meet, on several each, and keywords are
+    compared with all phrases of about their length and letters instead. ``phrases`` should be a written table.
     """
     spark = keywords.sparkSession
-    parts = materialise(edit_segments(phrases, threshold))
-    segments = keyword_segments(keywords, parts.select("size", "edits").distinct())
-    key = ["size", "edits", "segment", "part"]
     # many comparisons for little data: a stated number of partitions, which is not coalesced
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    left, right = segments.repartition(tasks, *key), parts.repartition(tasks, *key)
-    unshared = F.greatest(*[F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(y))) for x, y in (("a", "b"), ("b", "a"))])
-    close = left.join(right, key).where(unshared <= F.col("edits")).where("levenshtein(keyword, phrase, edits) >= 0")
-    met = close.select("keyword", "phrase").distinct()
+    met = (_met_on_segments if threshold >= SEGMENTS_FROM else _met_on_letters)(keywords, phrases, threshold, tasks)
     longest = F.greatest(F.length("keyword"), F.length("phrase"))
     return (
         not_exact(met.join(phrases.select("query_id", "phrase", "score"), "phrase"), phrases)

@@ -55,6 +55,23 @@ def test_keywords_meet_phrases_on_segments_only(spark):
     assert {r.keyword for r in met.collect()} == {"abcdefghij"}
 
 
+def test_letters_that_differ_are_no_more_than_edits(spark):
+    draw = random.Random(8)
+    texts = ["", "é", "aaaaaaaaaaaa", *["".join(draw.choices("abc é'9", k=draw.randrange(1, 25))) for _ in range(40)]]
+    bags = {r.t: r.bag for r in spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", search.letter_bag(F.col("t")).alias("bag")).collect()}
+    assert bags[None] == bags[""] == [0, 0, 0, 0]
+    lacking = lambda x, y: sum((a & ~b & (2**64 - 1)).bit_count() for a, b in zip(bags[x], bags[y], strict=True))
+    assert all(max(lacking(x, y), lacking(y, x)) <= distance(x, y) for x in texts for y in texts)
+    assert lacking("aaaaaaaaaaaa", "") == 8
+
+
+def test_short_segments_are_not_shuffled(spark):
+    keywords = materialise(spark.createDataFrame([("abcdefghijklmnopqrstuvwxyz",)], "keyword string"))
+    phrases = materialise(spark.createDataFrame([(1, "abcdefghijklmnopqrstuvwxy", 1.0)], "query_id int, phrase string, score double"))
+    assert "segment" not in search.edit_matches(keywords, phrases, 0.6)._jdf.queryExecution().optimizedPlan().toString()  # 11 rows of this keyword
+    assert "segment" in search.edit_matches(keywords, phrases, 0.8)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_dictionary_holds_every_word_once(spark):
     draw = random.Random(5)
     texts = [(i, draw.choices([f"w{j}" for j in range(300)], weights=[1 / (j + 1) for j in range(300)], k=draw.randrange(30))) for i in range(200)]
