@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kindred.contract import sqltext as q
@@ -209,22 +206,8 @@ def st_foreach_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def st_update_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Own state per user and day, kept by Spark between batches until the watermark passes the day."""
 
-    def add(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        n, total = state.get if state.exists else (0, 0.0)
-        for batch in batches:
-            n, total = n + len(batch), total + float(batch["value"].sum())
-        state.update((n, total))
-        day_ends = int(pd.Timestamp(key[1], tz="UTC").timestamp() + 86_400) * 1000
-        state.setTimeoutTimestamp(max(day_ends, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"user_id": [key[0]], "day": [key[1]], "n": [n], "total": [total]})
-
     events = _events(spark, sf_dir).select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value", "ts")
-    totals = events.groupBy("user_id", "day").applyInPandasWithState(
-        add, "user_id long, day string, n long, total double", "n long, total double", "update", "EventTimeTimeout"
-    )
+    totals = state.daily_totals(events)
     out = work_dir(spark)
     run_batches(totals, "update", lambda batch, number: batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(out))
     newest = spark.read.parquet(out).groupBy("user_id", "day").agg(F.max_by(F.struct("n", "total"), "batch").alias("s"))

@@ -57,6 +57,22 @@ def test_sessions_close_and_leave_the_state(spark):
     assert got == [(1, 5, 3), (2, 0, 1)]
 
 
+def test_days_go_on_from_the_state_in_few_groups(spark):
+    source, checkpoint = work_dir(spark), work_dir(spark)
+    found = []
+    for run in range(2):
+        rows = spark.range(4000).select(F.when(F.col("id") > 0, F.col("id") + 2**60).alias("user_id"), F.lit(f"2024-01-01 0{run}:00:00").cast("timestamp_ntz").alias("ts"), F.when(F.col("id") != 7, F.lit(1.5)).alias("value"))
+        rows.where(F.col("id") % (run + 1) == 0).coalesce(1).write.mode("append").parquet(source)
+        events = jobs.timed(stream(spark, source), "1 hour").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value", "ts")
+        totals = state.daily_totals(events)
+        run_batches(totals, "update", lambda batch, _: found.append({r.user_id: (r.day, r.n, r.total) for r in batch.collect()}), checkpoint)
+    first, second = [f for f in found if f]
+    key = lambda i: i + 2**60 if i else None
+    assert first == {key(i): ("2024-01-01", 1, 0.0 if i == 7 else 1.5) for i in range(4000)}
+    assert second == {key(i): ("2024-01-01", 2, 3.0) for i in range(0, 4000, 2)}
+    assert "part" in str(totals._jdf.logicalPlan())  # a call of Python for a group of users, not for each
+
+
 def test_totals_start_from_a_table(spark):
     source, checkpoint, seen = work_dir(spark), work_dir(spark), []
     seed = materialise(spark.createDataFrame([("a", 5), ("z", 1)], "word string, n long"))
