@@ -97,6 +97,10 @@ def test_repeated_phrases_count_as_often_as_they_stand(spark):
     once = rows(search.fuzzy_matches(keywords, phrases, queries, threshold=0.0, share=1))
     twice = rows(search.fuzzy_matches(keywords, phrases.union(phrases), queries, threshold=0.0, share=1))
     assert {k: round(2 * r, 6) for k, (r, _) in once.items()} == {k: round(r, 6) for k, (r, _) in twice.items()}
+    long = spark.createDataFrame([(1, "red a b c d", 1.0)] * 2, "query_id int, phrase string, score double")
+    near = spark.createDataFrame([("red",), ("red x",)], "keyword string")
+    # one word and five do not fit the threshold of 0.5, whatever the rows
+    assert {(r.keyword, round(r.ratio, 6)) for r in search.phrase_pairs(near, long, 0.5).collect()} == {("red x", round(2 / sqrt(10), 6))}
 
 
 def test_contained_keywords_of_every_length(spark):
