@@ -18,6 +18,8 @@ TOP_DOCUMENTS = 15
 FUZZY_SHARE = 20
 #: Hash slots by which tokens are counted for their order.
 SLOTS = 1 << 16
+#: Bits of a filter on join keys; ``BUCKET`` of them are a row of Spark's bitmaps.
+BITS, BUCKET = 1 << 22, 1 << 15
 #: Edit ratio from which segments have about four letters.
 SEGMENTS_FROM = 0.75
 #: Lengths of the parts of texts by which keywords are looked up, from the longest.
@@ -52,6 +54,28 @@ def _slots(tokens: Column) -> Column:
     return F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(SLOTS)).cast("int"))
 
 
+def held_by(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A filter on a join key that leaves all values ``keys`` has and drops nearly all others, before they are shuffled.
+
+    It is ``BITS`` bits of hashes whatever the input. A key that is let through wrongly finds no partner in the join.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(BITS))
+    held = keys.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    bits = np.zeros((BITS // BUCKET + 1, BUCKET // 8), np.uint8)
+    for row in held.collect():  # at most BITS // BUCKET + 1
+        bits[row.bucket] = np.frombuffer(row.bits, np.uint8)
+    bits = bits.ravel()
+
+    @F.arrow_udf("boolean")
+    def has(places: pa.Array) -> pa.Array:
+        place = places.to_numpy()
+        return pa.array((bits[place >> 3] >> (place & 7)) & 1 == 1)
+
+    # Spark's place of a number: buckets count from 1, and number 0 belongs to the first one
+    numbered = lambda c: F.pmod(F.xxhash64(c), F.lit(BITS))
+    return lambda c: has(F.bitmap_bucket_number(numbered(c)) * F.lit(BUCKET) + F.bitmap_bit_position(numbered(c)))
+
+
 def rarest_first(keywords: DataFrame, phrases: DataFrame) -> Callable[[Column], Column]:
     """Of a list of slots to the indexes of those that a phrase has, the rarest among the keywords first.
 
@@ -327,9 +351,11 @@ def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6
 def score_pairs(index: DataFrame, matches: DataFrame) -> DataFrame:
     """``(query_id, doc_id, keyword, kw_score, posting_score, score)`` per match and posting.
 
-    ``matches`` should be a written table: it is broadcast when its size allows, the index is not.
+    ``matches`` should be a written table: it is broadcast when its size allows, the index is not. Beyond that size only
+    postings of keywords that a match may have are shuffled.
     """
     folded = index.select(ascii_fold(F.col("keyword")).alias("keyword"), "doc_id", F.col("score").alias("posting_score"))
+    folded = folded.where(held_by(matches, "keyword")(F.col("keyword")))
     return folded.join(matches.select("query_id", "keyword", "kw_score"), "keyword").select(
         "query_id",
         "doc_id",

@@ -136,3 +136,14 @@ def test_a_text_and_its_halves_find_each_other(spark):
     exact = {(r.query_id, r.doc_id): r.similarity for r in found.collect()}
     assert exact[(10, 2)] == 1.0 and exact[(20, 1)] == 1.0 and 0 < exact[(10, 1)] < 1
     assert {r.doc_id: r.type for r in found.collect()} == {1: "reliable", 2: None}
+
+
+def test_only_postings_of_matches_are_shuffled(spark):
+    """The filter keeps every key that is asked for, zero and negative hashes included, and few others."""
+    keys = materialise(spark.range(3000).select(F.col("id").cast("string").alias("keyword")))
+    rows = spark.range(60_000).select(F.when(F.col("id") < 50_000, F.col("id").cast("string")).alias("keyword"))
+    kept = [r.keyword for r in rows.where(search.held_by(keys, "keyword")(F.col("keyword"))).collect()]
+    assert {str(i) for i in range(3000)} <= set(kept) and len(kept) < 3200
+    index = materialise(rows.where("keyword IS NOT NULL").select("keyword", F.lit(1).alias("doc_id"), F.lit(2.0).alias("score")))
+    pairs = search.score_pairs(index, keys.select(F.lit(1).alias("query_id"), "keyword", F.lit(1.0).alias("kw_score")))
+    assert "ArrowEvalPython" in pairs._jdf.queryExecution().executedPlan().toString() and pairs.count() == 3000
