@@ -7,10 +7,11 @@ import re
 from collections import Counter, defaultdict
 from math import floor
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kindred.functions.phrases import CLASS, LIBRARY, ranked_phrases
+from kindred.functions.phrases import CLASS, LIBRARY, _score_batch, in_parts, ranked_phrases
 from kindred.functions.stopwords import ENGLISH, all_languages
 from kindred.functions.text import PUNCTUATION
 from kindred.operators.phrase_tables import phrase_score_table
@@ -90,3 +91,17 @@ def test_fraction_floors_and_null_gives_nothing(spark):
 def test_all_languages_extend_english(spark):
     words = all_languages()
     assert set(ENGLISH) < set(words) and "oder" in words
+
+
+@pytest.mark.parametrize("variant", [LIBRARY, CLASS])
+def test_a_batch_is_worked_on_in_parts(variant):
+    draw = random.Random(2)
+    lists = [[" ".join(draw.choices(["a", "b", "12", "cd"], k=draw.randrange(1, 4))) for _ in range(draw.randrange(9))] for _ in range(40)] + [None, []]
+    batch, sizes = pa.array(lists, pa.list_(pa.string())), []
+
+    def work(part):
+        sizes.append(len(part.flatten()))
+        return _score_batch(part, 0.5, variant)
+
+    assert in_parts(batch, work, 10).equals(_score_batch(batch, 0.5, variant))
+    assert max(sizes) <= 10 and len(sizes) > 4 and len(in_parts(batch.slice(0, 0), work)) == 0
