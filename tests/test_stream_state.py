@@ -131,3 +131,25 @@ def test_word_matrix_in_blocks(spark):
     b = spark.createDataFrame([(f"b{i}", [1.0, float(i)]) for i in range(5)], "word string, vec array<double>")
     got = {(r.a, r.b): round(r.cosine, 9) for r in similarity.word_matrix(a, b, block=2).collect()}
     assert got == {(f"a{i}", f"b{j}"): round((i + j) / ((i * i + 1) * (j * j + 1)) ** 0.5, 9) for i in range(7) for j in range(5)}
+
+
+def test_users_and_words_of_a_group_share_a_call(spark, monkeypatch):
+    """More users than groups in two runs: each session is closed as by itself; more words than groups."""
+    monkeypatch.setattr(state, "USER_GROUPS", 2)
+    monkeypatch.setattr(state, "WORD_GROUPS", 2)
+    source, out, checkpoint, seen = work_dir(spark), work_dir(spark), work_dir(spark), []
+    for hours in ([0, 1, 9], [3, 10, 30]):
+        rows = spark.range(40).select(F.when(F.col("id") > 0, F.col("id") + 2**60).alias("user_id"), F.explode(F.array(*map(F.lit, hours))).alias("h"))
+        timed = rows.select("user_id", F.timestamp_seconds(1_700_000_000 + F.col("h") * 3600).cast("timestamp_ntz").alias("ts"))
+        timed.coalesce(1).write.mode("append").parquet(source)
+        with state.own_state(spark):
+            found = run_append(state.closed_sessions(jobs.timed(stream(spark, source), "12 hours"), 3 * 3_600_000), out, checkpoint)
+    users = [None] + [i + 2**60 for i in range(1, 40)]
+    got = sorted(((r.user_id or 0, (r.start // 1000 - 1_700_000_000) // 3600, (r["last"] - r.start) // 3_600_000, r.n) for r in found.collect()))
+    assert got == sorted((u or 0, *s) for u in users for s in ((0, 3, 3), (9, 1, 2)))
+    assert "part" in str(state.closed_sessions(jobs.timed(stream(spark, source), "1 hour"), 1)._jdf.logicalPlan())
+    words, seed = work_dir(spark), materialise(spark.createDataFrame([(f"w{i}", i) for i in range(5)] + [(None, 3)], "word string, n long"))
+    spark.createDataFrame([(f"w{i % 9}",) for i in range(90)] + [(None,)], "word string").coalesce(1).write.parquet(words)
+    with state.own_state(spark):
+        run_batches(state.running_totals(stream(spark, words), seed), "update", lambda batch, _: seen.extend(map(tuple, batch.collect())))
+    assert dict(seen) == {f"w{i}": 10 + (i if i < 5 else 0) for i in range(9)} | {None: 4} and len(seen) == 10
