@@ -61,24 +61,30 @@ def pagerank(edges: DataFrame, iterations: int, hub: int = HUB) -> DataFrame:
 def pagerank_until(edges: DataFrame, tolerance: float, limit: int = 400, hub: int = HUB) -> DataFrame:
     """``(id, rank)`` of all vertices, iterated until no rank moves by ``tolerance`` or more.
 
-    Every vertex has a link to itself that passes nothing on but keeps it, with its last rank, in the
-    grouping. ``CHAINED`` iterations are one job; its last step is written and tested. Ranks that still move
-    after ``limit`` jobs raise an error.
+    A vertex without in-links keeps its first rank, so what it passes on is summed once, as the ``base`` of its
+    targets, and its links take no part in the iterations. Every other vertex has a link to itself that passes
+    nothing but this base on and keeps it, with its last rank, in the grouping. ``CHAINED`` iterations are one
+    job; its last step is written and tested. Ranks that still move after ``limit`` jobs raise an error.
     """
-    shares = _shares(edges).withColumn("own", F.lit(0.0))
-    vertices = shares.select("src").union(shares.select("dst")).distinct()
-    kept = vertices.select("src", F.col("src").alias("dst"), F.lit(0.0).alias("share"), F.lit(1.0).alias("own"))
-    links, hubs = placed_links(shares.unionByName(kept), "src", hub)
+    shares = materialise(_shares(edges))
+    moving = materialise(shares.select(F.col("dst").alias("src")).distinct())
+    still = shares.join(moving, "src", "left_anti")
+    base = still.groupBy("dst").agg((0.15 * F.sum("share")).alias("base"))
+    own = moving.select("src", F.col("src").alias("dst")).join(base, "dst", "left")
+    kept = own.select("src", "dst", F.lit(0.0).alias("share"), F.lit(1.0).alias("own"), F.coalesce("base", F.lit(0.0)).alias("base"))
+    passing = shares.join(moving, "src", "left_semi").withColumns({"own": F.lit(0.0), "base": F.lit(0.0)})
+    links, hubs = placed_links(passing.unionByName(kept), "src", hub)
     moved = links.where("own = 1").select("src", F.lit(0.15).alias("rank"), F.lit(0.15).alias("old"))
     for _ in range(limit):
         for _step in range(CHAINED):
             passed = meet(links, hubs, moved.select("src", "rank"), "src").groupBy("dst").agg(
-                F.sum(F.col("rank") * F.col("share")).alias("c"), F.sum(F.col("rank") * F.col("own")).alias("old")
+                F.sum(F.col("rank") * F.col("share") + F.col("base")).alias("c"), F.sum(F.col("rank") * F.col("own")).alias("old")
             )
             moved = passed.select(F.col("dst").alias("src"), (0.15 + 0.85 * F.col("c")).alias("rank"), "old")
         moved = materialise(moved)
         if moved.select(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] < tolerance:
-            return moved.select(F.col("src").alias("id"), "rank")
+            first = still.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(0.15))
+            return moved.select(F.col("src").alias("id"), "rank").unionByName(first)
     raise RuntimeError(f"ranks still move by {tolerance} or more after {limit * CHAINED} iterations")
 
 

@@ -119,3 +119,16 @@ def test_hubs_change_no_result(spark, hubs):
     weighted = hubs.distinct().withColumn("weight", (F.col("dst") % 5 + 1).cast("double"))
     for job in (lambda hub: graph.pagerank(hubs, 6, hub=hub), lambda hub: graph.pagerank_until(hubs, 1e-4, hub=hub), lambda hub: graph.components(hubs, hub=hub), lambda hub: graph.shortest_paths(weighted, 0, hub=hub)):
         assert rows(job(25)) == rows(job(10**6))
+
+
+def test_links_of_vertices_that_nobody_links_are_summed_once(spark, monkeypatch):
+    pairs = [(i, i % 7) for i in range(10, 200)] + [(i, (i + 1) % 7) for i in range(7)] + [(3, 500)]
+    placed, rows = graph.placed_links, []
+    monkeypatch.setattr(graph, "placed_links", lambda links, *rest: rows.append(links.count()) or placed(links, *rest))
+    got = {r.id: r.rank for r in graph.pagerank_until(edges(spark, pairs), 1e-9).collect()}
+    links, rank = set(pairs), dict.fromkeys({v for p in pairs for v in p}, 0.15)
+    out = {v: sum(s == v for s, _ in links) for v in rank}
+    for _ in range(200):
+        rank = {v: 0.15 + 0.85 * sum(rank[s] / out[s] for s, d in links if d == v) for v in rank}
+    assert got == {v: pytest.approx(r, abs=1e-6) for v, r in rank.items()}
+    assert rows == [8 + 8]  # a link of each vertex with in-links to the next one, and one to itself
