@@ -41,8 +41,7 @@ def sim_count_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     def counted(c: str):
         return F.regexp_extract_all(F.lower(c), F.lit(COUNTED), F.lit(0))
 
-    counts = sim.pair_counts(neighbours(spark, sf_dir), ["doc_id"], counted("a"), counted("b"))
-    found = sim.count_cosine(counts, ["doc_id"])
+    found = sim.pair_count_cosine(neighbours(spark, sf_dir), ["doc_id"], counted("a"), counted("b"))
     return found.select(
         "doc_id",
         round_half_up(1 - F.col("similarity"), 6).alias("distance"),

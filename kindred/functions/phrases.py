@@ -62,8 +62,8 @@ def candidate_phrases(text: Column, variant: str = LIBRARY, stopwords: Sequence[
 NUMBER = r"^[+-]?([0-9]+|[0-9]+\.[0-9]*|\.[0-9]+)$"
 
 
-def _score_batch(phrases: pa.Array, fraction: float, variant: str) -> pa.Array:
-    """Phrase lists of a batch of texts to ranked ``list<struct<score, phrase>>``."""
+def _weighed_words(phrases: pa.Array, variant: str) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Of phrase lists: all phrases, the text of each, and of all their words the phrase, the word and the weight."""
     flat = phrases.flatten()
     text_of = pc.list_parent_indices(phrases).to_numpy()
     words = pc.split_pattern(flat, " ")
@@ -74,6 +74,23 @@ def _score_batch(phrases: pa.Array, fraction: float, variant: str) -> pa.Array:
     else:
         counted = ~pc.match_substring_regex(words.flatten(), NUMBER).to_numpy(zero_copy_only=False)
         weight = np.bincount(phrase_of, counted, len(flat))[phrase_of]
+    return flat, text_of, phrase_of, word, weight
+
+
+def _word_batch(phrases: pa.Array, variant: str) -> pa.Array:
+    """Phrase lists of a batch of texts to ``list<struct<word, freq, degree>>`` of their distinct words."""
+    _, text_of, phrase_of, word, weight = _weighed_words(phrases, variant)
+    slots = max(len(word.dictionary), 1)
+    key, group = np.unique(text_of[phrase_of].astype(np.int64) * slots + word.indices.to_numpy(), return_inverse=True)
+    found = np.bincount(key // slots, minlength=len(phrases))
+    freq, degree = np.bincount(group, minlength=len(key)), np.bincount(group, weight, len(key))
+    words = pa.StructArray.from_arrays([word.dictionary.take(pa.array(key % slots)), pa.array(freq, pa.int64()), pa.array(degree, pa.float64())], ["word", "freq", "degree"])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(found)), pa.int32()), words)
+
+
+def _score_batch(phrases: pa.Array, fraction: float, variant: str) -> pa.Array:
+    """Phrase lists of a batch of texts to ranked ``list<struct<score, phrase>>``."""
+    flat, text_of, phrase_of, word, weight = _weighed_words(phrases, variant)
     key = text_of[phrase_of].astype(np.int64) * max(len(word.dictionary), 1) + word.indices.to_numpy()
     _, group = np.unique(key, return_inverse=True)
     word_score = np.bincount(group, weight) / np.bincount(group)
@@ -97,14 +114,15 @@ def _score_batch(phrases: pa.Array, fraction: float, variant: str) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept)), pa.int32()), ranked)
 
 
-def in_parts(lists: pa.Array, work: Callable[[pa.Array], pa.Array], at_once: int = AT_ONCE) -> pa.Array:
-    """``work`` on lists of a batch, as many at a time as hold ``at_once`` elements together, and one at least."""
-    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+def in_parts(lists: pa.Array, work: Callable[..., pa.Array], at_once: int = AT_ONCE, *more: pa.Array) -> pa.Array:
+    """``work`` on lists of a batch, as many rows at a time as hold ``at_once`` elements together, and one at least; ``more`` are cut alike."""
+    every = [lists, *more]
+    ends = np.cumsum(sum(pc.fill_null(pc.list_value_length(x), 0).to_numpy().astype(np.int64) for x in every))
     parts, start = [], 0
     while start < len(lists) or not parts:
         before = ends[start - 1] if start else 0
         stop = max(int(np.searchsorted(ends, before + at_once, "right")), start + 1)
-        parts.append(work(lists.slice(start, stop - start)))
+        parts.append(work(*[x.slice(start, stop - start) for x in every]))
         start = stop
     return pa.concat_arrays(parts)
 
@@ -125,3 +143,13 @@ def ranked_phrases(
         return in_parts(phrases, lambda part: _score_batch(part, fraction, variant))
 
     return rank(candidate_phrases(text, variant, stopwords))
+
+
+def word_statistics(text: Column, variant: str = LIBRARY) -> Column:
+    """``array<struct<word, freq, degree>>``: the distinct words of the phrases of a text."""
+
+    @F.arrow_udf("array<struct<word:string,freq:long,degree:double>>")
+    def count(phrases: pa.Array) -> pa.Array:
+        return in_parts(phrases, lambda part: _word_batch(part, variant))
+
+    return count(candidate_phrases(text, variant))

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from kindred.session import materialise
+
 
 def asof_last(events: DataFrame, key: str, time: str, bucket: Column, is_source: Column, value: str) -> DataFrame:
     """Every row with ``last_value`` and ``last_time`` of the nearest source row of its key at a strictly earlier time.
@@ -43,3 +49,16 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16) ->
     left = big.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     right = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [key, "salt"]).drop("salt")
+
+
+def alone_and_shared(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` whose keys no other row has, and the others, None without any; a null equals a null.
+
+    Work by key needs no shuffle for the first ones. Only keys are shuffled to find them out; ``rows`` is read again for each result.
+    """
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    repeated = materialise(counted.select(*[F.col(k).alias(f"repeated_{k}") for k in keys]))
+    if repeated.isEmpty():
+        return rows, None
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"repeated_{k}")) for k in keys])
+    return rows.join(repeated, same, "left_anti"), rows.join(repeated, same, "left_semi")

@@ -1,11 +1,16 @@
-"""Key phrase statistics as tables: one row per word or phrase of a text."""
+"""Key phrase statistics as tables: one row per word or phrase of a text.
+
+A text whose key no other has is counted inside its row, so none of its words are shuffled or sorted. Texts of one key are one text
+in several rows, and only these are exploded and grouped.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from kindred.functions.phrases import LIBRARY, NUMBER, candidate_phrases
+from kindred.functions.phrases import LIBRARY, NUMBER, candidate_phrases, ranked_phrases, word_statistics
 from kindred.functions.text import round_half_up
+from kindred.operators.joins import alone_and_shared
 
 
 def _occurrences(texts: DataFrame, key: str, text: str, variant: str) -> DataFrame:
@@ -33,11 +38,20 @@ def _word_scores(occurrences: DataFrame, key: str) -> DataFrame:
 
 def word_score_table(texts: DataFrame, key: str, text: str, variant: str = LIBRARY) -> DataFrame:
     """``(key, word, freq, degree, score)``."""
-    return _word_scores(_occurrences(texts, key, text, variant), key)
+    alone, shared = alone_and_shared(texts, [key])
+    words = alone.select(key, F.inline(word_statistics(F.col(text), variant)))
+    scores = words.withColumn("score", F.col("degree") / F.col("freq"))
+    return scores if shared is None else scores.unionByName(_word_scores(_occurrences(shared, key, text, variant), key))
 
 
 def phrase_score_table(texts: DataFrame, key: str, text: str, variant: str = LIBRARY) -> DataFrame:
-    """``(key, phrase, score)``, each phrase of a text once. The one shuffle is the one by ``key``."""
+    """``(key, phrase, score)``, each phrase of a text once; texts without a key have none."""
+    alone, shared = alone_and_shared(texts.where(F.col(key).isNotNull()), [key])
+    phrases = alone.select(key, F.inline(ranked_phrases(F.col(text), variant=variant))).select(key, "phrase", "score")
+    return phrases if shared is None else phrases.unionByName(_shared_phrases(shared, key, text, variant))
+
+
+def _shared_phrases(texts: DataFrame, key: str, text: str, variant: str) -> DataFrame:
     occurrences = _occurrences(texts, key, text, variant)
     scores = _word_scores(occurrences, key).select(key, "word", F.col("score").alias("word_score"))
     return (

@@ -14,6 +14,7 @@ from kindred.functions.phrases import in_parts
 from kindred.functions.stemming import stemmed
 from kindred.functions.stopwords import ENGLISH
 from kindred.functions.text import ascii_fold, letter_words, plain_words
+from kindred.operators.joins import alone_and_shared
 from kindred.operators.statistics import positions
 from kindred.session import materialise
 
@@ -57,6 +58,34 @@ def count_cosine(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return sums.select(*keys, F.when(norm > 0, F.col("ab") / norm).alias("similarity"))
 
 
+def pair_count_cosine(pairs: DataFrame, keys: Sequence[str], words_a: Column, words_b: Column) -> DataFrame:
+    """``(keys, similarity)``: cosine of raw word counts per pair that has words, as :func:`count_cosine` of :func:`pair_counts`.
+
+    A pair whose keys no other has is counted inside its row; only pairs of the same keys are exploded and grouped.
+    """
+
+    def cosines(a: pa.Array, b: pa.Array) -> pa.Array:
+        rows, words = len(a), pa.concat_arrays([a.flatten(), b.flatten()]).dictionary_encode()
+        pair_of = np.concatenate([pc.list_parent_indices(x).to_numpy() for x in (a, b)]).astype(np.int64)
+        slots, first = max(len(words.dictionary), 1), len(a.flatten())
+        key, group = np.unique(pair_of * slots + words.indices.to_numpy(), return_inverse=True)
+        x, y = np.bincount(group[:first], minlength=len(key)), np.bincount(group[first:], minlength=len(key))
+        total = lambda n: np.bincount(key // slots, n, rows)
+        norm = np.sqrt(total(x * x)) * np.sqrt(total(y * y))
+        # a pair without any word has no row; one with an empty side has a null
+        kept = (np.bincount(pair_of, minlength=rows) > 0) & pc.and_(a.is_valid(), b.is_valid()).to_numpy(zero_copy_only=False)
+        found = np.divide(total(x * y), norm, out=np.zeros(rows), where=norm > 0)[kept]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(kept)), pa.int32()), pa.array(found, pa.float64(), mask=~(norm > 0)[kept]))
+
+    @F.arrow_udf("array<double>")
+    def similarity(a: pa.Array, b: pa.Array) -> pa.Array:
+        return in_parts(a, cosines, WORDS_AT_ONCE, b)
+
+    alone, shared = alone_and_shared(pairs, keys)
+    found = alone.select(*keys, F.explode(similarity(words_a, words_b)).alias("similarity"))
+    return found if shared is None else found.unionByName(count_cosine(pair_counts(shared, keys, words_a, words_b), keys))
+
+
 def pair_tfidf_cosine(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """TF-IDF cosine with the idf fitted on just the two texts of a pair; 0 when a text has no words."""
     weight = F.when((F.col("a") > 0) & (F.col("b") > 0), F.lit(1.0)).otherwise(F.lit(UNSHARED))

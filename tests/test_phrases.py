@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from kindred.functions.phrases import CLASS, LIBRARY, _score_batch, in_parts, ranked_phrases
 from kindred.functions.stopwords import ENGLISH, all_languages
 from kindred.functions.text import PUNCTUATION
-from kindred.operators.phrase_tables import phrase_score_table
+from kindred.operators.phrase_tables import _occurrences, _shared_phrases, _word_scores, phrase_score_table, word_score_table
+from kindred.session import materialise
 
 
 def plain(text: str, variant: str) -> list[tuple[float, str]]:
@@ -105,3 +106,19 @@ def test_a_batch_is_worked_on_in_parts(variant):
 
     assert in_parts(batch, work, 10).equals(_score_batch(batch, 0.5, variant))
     assert max(sizes) <= 10 and len(sizes) > 4 and len(in_parts(batch.slice(0, 0), work)) == 0
+
+
+@pytest.mark.parametrize("variant", [LIBRARY, CLASS])
+def test_tables_count_in_the_row_and_texts_of_one_key_together(spark, variant):
+    own = list(enumerate(texts(20))) + [(99, None)]
+    twice = [(7, "red dog, big 12 dog. A cat."), (7, "big red dog; old cat."), (None, "blue cat nose, ocean."), (None, "blue cat.")]
+    df = materialise(spark.createDataFrame(own + twice, "id int, text string"))
+    words, phrases = word_score_table(df, "id", "text", variant), phrase_score_table(df, "id", "text", variant)
+    plain = _word_scores(_occurrences(df, "id", "text", variant), "id")
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(words.collect()) == order(plain.collect())
+    assert order(phrases.collect()) == order(_shared_phrases(df, "id", "text", variant).collect())
+    alone = df.where("id > 7")
+    for found in (word_score_table(alone, "id", "text", variant), phrase_score_table(alone, "id", "text", variant)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Aggregate" not in plan

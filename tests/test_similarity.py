@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.stemming import stem
 from kindred.operators import similarity as sim
+from kindred.session import materialise
 
 
 @pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 1.0])
@@ -73,3 +74,14 @@ def test_corpus_weights_have_unit_length(spark):
     weights, idf = sim.corpus_weights(texts, "id", F.split("text", " "))
     assert {r.word: round(r.idf, 9) for r in idf.collect()} == {"red": 0.0, "dog": round(log(3), 9), "cat": round(log(3), 9)}
     assert {(r.id, r.word): r.weight for r in weights.where("weight > 0").collect()} == {(1, "dog"): 1.0, (2, "cat"): 1.0}
+
+
+def test_pairs_of_their_own_key_are_counted_in_their_row(spark):
+    rows = [(1, "a b b", "b c"), (2, "a", ""), (3, "", ""), (4, None, "a"), (5, "x", "x"), (5, "x y", "y"), (None, "a", "a"), (None, "b", "a"), (6, "z", "z z")]
+    pairs = materialise(spark.createDataFrame(rows, "k int, a string, b string"))
+    words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    plain = sim.count_cosine(sim.pair_counts(pairs, ["k"], words("a"), words("b")), ["k"])
+    got = {r.k: r.similarity for r in sim.pair_count_cosine(pairs, ["k"], words("a"), words("b")).collect()}
+    assert got == {r.k: r.similarity for r in plain.collect()} and set(got) == {1, 2, 5, 6, None} and got[2] is None
+    alone = sim.pair_count_cosine(pairs.where("k < 5"), ["k"], words("a"), words("b"))
+    assert "Aggregate" not in alone._jdf.queryExecution().executedPlan().toString()
