@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from kindred.operators.statistics import positions
 from kindred.session import materialise, work_dir
 
 
@@ -132,34 +133,31 @@ def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
 def triangles(edges: DataFrame) -> DataFrame:
     """``(id, n)``: triangles through each vertex.
 
-    Edges point from the vertex of lower degree to the one of higher degree, so no list of successors is
-    longer than the square root of twice the number of edges, however common a vertex is.
+    Vertices are numbered by degree and edges point from the lower to the higher number, so no list of successors is
+    longer than the square root of twice the number of edges, however common a vertex is. Along an edge go only the
+    successors of its lower end that lie behind its higher one, as numbers: a triangle is found once, on the edge of its two lowest vertices.
     """
     pairs = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
     pairs = materialise(pairs)
-    degree = materialise(
-        pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("deg"))
-    )
-    placed = (
-        pairs.join(degree.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a")
-        .join(degree.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b")
-    )
-    a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    directed = materialise(
-        placed.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"))
-    )
-    ahead = materialise(directed.groupBy("u").agg(F.collect_list("v").alias("next")))
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("deg"))
+    order = materialise(positions(degree, "deg", "id").select("id", "position"))
+    kind = "int" if order.count() < 2**31 else "long"
+    order = order.select("id", F.col("position").cast(kind).alias("place"))
+    placed = pairs.join(order.toDF("a", "pa"), "a").select("b", "pa").join(order.toDF("b", "pb"), "b")
+    directed = placed.select(F.least("pa", "pb").alias("u"), F.greatest("pa", "pb").alias("v"))
+    ahead = materialise(directed.groupBy("u").agg(F.sort_array(F.collect_list("v")).alias("next")))
+    behind = ahead.where(F.size("next") > 1).select("u", "next", F.posexplode("next").alias("i", "v"))
+    behind = behind.where(F.col("i") < F.size("next") - 1).select("u", "v", F.expr("slice(next, i + 2, size(next))").alias("rest"))
     common = (
-        directed.join(ahead, "u")
-        .join(ahead.select(F.col("u").alias("v"), F.col("next").alias("next_v")), "v")
-        .select("u", "v", F.array_intersect("next", "next_v").alias("third"))
+        behind.join(ahead.select(F.col("u").alias("v"), F.col("next").alias("next_v")), "v")
+        .select("u", "v", F.array_intersect("rest", "next_v").alias("third"))
         .where(F.size("third") > 0)
     )
     common = materialise(common)
-    corners = common.select(F.explode(F.array("u", "v")).alias("id"), F.size("third").alias("n")).union(
-        common.select(F.explode("third").alias("id"), F.lit(1).alias("n"))
+    corners = common.select(F.explode(F.array("u", "v")).alias("place"), F.size("third").alias("n")).union(
+        common.select(F.explode("third").alias("place"), F.lit(1).alias("n"))
     )
-    return corners.groupBy("id").agg(F.sum("n").alias("n"))
+    return corners.groupBy("place").agg(F.sum("n").alias("n")).join(order, "place").select("id", "n")
 
 
 def shortest_paths(edges: DataFrame, source: int, hub: int = HUB) -> DataFrame:
