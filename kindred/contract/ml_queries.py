@@ -11,16 +11,18 @@ from kindred.contract import sqltext as q
 from kindred.contract.registry import query
 from kindred.functions.stopwords import ENGLISH
 from kindred.operators import vocabulary
+from kindred.session import bounded
 from kindred.sources.articles import table
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
 KEY_SQL = "l_orderkey, l_linenumber, l_partkey"
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem with ``features`` = quantity, discount, tax."""
+def lines(spark: SparkSession, sf_dir: str, kept: bool = False) -> DataFrame:
+    """Lineitem with ``features`` = quantity, discount, tax. For models that keep the rows of a task in memory, a partition has a bounded number of them."""
     parts = X.VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features")
-    return parts.transform(table(spark, sf_dir, "lineitem"))
+    rows = table(spark, sf_dir, "lineitem")
+    return parts.transform(bounded(rows) if kept else rows)
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,7 +365,7 @@ def _positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines(spark, sf_dir).withColumn("label", F.col("l_extendedprice")).withColumn("censor", F.lit(1.0))
+    return lines(spark, sf_dir, kept=True).withColumn("label", F.col("l_extendedprice")).withColumn("censor", F.lit(1.0))
 
 
 for _name, _make in {
@@ -398,7 +400,7 @@ def _clustered(estimator, source=vectors):
 
 _rows("ml_kmeans", _clustered(lambda: K.KMeans(k=5, seed=1, maxIter=10)))
 _rows("ml_bisecting_kmeans", _clustered(lambda: K.BisectingKMeans(k=4, seed=1, maxIter=5)))
-_rows("ml_gaussian_mixture", _clustered(lambda: K.GaussianMixture(k=2, seed=1, maxIter=5), lines))
+_rows("ml_gaussian_mixture", _clustered(lambda: K.GaussianMixture(k=2, seed=1, maxIter=5), lambda spark, sf_dir: lines(spark, sf_dir, kept=True)))
 
 
 @query()
