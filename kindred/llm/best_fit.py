@@ -81,13 +81,16 @@ class WordTokenizer:
         """The places of distinct words among the kept ones; those that are not kept yet are learned."""
         if len(self._words) > self._cache:
             self._forget()
-        at = pc.index_in(words, value_set=self._words)
-        new = at.is_null()
+        # the kept words are looked up among the given ones, of which there are fewer, so the table made for each call is small
+        found = pc.index_in(self._words, value_set=words)
+        met = found.is_valid().to_numpy(zero_copy_only=False)
         kept = len(self._words)
-        places = at.fill_null(0).to_numpy().astype(np.int64)
-        if pc.any(new).as_py():
-            self._learn(words.filter(new).to_pylist())
-            places[new.to_numpy(zero_copy_only=False)] = np.arange(kept, len(self._words))
+        places = np.full(len(words), -1, np.int64)
+        places[found.drop_null().to_numpy()] = np.flatnonzero(met)
+        new = places < 0
+        if new.any():
+            self._learn(words.filter(pa.array(new)).to_pylist())
+            places[new] = np.arange(kept, len(self._words))
         return places
 
     def encode(self, texts: Sequence[str]) -> Iterator[bytes]:

@@ -108,3 +108,17 @@ def test_nothing_and_one_text(none, odd):
     rows = best_fit.pack(materialise(best_fit.pieces(odd, PATH, carry=["key", "name"]))).collect()
     check_places(rows, 1024)
     assert {r["name"] for r in rows} == {"n"}
+
+
+def test_kept_words_are_looked_up_without_a_table_of_all_of_them(monkeypatch):
+    """A table of all kept words was made anew for every two million letters."""
+    words = best_fit.WordTokenizer(PATH)
+    first = [" ".join(f"w{i}x{i * 7}" for i in range(5000))]
+    second = ["start w3x21 w4999x34993 again\nw3x21 new", "", "w7x49"]
+    want = [list(words.encode([t])) for t in second]
+    list(words.encode(first))
+    tables, look = [], best_fit.pc.index_in
+    monkeypatch.setattr(best_fit.pc, "index_in", lambda values, value_set: tables.append(len(value_set)) or look(values, value_set=value_set))
+    again = best_fit.WordTokenizer(PATH)
+    assert list(words.encode(second)) == [x for w in want for x in w] == list(again.encode(second))
+    assert max(tables) < 20
