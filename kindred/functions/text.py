@@ -34,7 +34,7 @@ WORD_OR_MARKS = (
     + r"+|\x02"
 )
 SENTENCE_END = f"([.!?]){BLANK}+"
-NOT_ALNUM_OR_SPACE = "[^ A-Za-z0-9]+"
+NOT_ALNUM_OR_SPACE = "[^" + _char_class(" " + _ALNUM)[1:] + "+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

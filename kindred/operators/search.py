@@ -230,18 +230,23 @@ def overlapping_keywords(keywords: DataFrame, queries: DataFrame, strict: bool =
 
     A keyword of ``d`` distinct among ``n`` words must share more than ``n / 2``, so one of any ``d - floor(n / 2)`` of its words
     is in the query. The words that no query has and then those that the fewest keywords have are taken, so a keyword without
-    enough words of any query is never joined and common words seldom are. The pairs found are then checked in full.
+    enough words of any query is never joined and common words seldom are. Of the pairs found all shared words are counted.
+    Keywords and words are numbers on the way: a keyword can be a thousand words long.
     """
     own = materialise(query_words(queries, strict))
     asked = own.select("query_id", F.explode("words").alias("word"))
+    numbered = materialise(keywords.select(F.monotonically_increasing_id().alias("k"), "keyword"))
     words = F.split(F.regexp_replace("keyword", NOT_ALNUM_OR_SPACE, ""), " ")
-    cut = keywords.select("keyword", F.floor(F.size(words) / F.lit(2)).alias("half"), F.array_distinct(words).alias("words"))
-    met, order = asked_words(asked, cut.select(F.struct("keyword", "half").alias("k"), "words"), "k")
-    known = met.join(order, "word").groupBy("k", "size").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("known"))
-    taken = F.greatest(F.col("size") - F.col("k.half") - (F.col("size") - F.size("known")), F.lit(0)).cast("int")
-    left = known.select(F.col("k.keyword").alias("keyword"), F.explode(F.slice("known", F.lit(1), taken)["word"]).alias("word"))
-    found = left.join(asked, "word").select("query_id", "keyword").distinct()
-    return found.join(own, "query_id").where(overlaps(F.col("keyword"), F.col("words"))).select("query_id", "keyword")
+    cut = numbered.select(F.struct("k", F.floor(F.size(words) / F.lit(2)).alias("half")).alias("id"), F.array_distinct(words).alias("words"))
+    met, order = asked_words(asked, cut, "id")
+    known = met.join(order, "word").groupBy("id").agg(F.sort_array(F.collect_list("place")).alias("known"))
+    known = known.where(F.size("known") > F.col("id.half"))
+    left = known.select("id", "known", F.explode(F.slice("known", F.lit(1), (F.size("known") - F.col("id.half")).cast("int"))).alias("place"))
+    places = asked.join(order, "word").select("query_id", "place")
+    found = left.join(places, "place").select("query_id", "id", "known").distinct()
+    shared = found.select("query_id", "id", F.explode("known").alias("place")).join(places, ["query_id", "place"])
+    enough = shared.groupBy("query_id", "id").agg(F.count("*").alias("n")).where(F.col("n") > F.col("id.half"))
+    return enough.select("query_id", F.col("id.k").alias("k")).join(numbered, "k").select("query_id", "keyword")
 
 
 def _edits(longer: str, threshold: float) -> str:

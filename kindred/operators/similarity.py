@@ -211,7 +211,8 @@ def asked_words(asked: DataFrame, texts: DataFrame, key: str) -> tuple[DataFrame
     counted, so the order is as small as the queries are, whatever the corpus.
     """
     wanted = materialise(asked.select("word").distinct())
-    own = texts.select(key, F.size("words").alias("size"), F.explode("words").alias("word"))
+    # sizes are taken first, or each word would carry all words of its text along
+    own = texts.select(key, F.size("words").alias("size"), "words").select(key, "size", F.explode("words").alias("word"))
     met = materialise(own.join(wanted, "word").select(key, "size", "word"))
     counted = wanted.join(met.groupBy("word").agg(F.count("*").alias("texts")), "word", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
     return met, materialise(positions(counted, "texts", "word").select("word", F.col("position").alias("place")))
