@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from kindred.functions.phrases import LIBRARY, ranked_phrases
 from kindred.functions.stopwords import ENGLISH
@@ -115,15 +118,33 @@ def group_postings(index: DataFrame, per_row: int = POSTINGS_PER_ROW, extra: Seq
         )
     )
     chunks = F.coalesce(F.col("chunks"), F.lit(1).cast("long"))
-    # placed by chunk explicitly: a placement by keyword alone would satisfy the grouping as well,
-    # but put all chunks of a common keyword into one task
-    return (
-        index.join(common, "keyword", "left")
-        .withColumn("chunk", chunk_of(F.col("doc_id"), chunks))
-        .repartition("keyword", "chunk")
-        .groupBy("keyword", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "score", *extra))).alias("postings"))
-    )
+    # placed by chunk as well: a placement by keyword alone would put all chunks of a common keyword into one task. Rows are
+    # sorted once and listed as they come; collected lists are sorted, written and merged for every one of millions of keywords
+    placed = index.join(common, "keyword", "left").withColumn("chunk", chunk_of(F.col("doc_id"), chunks)).repartition("keyword", "chunk")
+    rows = placed.sortWithinPartitions("keyword", "chunk", "doc_id", "score", *extra).select("keyword", "chunk", F.struct("doc_id", "score", *extra).alias("postings"))
+    out = T.StructType([*rows.schema.fields[:2], T.StructField("postings", T.ArrayType(rows.schema["postings"].dataType, False))])
+    return rows.mapInArrow(listed, out)
+
+
+def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(keyword, chunk, postings)`` sorted by the first two to one row for each of these, the last column as a list."""
+    held: list[pa.RecordBatch] = []
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None and not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, *([] if batch is None else [batch])]).combine_chunks() if held or batch is not None else None
+        if rows is None:
+            return
+        keyword, chunk, posting = (c.chunk(0) for c in rows.columns)
+        places = [c.dictionary_encode(null_encoding="encode").indices.to_numpy() for c in (keyword, chunk)]
+        begins = np.flatnonzero(np.append(True, np.logical_or(*[p[1:] != p[:-1] for p in places])))
+        # the last group may go on in the next batch
+        ends = np.append(begins[1:], rows.num_rows) if batch is None else begins[1:]
+        held = [] if batch is None else rows.slice(int(begins[-1])).to_batches()
+        if len(ends):
+            at = pa.array(begins[: len(ends)])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), posting.slice(0, int(ends[-1])))
+            yield pa.RecordBatch.from_arrays([keyword.take(at), chunk.take(at), lists], names=rows.column_names)
 
 
 # characters of an id that the posting format uses itself, and what stands for them; the percent sign comes first
