@@ -11,6 +11,7 @@ from kindred.contract import sqltext as q
 from kindred.contract.registry import query
 from kindred.functions.stopwords import ENGLISH
 from kindred.operators import vocabulary
+from kindred.operators.nearest_products import recommend_for_all_users
 from kindred.session import bounded
 from kindred.sources.articles import table
 
@@ -425,7 +426,7 @@ def ml_als(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     ratings = o.join(li, o.o_orderkey == li.l_orderkey).groupBy("o_custkey", "l_suppkey").agg(F.sum("l_quantity").alias("rating"))
     model = recommendation.ALS(rank=4, maxIter=3, userCol="o_custkey", itemCol="l_suppkey", ratingCol="rating", coldStartStrategy="drop", seed=1).fit(ratings)
-    best = model.recommendForAllUsers(3).select("o_custkey", F.explode("recommendations").alias("r"))
+    best = recommend_for_all_users(model, 3).select("o_custkey", F.explode("recommendations").alias("r"))
     return best.select("o_custkey", "r.l_suppkey", F.round("r.rating", 3).alias("rating"))
 
 
