@@ -148,8 +148,9 @@ def triangles(edges: DataFrame) -> DataFrame:
     ahead = materialise(directed.groupBy("u").agg(F.sort_array(F.collect_list("v")).alias("next")))
     behind = ahead.where(F.size("next") > 1).select("u", "next", F.posexplode("next").alias("i", "v"))
     behind = behind.where(F.col("i") < F.size("next") - 1).select("u", "v", F.expr("slice(next, i + 2, size(next))").alias("rest"))
+    # the size of the slices is not known beforehand: without the hint they can pass for small and be broadcast
     common = (
-        behind.join(ahead.select(F.col("u").alias("v"), F.col("next").alias("next_v")), "v")
+        behind.hint("merge").join(ahead.select(F.col("u").alias("v"), F.col("next").alias("next_v")), "v")
         .select("u", "v", F.array_intersect("rest", "next_v").alias("third"))
         .where(F.size("third") > 0)
     )
