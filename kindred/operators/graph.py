@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+import sys
+
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kindred.operators.statistics import positions
-from kindred.session import materialise, work_dir
+from kindred.session import bounded, materialise, work_dir
 
 
 CHAINED = 5
@@ -191,3 +196,52 @@ def neighbour_average(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     return joined.where("other > own").groupBy(F.col("dst").alias("id")).agg(
         F.count("*").alias("n"), F.avg("other").alias("mean")
     )
+
+
+def gaussian(key: Column) -> Column:
+    """A normally distributed number that depends on the key alone."""
+    uniform = [(F.shiftrightunsigned(F.xxhash64(F.lit(i), key), 11) + F.lit(0.5)) / F.lit(2.0**53) for i in (1, 2)]
+    return F.sqrt(-2 * F.log(uniform[0])) * F.cos(2 * math.pi * uniform[1])
+
+
+def power_iteration(links: DataFrame, iterations: int, start: DataFrame | None = None, hub: int = HUB) -> DataFrame:
+    """``(id, x)``: the vector of power iteration clustering for links ``(src, dst, weight)``, which hold both ways.
+
+    The steps and the test for an early end are those of Spark's ``PowerIterationClustering``, which keeps the whole graph of each round
+    in the executors. Here the links are written where a round reads them, and a round shuffles the sums of vertices, which
+    are written with the total weight of each vertex. ``start`` is ``(id, x)``, random numbers by the id without it.
+    """
+    spark = links.sparkSession
+    wrong = "src IS NULL OR dst IS NULL OR weight IS NULL OR weight < 0"
+    bad = links.where(wrong).limit(1).collect()
+    if bad:
+        raise ValueError(f"links need both ends and a weight of zero or more: {bad[0]}")
+    ways = links.where("src <> dst").select(F.explode(F.array(F.struct("src", "dst", "weight"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))).alias("l")).select("l.*")
+    placed, hubs = placed_links(ways, "dst", hub)
+    # of both ways, so the weights of the links to a vertex are those of the links from it
+    degrees = materialise(placed.groupBy(F.col("dst").alias("id")).agg(F.sum("weight").alias("degree")))
+    first = degrees.withColumn("x", gaussian(F.col("id"))) if start is None else degrees.join(start, "id")
+    total = first.agg(F.sum(F.abs("x"))).first()[0]
+    state = first.select("id", "degree", (F.col("x") / F.lit(total)).alias("x"))
+    tolerance = max(1e-5 / max(degrees.count(), 1), 1e-8)
+    before = moved = math.inf
+    for _ in range(iterations):
+        if moved <= tolerance:
+            break
+        passed = meet(placed, hubs, state.select(F.col("id").alias("dst"), "x"), "dst").groupBy(F.col("src").alias("id")).agg(F.sum(F.col("weight") * F.col("x")).alias("y"))
+        share = F.col("y") / F.greatest("degree", F.lit(sys.float_info.epsilon))
+        written = materialise(passed.join(state, "id").select("id", "degree", "x", share.alias("y")))
+        norm = written.agg(F.sum(F.abs("y"))).first()[0]
+        scaled = F.col("y") / F.lit(norm)
+        delta = written.agg(F.sum(F.abs(F.col("x") - scaled))).first()[0] or 0.0
+        before, moved = delta, abs(delta - before)
+        state = written.select("id", "degree", scaled.alias("x"))
+        spark._jvm.System.gc()  # shuffle files of a round go when the driver collects what refers to them
+    return state.select("id", "x")
+
+
+def power_iteration_clusters(links: DataFrame, k: int, iterations: int) -> DataFrame:
+    """``(id, cluster)`` by k-means over :func:`power_iteration`."""
+    points = materialise(power_iteration(links, iterations)).select("id", array_to_vector(F.array("x")).alias("features"))
+    found = KMeans(k=k, seed=0, predictionCol="cluster").fit(bounded(points)).transform(points)
+    return found.select("id", "cluster")
