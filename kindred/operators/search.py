@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kindred.functions.phrases import ranked_phrases
 from kindred.functions.text import NOT_ALNUM_OR_SPACE, alnum_words, ascii_fold, glued_words, round_half_up, word_tokens
+from kindred.operators import edit_distance
 from kindred.operators.similarity import asked_words
 from kindred.session import materialise
 
@@ -22,6 +23,8 @@ SLOTS = 1 << 16
 BITS, BUCKET = 1 << 22, 1 << 15
 #: Edit ratio from which segments have about four letters.
 SEGMENTS_FROM = 0.75
+#: Keywords that a task compares at a time, about.
+KEYWORDS = 200_000
 #: Lengths of the parts of texts by which keywords are looked up, from the longest.
 GRAMS = (16, 8, 4, 2, 1)
 
@@ -319,18 +322,16 @@ def letter_bag(text: Column) -> Column:
 
 def _met_on_letters(keywords: DataFrame, phrases: DataFrame, threshold: float, tasks: int) -> DataFrame:
     """``(keyword, phrase)`` within the edits: every task has a share of the keywords and all phrases, compared where lengths and letters allow it."""
-    deals = 4 * tasks
+    deals = max(4 * tasks, -(-keywords.count() // KEYWORDS))
     bags = lambda name: [F.get("bag", F.lit(i)).alias(f"{name}{i}") for i in range(4)]
     own = phrases.select("phrase").distinct().where(F.length("phrase") > 0).select("phrase", F.length("phrase").alias("m"), letter_bag(F.col("phrase")).alias("bag"))
-    own = materialise(own.select("phrase", F.expr(f"greatest(1, CAST(ceil(m * {threshold}D - 1e-9) AS INT))").alias("least"), F.expr(f"CAST(floor(m / {threshold}D + 1e-9) AS INT)").alias("most"), "m", *bags("b")))
+    own = materialise(own.select("phrase", F.expr(f"greatest(1, CAST(ceil(m * {threshold}D - 1e-9) AS INT))").alias("least"), F.expr(f"CAST(floor(m / {threshold}D + 1e-9) AS INT)").alias("most"), *bags("b")))
     right = own.select("*", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
-    left = keywords.select("keyword", F.length("keyword").alias("size"), letter_bag(F.col("keyword")).alias("bag"), F.pmod(F.xxhash64("keyword"), F.lit(deals)).cast("int").alias("deal"))
+    left = keywords.where("keyword IS NOT NULL").select("keyword", F.length("keyword").alias("size"), letter_bag(F.col("keyword")).alias("bag"), F.pmod(F.xxhash64("keyword"), F.lit(deals)).cast("int").alias("deal"))
     left = left.select("keyword", "size", "deal", *bags("a"))
-    lacking = lambda x, y: " + ".join(f"bit_count({x}{i} & ~{y}{i})" for i in range(4))
-    edits = _edits("greatest(m, size)", threshold)
-    near = f"size BETWEEN least AND most AND {lacking('a', 'b')} <= {edits} AND {lacking('b', 'a')} <= {edits}"
-    pairs = left.repartition(tasks, "deal").join(right.repartition(tasks, "deal").hint("shuffle_hash"), "deal").where(near)
-    return pairs.where(f"levenshtein(keyword, phrase, {edits}) >= 0").select("keyword", "phrase").distinct()
+    compare = lambda mine, others: edit_distance.close_pairs(mine, others, threshold)
+    met = left.repartition(tasks, "deal").groupBy("deal").cogroup(right.repartition(tasks, "deal").groupBy("deal")).applyInArrow(compare, "phrase string, keyword string")
+    return met.select("keyword", "phrase").distinct()
 
 
 def edit_matches(keywords: DataFrame, phrases: DataFrame, threshold: float = 0.6) -> DataFrame:
