@@ -212,7 +212,7 @@ def power_iteration(links: DataFrame, iterations: int, start: DataFrame | None =
     are written with the total weight of each vertex. ``start`` is ``(id, x)``, random numbers by the id without it.
     """
     spark = links.sparkSession
-    wrong = "src IS NULL OR dst IS NULL OR weight IS NULL OR weight < 0"
+    wrong = "src IS NULL OR dst IS NULL OR weight IS NULL OR weight < 0 OR isnan(weight)"
     bad = links.where(wrong).limit(1).collect()
     if bad:
         raise ValueError(f"links need both ends and a weight of zero or more: {bad[0]}")

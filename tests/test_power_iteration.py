@@ -55,7 +55,7 @@ def test_clusters_are_those_of_spark_where_they_are_clear(spark):
     assert mine == theirs == {frozenset(range(g, g + 12)) for g in (0, 100, 300)}
 
 
-@pytest.mark.parametrize("row", [(1, 2, -1.0), (None, 2, 1.0), (1, None, 1.0)])
+@pytest.mark.parametrize("row", [(1, 2, -1.0), (1, 2, float("nan")), (None, 2, 1.0), (1, None, 1.0)])
 def test_wrong_links_raise(spark, row):
     with pytest.raises(ValueError, match="links need"):
         graph.power_iteration(frame(spark, [(1, 2, 1.0), row]), 2)
