@@ -330,7 +330,8 @@ def _met_on_letters(keywords: DataFrame, phrases: DataFrame, threshold: float, t
     left = keywords.where("keyword IS NOT NULL").select("keyword", F.length("keyword").alias("size"), letter_bag(F.col("keyword")).alias("bag"), F.pmod(F.xxhash64("keyword"), F.lit(deals)).cast("int").alias("deal"))
     left = left.select("keyword", "size", "deal", *bags("a"))
     compare = lambda mine, others: edit_distance.close_pairs(mine, others, threshold)
-    met = left.repartition(tasks, "deal").groupBy("deal").cogroup(right.repartition(tasks, "deal").groupBy("deal")).applyInArrow(compare, "phrase string, keyword string")
+    # about a deal in a partition: with several, some tasks get many and others none
+    met = left.repartition(deals, "deal").groupBy("deal").cogroup(right.repartition(deals, "deal").groupBy("deal")).applyInArrow(compare, "phrase string, keyword string")
     return met.select("keyword", "phrase").distinct()
 
 
